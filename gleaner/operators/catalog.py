@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import explode_rows
+
 CATALOG_DEPTH = 4
 LIST_HINTS = 3
 # Fixed value: characters that make a key need parentheses in a path.
@@ -40,7 +42,7 @@ def node_paths(df: DataFrame, *ids: str, tree: str = "tree") -> DataFrame:
     paths = F.expr(
         f"flatten(transform(filter(__n, n -> map_contains_key(__p, n.id)), n -> concat({own}, {inside})))"
     )
-    return prefixed.select(*ids, F.explode(paths).alias("path"))
+    return explode_rows(prefixed, ids, paths, "path")
 
 
 def corpus_schema(df: DataFrame, body: str) -> DataFrame:

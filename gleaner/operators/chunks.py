@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import chunk_array
+from .rows import explode_rows
 
 
 def chunk_records(
@@ -14,9 +15,9 @@ def chunk_records(
     """``url, chunk_index, total_chunks, content, fetched_at``: cut inside the row, no shuffle."""
     at = F.col(fetched_at) if fetched_at else F.current_timestamp()
     cut = df.select(F.col(url).alias("url"), at.alias("fetched_at"), chunk_array(F.col(text), size, overlap).alias("__c"))
-    return cut.select(
-        "url", F.size("__c").alias("total_chunks"), "fetched_at", F.posexplode("__c").alias("chunk_index", "content")
-    ).select("url", "chunk_index", "total_chunks", "content", "fetched_at")
+    counted = cut.withColumn("total_chunks", F.size("__c"))
+    rows = explode_rows(counted, ["url", "total_chunks", "fetched_at"], F.col("__c"), "content", "chunk_index")
+    return rows.select("url", "chunk_index", "total_chunks", "content", "fetched_at")
 
 
 def chunk_stats(df: DataFrame, text: str, size: int, overlap: int, *by: str) -> DataFrame:

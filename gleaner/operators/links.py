@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BYTE_WHITESPACE, decode_lossy, strip
 from ..functions.urls import is_plain_ascii_url, join_url, split_url, url_host
+from .rows import explode_rows
 
 # The link shapes of HTML and Markdown, links that lead to no page, and the five
 # entities that XML predefines.
@@ -77,7 +78,7 @@ def page_links(body: Column) -> Column:
 
 def extract_links(df: DataFrame, links: Column, *ids: str) -> DataFrame:
     """One row per link: the given columns, its ordinal ``ord`` and ``href``."""
-    return df.select(*ids, F.posexplode(links).alias("ord", "href"))
+    return explode_rows(df, ids, links, "href", "ord")
 
 
 def resolve_links(links: DataFrame, page: str, href: str = "href", out: str = "url") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_lossy
+from .rows import explode_rows
 
 _LINE = "struct<at:int,level:int,title:string,text:string,skip:boolean,pipe:boolean>"
 # Heading underlines, heading marks and the cells of a table's rule, as in CommonMark and GFM.
@@ -36,7 +37,7 @@ def classify_lines(df: DataFrame, body: str, out: str = "lines") -> DataFrame:
         "aggregate(__u, cast(array() as array<boolean>), "
         "(acc, u) -> concat(acc, array(if(size(acc) > 0 and element_at(acc, -1), false, u > 0))))"
     )
-    plain = F.expr("not exists(__u, (u) -> u > 0)")
+    plain = F.expr("not exists(__u, u -> u > 0)")
     marked = marked.withColumn("__h", F.when(plain, F.expr("transform(__u, u -> false)")).otherwise(F.expr(used)))
     line = (
         "transform(__l, (s, i) -> cast(struct(i, "
@@ -60,7 +61,7 @@ def markdown_sections(df: DataFrame, body: str, *ids: str) -> DataFrame:
     )
     parent = "coalesce(array_max(transform(sequence(0, i), j -> if(get(__heads, j).level < h.level, j, null))), 0)"
     rows = f"transform(__heads, (h, i) -> named_struct('section', i, 'level', h.level, 'title', h.title, 'parent', if(i = 0, null, {parent}), 'text', btrim({own}, '{_BLANKS}\\n')))"
-    return sections.select(*ids, F.explode(F.expr(rows)).alias("s")).select(*ids, "s.*")
+    return explode_rows(sections, ids, F.expr(rows), "s").select(*ids, "s.*")
 
 
 def markdown_tables(df: DataFrame, body: str, *ids: str) -> DataFrame:
@@ -70,16 +71,17 @@ def markdown_tables(df: DataFrame, body: str, *ids: str) -> DataFrame:
     """
     lined = classify_lines(df, body).select(*ids, F.expr("filter(lines, l -> l.pipe and l.level = 0 and not l.skip)").alias("__p"))
     starts = "filter(transform(__p, (l, i) -> if(i = 0 or get(__p, i - 1).at < l.at - 1, i, null)), x -> x is not null)"
-    runs = lined.filter(F.size("__p") > 2).withColumn("__s", F.expr(starts))
+    runs = lined.withColumn("__s", F.expr(starts))
     run = "transform(__s, (s, k) -> slice(__p, s + 1, coalesce(get(__s, k + 1), size(__p)) - s).text)"
     cells = lambda s: f"transform(split(regexp_replace({s}, '^[|]+|[|]+$', ''), '[|]', -1), c -> btrim(c, '{_BLANKS}'))"
     tables = (
-        runs.select(*ids, F.posexplode(F.expr(run)).alias("__t", "__lines"))
+        explode_rows(runs, ids, F.expr(run), "__lines", "__t")
         .filter(F.size("__lines") >= 3)
         .withColumn("__names", F.expr(f"filter({cells('get(__lines, 0)')}, c -> c != '')"))
         .filter((F.size("__names") > 0) & F.expr(f"forall({cells('get(__lines, 1)')}, c -> c = '' or rlike(c, '{_RULE}'))"))
     )
-    rows = tables.select(*ids, F.col("__t").alias("table"), "__names", F.posexplode(F.expr("slice(__lines, 3, size(__lines) - 2)")).alias("row", "__line"))
+    data = F.expr("slice(__lines, 3, size(__lines) - 2)")
+    rows = explode_rows(tables.withColumnRenamed("__t", "table"), [*ids, "table", "__names"], data, "__line", "row")
     padded = f"transform(__names, (n, i) -> coalesce(get({cells('__line')}, i), ''))"
     # of columns with the same name the last counts
     values = F.expr(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import decode_lossy
 from .inputs import dedupe_inputs
+from .rows import explode_rows
 
 # Fixed value: result key per search type.
 RESULT_KEYS = {
@@ -78,7 +79,7 @@ def result_rows(df: DataFrame, body: str, search_type: str, *keep: str) -> DataF
     hits = F.try_variant_get(
         F.try_parse_json(decode_lossy(F.col(body))), f"$.{RESULT_KEYS[search_type]}", "array<variant>"
     )
-    return df.select(*keep, F.posexplode(hits).alias("__at", "__hit")).select(
+    return explode_rows(df, keep, hits, "__hit", "__at").select(
         *keep, (F.col("__at") + 1).alias("position"), F.to_json("__hit").alias("hit")
     )
 

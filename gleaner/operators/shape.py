@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_lossy, split_lines
+from .rows import explode_rows
 from .shred import shred
 from .steps import Path, resolve, value_json, value_text
 
@@ -121,7 +122,7 @@ def explode_records(df: DataFrame, *ids: str, tree: str = "tree") -> DataFrame:
         f"transform(records, r -> cast(substring({tree}.json, get({tree}.nodes, r).at + 1, "
         f"get({tree}.nodes, r).size) as string))"
     )
-    return record_ids(df, tree=tree).select(*ids, F.posexplode(cut).alias("rec", "record"))
+    return explode_rows(record_ids(df, tree=tree), ids, cut, "record", "rec")
 
 
 _ENTRY = "struct<key:string,value:string>"
@@ -182,7 +183,7 @@ def nesting_depth(record: str, tree: str = "tree") -> str:
 def max_nesting_depth(df: DataFrame, *ids: str, tree: str = "tree") -> DataFrame:
     """Nesting depth per record: the given columns, ``rec``, ``depth``."""
     depths = F.expr(f"transform(records, r -> {nesting_depth('r', tree)})")
-    return record_ids(df, tree=tree).select(*ids, F.posexplode(depths).alias("rec", "depth"))
+    return explode_rows(record_ids(df, tree=tree), ids, depths, "depth", "rec")
 
 
 def flatten_records(
@@ -210,13 +211,13 @@ def _cells(df: DataFrame, entries: str, ids: Sequence[str], url: str | None) ->
     if url is not None:
         head = f"if(coalesce({url}, '') = '', cast(array() as array<{_ENTRY}>), array(cast(struct('_url', {url}) as {_ENTRY})))"
         entries = f"concat({head}, {entries})"
-    flat = df.select(*ids, F.posexplode(F.expr(f"transform(records, r -> {entries})")).alias("rec", "__entries"))
+    flat = explode_rows(df, ids, F.expr(f"transform(records, r -> {entries})"), "__entries", "rec")
     return flat.select(*ids, "rec", F.expr(cells_from("__entries")).alias("cells"))
 
 
 def explode_cells(df: DataFrame, *ids: str, cells: str = "cells") -> DataFrame:
     """Long form: one row per cell."""
-    return df.select(*ids, F.posexplode(F.map_entries(cells)).alias("pos", "__cell")).select(
+    return explode_rows(df, ids, F.map_entries(cells), "__cell", "pos").select(
         *ids, "pos", F.col("__cell.key").alias("key"), F.col("__cell.value").alias("value")
     )
 
@@ -266,10 +267,10 @@ def _cell_columns(names: Sequence[str], cells: str) -> list[Column]:
 def column_names(df: DataFrame, order: Sequence[str] = (), cells: str = "cells") -> list[str]:
     """Cell names in first-seen order. Names are schema, not data: more than ``MAX_COLUMNS``
     is an error, so what reaches the driver is bounded."""
-    seen = df.select(*order, F.posexplode(F.map_keys(cells)).alias("__pos", "__key"))
+    seen = explode_rows(df, order, F.map_keys(cells), "__key", "__at")
     names = (
         seen.groupBy("__key")
-        .agg(F.min(F.struct(*order, "__pos")).alias("__first"))
+        .agg(F.min(F.struct(*order, "__at")).alias("__first"))
         .orderBy("__first", "__key")
         .select("__key")
         .limit(MAX_COLUMNS + 1)

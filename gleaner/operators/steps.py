@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import glob_to_regex, value_pattern
+from .rows import explode_rows
 from .shred import MAX_DEPTH, shred
 
 ONE, LIST, DICT = 0, 1, 2
@@ -496,9 +497,8 @@ def explode_values(df: DataFrame, result: str, *ids: str) -> DataFrame:
     Null values are left out; containers come as JSON text.
     """
     items = F.expr(f"filter({result}.items, i -> i.kind != 'null')")
-    return (
-        df.select(*ids, F.posexplode(items).alias("ord", "__item"))
-        .select(*ids, "ord", F.col("__item.kind").alias("kind"), F.col("__item.text").alias("value"))
+    return explode_rows(df, ids, items, "__item", "ord").select(
+        *ids, "ord", F.col("__item.kind").alias("kind"), F.col("__item.text").alias("value")
     )
 
 
@@ -524,7 +524,8 @@ def extract_schema(
     df: DataFrame, schema: Mapping[str, Path], *ids: str, tree: str = "tree", out: str = "record"
 ) -> DataFrame:
     """One JSON record per document that matches at least one of the named paths."""
-    return _record(df, schema, tree, out).select(*ids, out).filter(F.col(out).isNotNull())
+    records = _record(df, schema, tree, out).withColumn("__found", F.array_compact(F.array(out)))
+    return explode_rows(records.drop(out), ids, F.col("__found"), out)
 
 
 def filter_fields(df: DataFrame, schema: Mapping[str, Path], body: str, out: str = "filtered") -> DataFrame:

@@ -111,13 +111,13 @@ WITH d AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '{"id": ' || doc_id || ',
                 WHEN 2 THEN '# Part ' || doc_id || chr(10) || replace(text, ',', ';')
                 WHEN 3 THEN 'name,age' || chr(10) || 'x' || doc_id || ',3'
                 ELSE text END AS body FROM documents),
-l AS (SELECT doc_id, body, list_filter(str_split_regex(body, '\r\n|\r|\n'), x -> true) AS lines FROM d),
+l AS (SELECT doc_id, body, str_split_regex(body, '\r\n|\r|\n') AS lines FROM d),
 c AS (SELECT doc_id, body, str_split(lines[1], ',') AS head,
-             str_split(list_filter(lines[2:], x -> x <> '')[1], ',') AS first_row FROM l)
+             str_split(list_filter(lines[2:], lambda x: x <> '')[1], ',') AS first_row FROM l)
 SELECT doc_id, CASE WHEN trim(body, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN NULL
     WHEN doc_id % 6 = 0 THEN 'json' WHEN doc_id % 6 = 1 THEN 'ndjson'
     WHEN contains(body, ',') AND contains(body, chr(10)) AND len(list_distinct(head)) >= 2 AND first_row IS NOT NULL
-         AND len(first_row) <= len(head) AND list_max(list_transform(head, x -> length(x))) <= 60 THEN 'csv'
+         AND len(first_row) <= len(head) AND list_max(list_transform(head, lambda x: length(x))) <= 60 THEN 'csv'
     WHEN doc_id % 6 = 2 THEN 'markdown' ELSE 'text' END AS format FROM c
 UNION ALL SELECT 10000000 + page_id, CASE page_id % 3 WHEN 0 THEN 'html' WHEN 1 THEN 'xml' ELSE 'html' END FROM pages
 """

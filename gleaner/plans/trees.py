@@ -21,8 +21,8 @@ def order_trees(spark, sf):
 
 _ORDER_JSON = """
 j AS (SELECT id, json_object('id', id, 'customer', json_object('key', ck, 'full.name', 'Customer ' || ck, 'rank', code),
-        'status', st, 'tags', (SELECT json_group_array(tag ORDER BY pos) FROM t WHERE t.id = o.id),
-        'amounts', (SELECT json_group_array(json_object('name', name, 'cents', c, 'paid', CASE paid WHEN 'True' THEN true WHEN 'False' THEN false END) ORDER BY pos) FROM a WHERE a.id = o.id),
+        'status', st, 'tags', (SELECT to_json(list(tag ORDER BY pos)) FROM t WHERE t.id = o.id),
+        'amounts', (SELECT to_json(list(json_object('name', name, 'cents', c, 'paid', CASE paid WHEN 'True' THEN true WHEN 'False' THEN false END) ORDER BY pos)) FROM a WHERE a.id = o.id),
         'groups', json_array(json_array(code, code + 1), json_array(code + 2)), 'note', NULL,
         'raw', '{"code": ' || code || ', "flags": ["' || st || '", "x"], "inner": "[' || id % 10 || ', 7]"}') AS doc FROM o)
 """

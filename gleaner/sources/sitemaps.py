@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode_lossy, strip
+from ..operators.rows import explode_rows
 from ..operators.shred import shred
 from ..session import cut_lineage
 
@@ -49,8 +50,8 @@ def parse_sitemaps(df: DataFrame, url: str, body: str) -> DataFrame:
 
 def sitemap_urls(df: DataFrame, url: str, body: str) -> DataFrame:
     """Page URLs of plain sitemaps, with their ordinal."""
-    parsed = parse_sitemaps(df, url, body).filter(F.size("children") == 0)
-    return parsed.select(url, F.posexplode("urls").alias("ord", "page_url"))
+    plain = F.when(F.size("children") == 0, F.col("urls"))
+    return explode_rows(parse_sitemaps(df, url, body), [url], plain, "page_url", "ord")
 
 
 def sitemap_index_expand(stored: DataFrame, seeds: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
