@@ -118,6 +118,11 @@ def fresh_cells(responses: DataFrame) -> DataFrame:
     return entries.select("input", F.when(F.col("__e").isNotNull(), F.expr(cells_from("__e"))).alias("cells"))
 
 
+def exact_column(name: str) -> Column:
+    """A column by its whole name: flattened names hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def refresh_rows(table: DataFrame, key: str, responses: DataFrame) -> DataFrame:
     """Table rows with the cells of their fresh result as a map and a ``matched`` flag.
 
@@ -126,7 +131,7 @@ def refresh_rows(table: DataFrame, key: str, responses: DataFrame) -> DataFrame:
     """
     fresh = cut_lineage(fresh_cells(responses)).withColumnsRenamed({"input": "__key", "cells": "__cells"})
     return table.join(
-        fresh.withColumn("matched", F.lit(True)), strip(F.coalesce(F.col(key), F.lit(""))) == F.col("__key"), "left"
+        fresh.withColumn("matched", F.lit(True)), strip(F.coalesce(exact_column(key), F.lit(""))) == F.col("__key"), "left"
     ).drop("__key")
 
 
@@ -143,7 +148,7 @@ def refresh_table(
         rows = cut_lineage(rows)
         columns = column_names(rows.filter("__cells is not null"), order, "__cells")
     cell = lambda name: F.try_element_at("__cells", F.lit(name))
-    updated = [F.coalesce(cell(c), F.col(c).cast("string")).alias(c) for c in table.columns]
+    updated = [F.coalesce(cell(c), exact_column(c).cast("string")).alias(c) for c in table.columns]
     added = [F.coalesce(cell(c), F.lit("")).alias(c) for c in columns if c not in table.columns]
     return rows.select(*updated, *added)
 
@@ -151,7 +156,7 @@ def refresh_table(
 def refresh_counts(table: DataFrame, key: str, responses: DataFrame) -> DataFrame:
     """One row: table rows with a good result (whatever its body) and failed results."""
     good = latest_results(responses).select(F.col("input").alias("__key"))
-    matched = table.join(good, strip(F.coalesce(F.col(key), F.lit(""))) == F.col("__key"), "left_semi")
+    matched = table.join(good, strip(F.coalesce(exact_column(key), F.lit(""))) == F.col("__key"), "left_semi")
     failed = responses.filter(F.col("error").isNotNull() & ~F.col("skipped"))
     both = matched.select(F.lit(1).alias("s"), F.lit(0).alias("f")).unionByName(
         failed.select(F.lit(0).alias("s"), F.lit(1).alias("f"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,6 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's file as a stream."""
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a query's own files, inside the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/queries/{name}-{uuid.uuid4().hex}"
+
+
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, body``: one nested JSON document per order, built inside the row.
 
@@ -83,7 +97,11 @@ t AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY p) - 1 AS pos FROM t
 
 def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as responses of a run: one per event, inputs repeat per user."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return as_responses(table(spark, sf_dir, "events"))
+
+
+def as_responses(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "event_id as index",
         "concat('https://shop.example.com/u/', user_id) as input",
         "if(event_type = 'click', concat('clicked ', event_id), props) as body",

@@ -10,8 +10,7 @@ from ..functions import urls
 from ..operators import inputs
 from ..operators.shape import write_csv
 from ..sources import files, sitemaps
-from ..session import ensure_checkpoint_dir
-from .base import query, table
+from .base import query, scratch, table
 
 
 def _pages(spark, sf):
@@ -40,7 +39,7 @@ def read_input_lines(spark, sf):
 )
 def read_input_column(spark, sf):
     # a file to read: written to the shared checkpoint folder, never to a machine's own disk
-    path = f"{ensure_checkpoint_dir(spark)}/input-column-{dt.datetime.now():%Y%m%d%H%M%S%f}"
+    path = scratch(spark, "input-column")
     cells = table(spark, sf, "customer").selectExpr(
         "c_custkey as code",
         "if(c_custkey % 9 = 0, '  ', concat(' Customer ', c_custkey, ', \"', c_mktsegment, '\"')) as company",

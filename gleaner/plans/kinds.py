@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import kinds
 from ..operators.shape import write_payloads
 from ..operators.shred import detect_format
-from ..session import ensure_checkpoint_dir
-from .base import query, table
+from .base import query, scratch, table
 
 # Bodies of known kind made out of every page, and their kinds.
 _BODIES = """case page_id % 8
@@ -80,8 +79,8 @@ def resolve_kind(spark, sf):
                          WHEN kind IN ('pdf', 'zip') THEN 'files' ELSE 'root' END AS route FROM k""",
 )
 def route_kind(spark, sf):
-    path = f"{ensure_checkpoint_dir(spark)}/routes"
-    write_payloads(_resolved(spark, sf), "body", "kind", path, mode="overwrite")
+    path = scratch(spark, "routes")
+    write_payloads(_resolved(spark, sf), "body", "kind", path)
     return spark.read.parquet(path).select("page_id", "route")
 
 

@@ -8,8 +8,7 @@ from ..operators import shape
 from ..operators.links import count_links, html_links
 from ..operators.shred import shred
 from ..operators.steps import path
-from ..session import ensure_checkpoint_dir
-from .base import ORDER_DOCS_SQL, RESPONSES_SQL, event_responses, order_documents, query, table
+from .base import ORDER_DOCS_SQL, RESPONSES_SQL, event_responses, order_documents, query, scratch, table
 from .trees import order_trees
 
 
@@ -215,9 +214,9 @@ def union_columns(spark, sf):
     """SELECT CAST(c_custkey AS VARCHAR) AS code, c_name || ', "' || c_mktsegment || '"' AS name FROM customer""",
 )
 def write_csv(spark, sf):
-    path_ = f"{ensure_checkpoint_dir(spark)}/csv-sink"
+    path_ = scratch(spark, "csv-sink")
     rows = table(spark, sf, "customer").selectExpr("c_custkey as code", """concat(c_name, ', "', c_mktsegment, '"') as name""")
-    shape.write_csv(rows, path_, order=["code"], mode="overwrite")
+    shape.write_csv(rows, path_, order=["code"])
     return spark.read.option("escape", '"').csv(path_, header=True)
 
 
@@ -226,10 +225,10 @@ def write_csv(spark, sf):
     f"""WITH {ORDER_DOCS_SQL} SELECT id, CAST(c AS BIGINT) AS cents FROM a""",
 )
 def write_ndjson(spark, sf):
-    path_ = f"{ensure_checkpoint_dir(spark)}/ndjson-sink"
+    path_ = scratch(spark, "ndjson-sink")
     records = shape.explode_records(order_trees(spark, sf), "id")
     merged = records.withColumn("line", F.concat(F.lit('{"_id": '), F.col("id").cast("string"), F.lit(", "), F.expr("substring(record, 2)")))
-    shape.write_lines(merged, "line", path_, order=["id", "rec"], mode="overwrite")
+    shape.write_lines(merged, "line", path_, order=["id", "rec"])
     return spark.read.schema("_id bigint, cents bigint").json(path_).withColumnRenamed("_id", "id")
 
 
