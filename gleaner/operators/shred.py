@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 from json.encoder import encode_basestring
+from math import isfinite
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,169 +52,222 @@ TREE_TYPE = T.StructType(
     ]
 )
 
-_KINDS = {dict: "dict", list: "list", str: "str", int: "int", float: "float", bool: "bool", type(None): "null"}
+_KIND_NAMES = ("dict", "list", "str", "int", "float", "bool", "null")
+_DICT, _LIST, _STR, _INT, _FLOAT, _BOOL, _NULL = range(7)
+_CODES = {dict: _DICT, list: _LIST, str: _STR, int: _INT, float: _FLOAT, bool: _BOOL, type(None): _NULL}
+_NO_LEVEL = -(2**31)
 
 
-def _utf8(text: str) -> bytes:
+def _clean(texts: list) -> list:
+    """Texts without lone surrogates, which no UTF-8 column can hold."""
+    return [t if t is None else t.encode("utf-8", "replace").decode() for t in texts]
+
+
+def _strings(texts: list) -> pa.Array:
     try:
-        return text.encode()
+        return pa.array(texts, pa.string())
     except UnicodeEncodeError:
-        return text.encode("utf-8", "replace")
+        return pa.array(_clean(texts), pa.string())
+
+
+def _byte_lengths(texts: list) -> np.ndarray:
+    return pc.binary_length(_strings(texts)).to_numpy(zero_copy_only=False)
 
 
 class _Nodes:
-    """Node columns of the documents of one output batch."""
+    """Nodes of the documents of one output batch, in preorder.
+
+    The walk over a tree records five facts per node; everything else follows from them for the
+    whole batch at once, in numpy.
+    """
 
     def __init__(self, paths: bool) -> None:
         self.paths = paths
-        self.columns: dict[str, list] = {f.name: [] for f in NODE_TYPE.fields if f.name not in ("id", "kids")}
+        self.parents: list[int] = []  # position in the batch, -1 at a document's root
+        self.depths: list[int] = []
+        self.keys: list[str | None] = []
+        self.texts: list[str | None] = []
+        self.codes: list[int] = []
+        self.json_sizes: dict[int, int] = {}  # nodes whose JSON length is not that of their text
         self.counts: list[int] = []
 
     def __len__(self) -> int:
-        return len(self.columns["parent"])
+        return len(self.parents)
 
     def add(self, tree: Any) -> bytes:
-        """Append one document's nodes; returns its JSON text, to which ``at`` points."""
-        col = self.columns
-        base = len(self)
-        parents, lasts, depths, keys, poss = col["parent"], col["last"], col["depth"], col["key"], col["pos"]
-        kinds, svals, embeds, levels, ats, sizes = (
-            col["kind"], col["sval"], col["embedded"], col["level"], col["at"], col["size"],
-        )
-        pieces: list[bytes] = []
-        length = 0
-        pending: list[tuple[int, Any]] = []  # embedded JSON texts, appended behind the document
-
-        def put(piece: bytes) -> None:
-            nonlocal length
-            pieces.append(piece)
-            length += len(piece)
-
-        paths = col["path"]
-
-        def visit(value, parent, depth, key, pos, embedded, level):
-            node = len(parents) - base
-            if self.paths:
-                here = key if key is not None else str(pos) if parent is not None else ""
-                above = paths[base + parent] if parent is not None else ""
-                paths.append(f"{above}.{here}" if above else here)
-            else:
-                paths.append(None)
-            parents.append(parent)
-            lasts.append(node)
-            depths.append(depth)
-            keys.append(key)
-            poss.append(pos)
-            kinds.append(_KINDS[type(value)])
-            embeds.append(embedded)
-            levels.append(level)
-            ats.append(length)
-            slot = base + node
-            if isinstance(value, str):
-                clean = value if value.isascii() else _utf8(value).decode()
-                svals.append(clean)
-                sizes.append(0)
-                put(_utf8(encode_basestring(clean)))
-                sizes[slot] = length - ats[slot]
-                if value.startswith(("{", "[")) and depth < MAX_DEPTH:
-                    try:
-                        inner = json.loads(value)
-                    except (ValueError, RecursionError):
-                        return
-                    # its own text comes behind the text of the document around it
-                    embedded_visit(inner, node, depth + 1)
-                    lasts[slot] = len(parents) - 1 - base
-                return
-            if not isinstance(value, (dict, list)):
-                svals.append("" if value is None else str(value))
-                sizes.append(0)
-                put(json.dumps(value).encode())
-                sizes[slot] = length - ats[slot]
-                return
-            sizes.append(0)
-            if isinstance(value, list):
-                flat = not any(isinstance(item, (dict, list)) for item in value)
-                svals.append((_utf8(str(value)).decode() if value else "") if flat else None)
-            else:
-                svals.append(None)
-            if depth > MAX_DEPTH:
-                put(_utf8(json.dumps(value, ensure_ascii=False)))
-            elif isinstance(value, dict):
-                put(b"{")
-                for at, (name, item) in enumerate(value.items()):
-                    name = "null" if name is None else name if name.isascii() else _utf8(name).decode()
-                    put((b", " if at else b"") + _utf8(encode_basestring(name)) + b": ")
-                    inside = None if level is None else level + 1 if isinstance(item, dict) else level
-                    visit(item, node, depth + 1, name, at, embedded, inside)
-                put(b"}")
-            else:
-                # a list inside a list is one cell when flattened: its items have no level
-                nested = parent is not None and kinds[base + parent] == "list"
-                put(b"[")
-                for at, item in enumerate(value):
-                    if at:
-                        put(b", ")
-                    if level is None or nested:
-                        inside = None
+        """Append one document's nodes; returns its JSON text, to which ``at`` points: the
+        document's own text, then those of the JSON that its strings hold."""
+        parents, depths, keys, texts, codes = self.parents, self.depths, self.keys, self.texts, self.codes
+        base = len(parents)
+        documents: list[str] = []
+
+        def start(value, parent: int, depth: int) -> None:
+            documents.append(json.dumps(value, ensure_ascii=False))
+            visit((None,), (value,), parent, depth)
+
+        def visit(names, values, parent: int, depth: int) -> None:
+            for key, value in zip(names, values):
+                kind = type(value)
+                parents.append(parent)
+                depths.append(depth)
+                keys.append(key)
+                codes.append(_CODES[kind])
+                if kind is str:
+                    texts.append(value)
+                    if value.startswith(("{", "[")) and depth < MAX_DEPTH:
+                        node = len(parents) - 1
+                        try:
+                            inner = json.loads(value)
+                        except (ValueError, RecursionError):
+                            continue
+                        start(inner, node, depth + 1)
+                elif kind is dict or kind is list:
+                    flat = kind is list and not any(type(item) is dict or type(item) is list for item in value)
+                    texts.append((str(value) if value else "") if flat else None)
+                    if depth > MAX_DEPTH:
+                        self.json_sizes[len(parents) - 1] = len(
+                            json.dumps(value, ensure_ascii=False).encode("utf-8", "replace")
+                        )
+                    elif kind is dict:
+                        names_here = ["null" if name is None else name for name in value] if None in value else value
+                        visit(names_here, value.values(), len(parents) - 1, depth + 1)
                     else:
-                        inside = level + 1 if isinstance(item, dict) else level
-                    visit(item, node, depth + 1, None, at, embedded, inside)
-                put(b"]")
-            lasts[slot] = len(parents) - 1 - base
-            sizes[slot] = length - ats[slot]
-
-        def embedded_visit(inner, node, depth):
-            # parked: positions inside the document's own text must stay contiguous
-            nonlocal pieces, length
-            kept, kept_length = pieces, length
-            pieces, length = [], 0
-            first = len(parents)
-            visit(inner, node, depth, None, 0, True, None)
-            pending.append(((first, len(parents)), b"".join(pieces)))
-            pieces, length = kept, kept_length
-
-        visit(tree, None, 0, None, 0, False, 0 if isinstance(tree, dict) else -1)
-        text = b"".join(pieces)
-        # innermost embedded texts are parked first, so a node is shifted by its own text only
-        shifted: set[int] = set()
-        for (first, end), inner_text in pending:
-            for slot in range(first, end):
-                if slot not in shifted:
-                    ats[slot] += len(text)
-                    shifted.add(slot)
-            text += inner_text
+                        visit(repeat(None), value, len(parents) - 1, depth + 1)
+                elif value is None:
+                    texts.append("")
+                else:
+                    texts.append(str(value))
+                    if kind is float and not isfinite(value):
+                        self.json_sizes[len(parents) - 1] = len(json.dumps(value))
+
+        start(tree, -1, 0)
         self.counts.append(len(parents) - base)
-        return text
+        return "".join(documents).encode("utf-8", "replace")
 
     def array(self) -> pa.Array:
         counts = np.asarray(self.counts, dtype=np.int64)
-        total = int(counts.sum())
-        starts = np.cumsum(counts) - counts
-        first = np.repeat(starts, counts)
-        ids = np.arange(total, dtype=np.int64) - first
-        parent = np.array([-1 if p is None else p for p in self.columns["parent"]], dtype=np.int64)
-        # children of a node, in order: a stable sort of the non-root nodes by their parent
-        inner = np.flatnonzero(parent >= 0)
-        owner = parent[inner] + first[inner]
-        order = np.argsort(owner, kind="stable")
-        kid_counts = np.bincount(owner, minlength=total) if total else np.zeros(0, dtype=np.int64)
-        offsets = np.concatenate([[0], np.cumsum(kid_counts)]).astype(np.int32)
+        total = len(self)
+        first = np.repeat(np.cumsum(counts) - counts, counts)  # the batch position of each node's document
+        here = np.arange(total, dtype=np.int64)
+        parent = np.asarray(self.parents, dtype=np.int64)
+        depth = np.asarray(self.depths, dtype=np.int64)
+        code = np.asarray(self.codes, dtype=np.int8)
+        is_root = parent < 0
+        above = np.where(is_root, here, parent)
+        by_depth = np.argsort(depth, kind="stable")
+        cuts = np.searchsorted(depth[by_depth], np.arange(depth.max(initial=0) + 2))
+        levels = [by_depth[cuts[d] : cuts[d + 1]] for d in range(1, len(cuts) - 1)]  # without the roots
+
+        # children in order, and a node's position among them
+        inner = np.flatnonzero(~is_root)
+        order = np.argsort(parent[inner], kind="stable")
+        kid_counts = np.bincount(parent[inner], minlength=total)
+        offsets = np.concatenate([[0], np.cumsum(kid_counts)])
         kids = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), pa.array(ids[inner][order].astype(np.int32), pa.int32())
+            pa.array(offsets.astype(np.int32)), pa.array((here - first)[inner][order].astype(np.int32))
         )
-        ints = {"parent", "last", "depth", "pos", "level", "at", "size"}
-        fields = []
-        for field in NODE_TYPE.fields:
-            if field.name == "id":
-                fields.append(pa.array(ids.astype(np.int32)))
-            elif field.name == "kids":
-                fields.append(kids)
-            else:
-                kind = pa.int32() if field.name in ints else pa.bool_() if field.name == "embedded" else pa.string()
-                fields.append(pa.array(self.columns[field.name], type=kind))
-        structs = pa.StructArray.from_arrays(fields, names=NODE_TYPE.fieldNames())
-        list_offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(list_offsets, pa.int32()), structs)
+        pos = np.zeros(total, dtype=np.int64)
+        pos[inner[order]] = np.arange(len(inner)) - offsets[parent[inner][order]]
+
+        # downwards: what a node inherits. upwards: how many nodes lie below it
+        starts_text = is_root | (code[above] == _STR)  # a document, or the JSON inside a string
+        embedded = np.zeros(total, dtype=bool)
+        level = np.where(code == _DICT, 0, -1)
+        text_of = here.copy()
+        for nodes in levels:
+            up = parent[nodes]
+            embedded[nodes] = embedded[up] | (code[up] == _STR)
+            closed = (code[up] == _LIST) & (code[above[up]] == _LIST) & (above[up] != up)
+            none = embedded[nodes] | closed | (level[up] == _NO_LEVEL)
+            level[nodes] = np.where(none, _NO_LEVEL, level[up] + (code[nodes] == _DICT))
+            text_of[nodes] = np.where(starts_text[nodes], nodes, text_of[up])
+        below = np.ones(total, dtype=np.int64)
+        below_in_text = np.ones(total, dtype=np.int64)
+        for nodes in reversed(levels):
+            np.add.at(below, parent[nodes], below[nodes])
+            same = nodes[~starts_text[nodes]]
+            np.add.at(below_in_text, parent[same], below_in_text[same])
+
+        at, size = self._text_positions(counts, code, pos, above, starts_text, text_of, below_in_text)
+
+        def ints(values: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
+            return pa.array(values.astype(np.int32), pa.int32(), mask=null)
+
+        kinds = pa.DictionaryArray.from_arrays(pa.array(code), pa.array(_KIND_NAMES)).cast(pa.string())
+        columns = {
+            "id": ints(here - first),
+            "parent": ints(above - first, is_root),
+            "last": ints(here - first + below - 1),
+            "depth": ints(depth),
+            "key": _strings(self.keys),
+            "pos": ints(pos),
+            "kind": kinds,
+            "sval": _strings(self.texts),
+            "embedded": pa.array(embedded),
+            "level": ints(level, level == _NO_LEVEL),
+            "at": ints(at),
+            "size": ints(size),
+            "kids": kids,
+            "path": _strings(self._paths(pos)) if self.paths else pa.nulls(total, pa.string()),
+        }
+        structs = pa.StructArray.from_arrays([columns[f.name] for f in NODE_TYPE.fields], names=NODE_TYPE.fieldNames())
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), structs)
+
+    def _text_positions(self, counts, code, pos, above, starts_text, text_of, below_in_text):
+        """Byte position and length of every node in its document's JSON text.
+
+        The text is a sequence of tokens: per node its separator and key, then a scalar's text or an
+        opening bracket; closing brackets follow the last node of their container.
+        """
+        total = len(code)
+        if total == 0:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        own = _byte_lengths(["" if t is None else t for t in self.texts]).astype(np.int64)
+        quoted = np.flatnonzero(code == _STR)
+        own[quoted] = _byte_lengths([encode_basestring(self.texts[i]) for i in quoted])
+        own[code == _NULL] = 4
+        opens = (code == _DICT) | (code == _LIST)
+        own[opens] = 1
+        for node, length in self.json_sizes.items():
+            own[node], opens[node] = length, False
+        in_dict = (code[above] == _DICT) & ~starts_text
+        lead = np.where((pos > 0) & ~starts_text, 2, 0)
+        named = np.flatnonzero(in_dict)
+        lead[named] += _byte_lengths([encode_basestring(self.keys[i]) for i in named]) + 2
+
+        # the texts one after the other, each one's nodes together
+        order = np.argsort(text_of, kind="stable")
+        place = np.empty(total, dtype=np.int64)
+        place[order] = np.arange(total)
+        boxes = np.flatnonzero(opens)
+        ends = place[boxes] + below_in_text[boxes] - 1
+        closing = np.bincount(ends, minlength=total)
+        tokens = (lead + own)[order]
+        written = np.cumsum(tokens + closing)
+        before = written - tokens - closing
+        start = before[place] + lead
+        size = own.copy()
+        # of the brackets closed at one place, the innermost comes first
+        ranking = np.lexsort((-place[boxes], ends))
+        closed_here = np.empty(len(boxes), dtype=np.int64)
+        group_start = np.searchsorted(ends[ranking], ends[ranking], side="left")
+        closed_here[ranking] = np.arange(len(boxes)) - group_start + 1
+        size[boxes] = written[ends] - closing[ends] + closed_here - start[boxes]
+        doc_first = np.cumsum(counts) - counts
+        bases = np.zeros(len(counts), dtype=np.int64)
+        filled = counts > 0
+        bases[filled] = before[doc_first[filled]]
+        return start - np.repeat(bases, counts), size
+
+    def _paths(self, pos: np.ndarray) -> list[str]:
+        paths: list[str] = []
+        for parent, key, at in zip(self.parents, self.keys, pos.tolist()):
+            if parent < 0:
+                paths.append("")
+                continue
+            name = key if key is not None else str(at)
+            paths.append(f"{paths[parent]}.{name}" if paths[parent] else name)
+        return paths
 
 
 def _tree_array(formats: list, texts: list, nodes: _Nodes) -> pa.Array:
@@ -221,6 +277,23 @@ def _tree_array(formats: list, texts: list, nodes: _Nodes) -> pa.Array:
     )
 
 
+SMALL_SPLIT = 8 * 1024 * 1024
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input over all cores if it is small.
+
+    A small file is one split, hence one core, however costly its rows are to parse. Below
+    ``SMALL_SPLIT`` bytes per core the exchange is cheap and its size bounded by that very
+    estimate; a large input has splits enough and is left alone.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate < cores * SMALL_SPLIT else df
+
+
 def shred(
     df: DataFrame,
     body: str,
@@ -243,7 +316,7 @@ def shred(
     if format is not None and format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {', '.join(FORMATS)}")
     carried = [c for c in df.columns if c != body] if keep is None else list(keep)
-    source = df.select(*carried, F.col(body).cast("binary").alias("__body"))
+    source = spread_small(df).select(*carried, F.col(body).cast("binary").alias("__body"))
     added = [T.StructField("item", T.IntegerType())] if split_lists else []
     schema = T.StructType([source.schema[c] for c in carried] + added + [T.StructField("tree", TREE_TYPE)])
 
@@ -289,7 +362,7 @@ def shred(
 def detect_format(df: DataFrame, body: str, keep: Iterable[str] | None = None) -> DataFrame:
     """Add the detected format as column ``format``, without building any nodes."""
     carried = [c for c in df.columns if c != body] if keep is None else list(keep)
-    source = df.select(*carried, F.col(body).cast("binary").alias("__body"))
+    source = spread_small(df).select(*carried, F.col(body).cast("binary").alias("__body"))
     schema = T.StructType([source.schema[c] for c in carried] + [T.StructField("format", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
