@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_lossy, split_lines
 from .rows import explode_rows
 from .shred import shred
-from .steps import Path, resolve, value_json, value_text
+from .steps import Path, resolve, shred_for, value_json, value_text
 
 # Keys whose list is the main list of a document however many scalars surround it.
 MAIN_LIST_KEYS = ("results", "products", "organic_results", "items")
@@ -363,7 +363,7 @@ def result_envelope(responses: DataFrame) -> DataFrame:
 
 def _resolved_fields(responses: DataFrame, fields: Mapping[str, Path]) -> tuple[DataFrame, list[str]]:
     source = responses.filter(~F.col("skipped")).withColumn("__payload", F.col("body"))
-    df, parts = shred(source, "__payload", "json"), []
+    df, parts = shred_for(source, "__payload", *fields.values(), format="json"), []
     for i, expression in enumerate(fields.values()):
         df = resolve(df, expression, f"__f{i}")
         parts.append(f"__f{i}")

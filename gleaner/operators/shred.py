@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .parsers import FORMATS, parse_payload
+from .reach import Reach, prune
 
 MAX_DEPTH = 100  # recursive search goes no deeper
 NODES_PER_BATCH = 100_000
@@ -301,6 +302,7 @@ def shred(
     keep: Iterable[str] | None = None,
     split_lists: bool = False,
     paths: bool = False,
+    reach: Reach | None = None,
 ) -> DataFrame:
     """Parse the payload column and add its tree as column ``tree``.
 
@@ -311,7 +313,7 @@ def shred(
     ``split_lists`` turns a payload that is a list (JSON array, NDJSON, CSV) into one row per
     item, numbered in column ``item`` (null otherwise), so that a payload with very many items
     never has to fit into one row. ``paths`` fills the nodes' dotted paths, which only
-    flattening needs.
+    flattening needs. ``reach`` limits the tree to what some paths need, see ``shred_for``.
     """
     if format is not None and format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {', '.join(FORMATS)}")
@@ -325,9 +327,9 @@ def shred(
             name, tree = parse_payload(bodies[at].as_py(), format)
             if split_lists and name is not None and isinstance(tree, list):
                 for number, item in enumerate(tree):
-                    yield at, number, name, item
+                    yield at, number, name, item if reach is None else prune(item, reach)
             else:
-                yield at, None, name, tree
+                yield at, None, name, tree if reach is None or name is None else prune(tree, reach)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

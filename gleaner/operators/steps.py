@@ -17,14 +17,16 @@ from __future__ import annotations
 
 import itertools
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import glob_to_regex, value_pattern
+from .reach import reach_of
 from .rows import explode_rows
 from .shred import MAX_DEPTH, shred
 
@@ -231,11 +233,12 @@ class Path:
     """A chain of steps. Every method returns a longer path; nothing is evaluated."""
 
     steps: tuple[StepFn, ...] = ()
+    ops: tuple[tuple[str, Any], ...] = ()  # (step, argument), tells what the path can reach
     plain: tuple[str | int, ...] | None = ()  # keys and indexes only, for the variant reader
 
-    def _then(self, step: StepFn, plain: str | int | None = None) -> Path:
+    def _then(self, step: StepFn, op: str, arg: Any = None, plain: str | int | None = None) -> Path:
         kept = None if plain is None or self.plain is None else self.plain + (plain,)
-        return Path(self.steps + (step,), kept)
+        return Path(self.steps + (step,), self.ops + ((op, arg),), kept)
 
     # -- navigation: maps over lists -------------------------------------------------
 
@@ -250,7 +253,7 @@ class Path:
             found = _only(candidates, lambda i: f"coalesce({_let(tree.node(i), wanted)}, false)")
             return _map(found, lambda i: _group(mapped, ONE, f"array({_el(i)})"))
 
-        return self._then(step, name)
+        return self._then(step, "key", name, plain=name)
 
     def _each_dict(self, to_el: Callable[[Tree, Sql], Sql]) -> Path:
         def step(tree: Tree, group: Sql) -> Sql:
@@ -260,7 +263,7 @@ class Path:
             of_sub_dict = _group(mapped, LIST, _map(f"{group}.els", lambda e: to_el(tree, f"{e}.id")))
             return f"if({group}.form = {DICT}, array({of_sub_dict}), {per_item})"
 
-        return self._then(step)
+        return self._then(step, "all")
 
     def keys(self) -> Path:
         """The keys of a dict as a list."""
@@ -301,7 +304,7 @@ class Path:
                 lambda found: _keep_if(f"size({found}) > 0", _group(f"{group}.mapped", LIST, _map(found, _el))),
             )
 
-        return self._then(step)
+        return self._then(step, "up" if up else "recurse", name)
 
     def recurse(self, name: str) -> Path:
         """Every value under that key (a glob if it has a ``*``) at any depth, in document
@@ -322,7 +325,7 @@ class Path:
             chosen = lambda el: _keep_if(f"{el} is not null", _group(f"{group}.mapped", ONE, f"array({el})"))
             return _let(tree.members(group), lambda els: _let(f"get({els}, {where(els)})", chosen))
 
-        return self._then(step, at if at >= 0 else None)
+        return self._then(step, "select", plain=at if at >= 0 else None)
 
     def pick(self, *positions: int) -> Path:
         """Several items in the given order; positions out of range are left out."""
@@ -339,7 +342,7 @@ class Path:
 
             return _let(tree.members(group), picked)
 
-        return self._then(step)
+        return self._then(step, "select")
 
     def slice(self, start: int | None = None, stop: int | None = None) -> Path:
         """Half-open range, open or negative ends allowed; a dict keeps a sub-dict."""
@@ -359,11 +362,13 @@ class Path:
 
             return _let(tree.members(group), cut)
 
-        return self._then(step)
+        return self._then(step, "select")
 
     # -- filters ---------------------------------------------------------------------
 
-    def _where(self, keep_el: Callable[[Tree, Sql], Sql], keep_dict: Callable[[Tree, Sql], Sql]) -> Path:
+    def _where(
+        self, keep_el: Callable[[Tree, Sql], Sql], keep_dict: Callable[[Tree, Sql], Sql], op: str, arg: Any = None
+    ) -> Path:
         def step(tree: Tree, group: Sql) -> Sql:
             filtered = _let(
                 _only(f"{group}.els", lambda e: f"coalesce({keep_el(tree, e)}, false)"),
@@ -371,23 +376,28 @@ class Path:
             )
             return f"if({group}.form = {DICT}, {_keep_if(keep_dict(tree, group), group)}, {filtered})"
 
-        return self._then(step)
+        return self._then(step, op, arg)
 
     def where_value(self, pattern: str) -> Path:
         """Keep scalars that match; containers and null never do."""
-        return self._where(lambda tree, e: _test(tree.scalar_text(e), pattern), lambda tree, g: "false")
+        return self._where(
+            lambda tree, e: _test(tree.scalar_text(e), pattern), lambda tree, g: "false", "where_value"
+        )
 
     def where_value_not(self, pattern: str) -> Path:
         """Keep values that do not match, containers included; null goes."""
         return self._where(
             lambda tree, e: f"not {tree.is_null(e)} and not {_test(tree.scalar_text(e), pattern)}",
             lambda tree, g: "true",
+            "where_value",
         )
 
     def _where_child(self, key: str, pattern: str, sign: str) -> Path:
         return self._where(
             lambda tree, e: f"{tree.kind(f'{e}.id')} = 'dict' and {sign} {tree.has_child(tree.kids(f'{e}.id'), key, pattern)}",
             lambda tree, g: f"{sign} {tree.has_child(_map(f'{g}.els', lambda e: f'{e}.id'), key, pattern)}",
+            "where_child",
+            key,
         )
 
     def where_child(self, key: str, pattern: str) -> Path:
@@ -409,7 +419,7 @@ class Path:
             found = _map(f"array_sort(array_distinct({ids}))", lambda i: _el(tree.ancestor(i, levels)))
             return _keep_if(f"size({ids}) > 0 and {group}.form != {DICT}", _group(f"{group}.mapped", LIST, found))
 
-        return self._then(step)
+        return self._then(step, "up")
 
 
 def path(*keys: str) -> Path:
@@ -440,6 +450,20 @@ def _closed(tree: Tree, group: Sql) -> Sql:
     )
 
 
+def shred_for(
+    df: DataFrame,
+    body: str,
+    *paths: Path,
+    format: str | None = None,
+    keep: Iterable[str] | None = None,
+    split_lists: bool = False,
+) -> DataFrame:
+    """``shred`` for the given paths only: the parts of a document that none of them can reach are
+    dropped right after parsing."""
+    reach = reach_of([p.ops for p in paths])
+    return shred(df, body, format, keep, split_lists, reach=reach)
+
+
 def resolve(df: DataFrame, expression: Path, out: str, tree: str = "tree") -> DataFrame:
     """Add the path's result as ``struct<is_list, items: array<struct<kind, text, json>>>``, null
     where nothing matched. An empty list is a match."""
@@ -536,7 +560,7 @@ def filter_fields(df: DataFrame, schema: Mapping[str, Path], body: str, out: str
     JSON comes back unchanged.
     """
     source = df.withColumn("__payload", F.col(body))
-    split = shred(source, "__payload", "json", split_lists=True)
+    split = shred_for(source, "__payload", *schema.values(), format="json", split_lists=True)
     whole = F.col("tree.format").isNull()
     return (
         _record(split, schema, "tree", out)
@@ -562,7 +586,7 @@ def fast_values(df: DataFrame, body: str, expression: Path, out: str, keep: tupl
     )
     probed = df.select(*keep, body, quick.alias("__quick"))
     rest = probed.select(*keep, "__quick", F.when(F.col("__quick").isNull(), F.col(body)).alias("__rest"))
-    shredded = resolve(shred(rest, "__rest", "json"), expression, "__slow")
+    shredded = resolve(shred_for(rest, "__rest", expression, format="json"), expression, "__slow")
     return shredded.select(*keep, F.coalesce("__quick", value_text("__slow")).alias(out))
 
 

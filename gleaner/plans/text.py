@@ -140,7 +140,8 @@ def chain_keys(spark, sf):
     """SELECT o.o_orderkey AS id, c.c_name FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
 )
 def chain_extracted_keys(spark, sf):
-    found = extract_values(order_trees(spark, sf), path("customer", "key"), "id")
+    key = path("customer", "key")
+    found = extract_values(order_trees(spark, sf, key), key, "id")
     customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("value"), "c_name")
     return found.join(customers, "value").select("id", "c_name")
 

@@ -13,8 +13,10 @@ from ..operators.steps import Path, path
 from .base import ORDER_DOCS_SQL, order_documents, query, table
 
 
-def order_trees(spark, sf):
-    return shred(order_documents(spark, sf), "body", "json")
+def order_trees(spark, sf, *paths: Path):
+    """The order documents, shredded as far as the given paths reach (whole without any)."""
+    docs = order_documents(spark, sf)
+    return steps.shred_for(docs, "body", *paths, format="json") if paths else shred(docs, "body", "json")
 
 
 # -- D: shredding ----------------------------------------------------------------------
@@ -217,7 +219,7 @@ def step_query(name: str, expression: Path, oracle: str, ids: str = "id") -> Non
 
     @query(name, f"WITH {ORDER_DOCS_SQL} SELECT CAST(id AS BIGINT) AS id, CAST(ord AS BIGINT) AS ord, CAST(value AS VARCHAR) AS value FROM ({oracle})")
     def run(spark, sf):
-        values = steps.extract_values(order_trees(spark, sf), expression, ids)
+        values = steps.extract_values(order_trees(spark, sf, expression), expression, ids)
         return values.select("id", F.col("ord").cast("long").alias("ord"), "value")
 
 
@@ -291,7 +293,7 @@ step_query(
 
 
 def _combined(spark, sf, combine, *expressions):
-    df = combine(order_trees(spark, sf), *expressions, out="found")
+    df = combine(order_trees(spark, sf, *expressions), *expressions, out="found")
     return steps.explode_values(df, "found", "id").select("id", F.col("ord").cast("long").alias("ord"), "value")
 
 
@@ -342,7 +344,7 @@ def extract_schema(spark, sf):
         "names": path("amounts", "name"),
         "none": path("tags").slice(9, None),
     }
-    return steps.extract_schema(order_trees(spark, sf), schema, "id")
+    return steps.extract_schema(order_trees(spark, sf, *schema.values()), schema, "id")
 
 
 @query(
