@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import BYTE_WHITESPACE
-from .urls import split_url
 
 # Content types and the file kinds they stand for, the kinds recognised at the end
 # of a URL path, and the kinds stored apart from the text payloads.
@@ -86,9 +85,9 @@ def kind_from_content_type(headers: Column) -> Column:
 def kind_from_url_path(url: Column) -> Column:
     """Known kind at the end of the URL path, else null."""
     # a trailing ";parameter" does not belong to the path
-    path = F.regexp_replace(split_url(url).path, r";[^/]*$", "")
-    last = F.regexp_extract(F.btrim(path, F.lit("/")), r"([^/]*)$", 1)
-    ending = F.lower(F.regexp_extract(last, r"\.([^.]*)$", 1))
+    path = F.regexp_extract(url, r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    kept = F.btrim(F.regexp_replace(path, r";[^/]*$", ""), F.lit("/"))
+    ending = F.lower(F.regexp_extract(kept, r"\.([^./]*)$", 1))
     return F.when(ending.isin(*URL_PATH_KINDS), ending)
 
 

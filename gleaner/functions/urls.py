@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -21,17 +22,28 @@ class UrlParts:
     query: Column
 
 
-def split_url(url: Column) -> UrlParts:
-    """Scheme (lowercase), host part, path and query; absent parts are ``''``.
+# a character that no text may contain, put between the parts
+_MARK = "\ufdd0"
 
-    ``regexp_extract`` never raises, while ``parse_url`` does on bad input under ANSI mode.
+
+def _bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def with_parts(url: Column, fn: Callable[[UrlParts], Column]) -> Column:
+    """An expression over scheme (lowercase), host part, path and query; absent parts are ``''``.
+
+    Regular expressions never raise, while ``parse_url`` does on bad input under ANSI mode. One
+    replacement finds all parts, and it runs once per URL.
     """
-    return UrlParts(
-        scheme=F.lower(F.regexp_extract(url, URI_PATTERN, 1)),
-        host=F.regexp_extract(url, URI_PATTERN, 2),
-        path=F.regexp_extract(url, URI_PATTERN, 3),
-        query=F.regexp_extract(url, URI_PATTERN, 4),
-    )
+    marked = F.regexp_replace(url, URI_PATTERN, _MARK.join(("$1", "$2", "$3", "$4")))
+
+    def over(parts: Column) -> Column:
+        at = lambda i: F.get(parts, F.lit(i))
+        return fn(UrlParts(F.lower(at(0)), at(1), at(2), at(3)))
+
+    return _bind(F.split(marked, _MARK, 4), over)
 
 
 def _prefixed(mark: str, text: Column) -> Column:
@@ -45,25 +57,30 @@ def _strip_slashes(text: Column) -> Column:
 def normalize_batch_url(url: Column) -> Column:
     """Key used to deduplicate inputs: scheme and host lowercase, no fragment, no
     trailing ``/``. Values without a scheme (queries, product codes) stay as they are."""
-    parts = split_url(url)
-    rebuilt = F.concat(
-        parts.scheme,
-        F.lit(":"),
-        _prefixed("//", F.lower(parts.host)),
-        parts.path,
-        _prefixed("?", parts.query),
-    )
-    return F.when(parts.scheme == "", url).otherwise(_strip_slashes(rebuilt))
+
+    def rebuilt(parts: UrlParts) -> Column:
+        whole = F.concat(
+            parts.scheme,
+            F.lit(":"),
+            _prefixed("//", F.lower(parts.host)),
+            parts.path,
+            _prefixed("?", parts.query),
+        )
+        return F.when(parts.scheme == "", url).otherwise(_strip_slashes(whole))
+
+    return with_parts(url, rebuilt)
 
 
 def normalize_crawl_url(url: Column) -> Column:
     """Key used by the crawl's seen-set: no fragment, ``…/index.html`` means its folder,
     no trailing ``/`` except for the root; query and host case are kept."""
-    parts = split_url(url)
-    folder = F.regexp_replace(parts.path, r"(?i)/index\.html?$", "/")
-    trimmed = _strip_slashes(folder)
-    path = F.when(trimmed == "", F.lit("/")).otherwise(trimmed)
-    return F.concat(parts.scheme, F.lit("://"), parts.host, path, _prefixed("?", parts.query))
+
+    def rebuilt(parts: UrlParts) -> Column:
+        trimmed = _strip_slashes(F.regexp_replace(parts.path, r"(?i)/index\.html?$", "/"))
+        path = F.coalesce(F.nullif(trimmed, F.lit("")), F.lit("/"))
+        return F.concat(parts.scheme, F.lit("://"), parts.host, path, _prefixed("?", parts.query))
+
+    return with_parts(url, rebuilt)
 
 
 def ensure_scheme(url: Column) -> Column:
@@ -72,9 +89,14 @@ def ensure_scheme(url: Column) -> Column:
     return F.when(known | (url == ""), url).otherwise(F.concat(F.lit("https://"), url))
 
 
+def url_scheme(url: Column) -> Column:
+    """Lowercase scheme, ``''`` without one."""
+    return F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+
+
 def url_host(url: Column) -> Column:
     """Lowercase host part (with port), null when the URL has none."""
-    host = F.lower(split_url(url).host)
+    host = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1))
     return F.when(host != "", host)
 
 
@@ -111,36 +133,28 @@ def _without_dot_segments(path: Column) -> Column:
 
 def join_url(base: Column, href: Column) -> Column:
     """Absolute form of ``href`` found on the page ``base``."""
-    page, link = split_url(base), split_url(href)
-    origin = F.concat(page.scheme, F.lit("://"), page.host)
-    fragment = F.regexp_extract(href, URI_PATTERN, 5)
-    tail = F.concat(_prefixed("?", link.query), _prefixed("#", fragment))
-    base_path = F.when(page.path == "", F.lit("/")).otherwise(page.path)
-    folder = F.regexp_replace(base_path, r"[^/]*$", "")
-    relative = F.concat(folder, link.path)
-    return (
-        F.when(href == "", base)
-        .when(
-            (link.scheme != "") & (link.scheme != page.scheme) | (link.scheme != "") & (link.host != ""),
-            F.concat(link.scheme, F.lit(":"), _prefixed("//", link.host),
-                     F.when(link.host != "", _without_dot_segments(link.path)).otherwise(link.path), tail),
+    fragment = _prefixed("#", F.regexp_extract(href, URI_PATTERN, 5))
+
+    def joined(page: UrlParts, link: UrlParts) -> Column:
+        origin = F.concat(page.scheme, F.lit("://"), page.host)
+        tail = F.concat(_prefixed("?", link.query), fragment)
+        own_scheme = (link.scheme != "") & ((link.scheme != page.scheme) | (link.host != ""))
+        own_path = F.when(link.host != "", _without_dot_segments(link.path)).otherwise(link.path)
+        folder = F.regexp_replace(F.coalesce(F.nullif(page.path, F.lit("")), F.lit("/")), r"[^/]*$", "")
+        query = F.when(link.query != "", link.query).otherwise(page.query)
+        return (
+            F.when(href == "", base)
+            .when(own_scheme, F.concat(link.scheme, F.lit(":"), _prefixed("//", link.host), own_path, tail))
+            .when(
+                href.startswith("//"),
+                F.concat(page.scheme, F.lit("://"), link.host, _without_dot_segments(link.path), tail),
+            )
+            .when(link.path == "", F.concat(origin, page.path, _prefixed("?", query), fragment))
+            .when(link.path.startswith("/"), F.concat(origin, _without_dot_segments(link.path), tail))
+            .otherwise(F.concat(origin, _without_dot_segments(F.concat(folder, link.path)), tail))
         )
-        .when(
-            href.startswith("//"),
-            F.concat(page.scheme, F.lit("://"), link.host, _without_dot_segments(link.path), tail),
-        )
-        .when(
-            link.path == "",
-            F.concat(
-                origin,
-                page.path,
-                F.when(link.query != "", _prefixed("?", link.query)).otherwise(_prefixed("?", page.query)),
-                _prefixed("#", fragment),
-            ),
-        )
-        .when(link.path.startswith("/"), F.concat(origin, _without_dot_segments(link.path), tail))
-        .otherwise(F.concat(origin, _without_dot_segments(relative), tail))
-    )
+
+    return with_parts(base, lambda page: with_parts(href, lambda link: joined(page, link)))
 
 
 def is_plain_ascii_url(url: Column) -> Column:
@@ -148,6 +162,6 @@ def is_plain_ascii_url(url: Column) -> Column:
 
     A ``%XX`` escape decodes to printable ASCII exactly for 20..7E, so the test needs no decoding.
     """
-    parts = split_url(url)
-    tail = F.concat(parts.path, parts.query)
-    return ~tail.rlike(r"[^\x20-\x7E]") & ~tail.rlike(r"%(?:[01][0-9A-Fa-f]|7[Ff]|[89A-Fa-f][0-9A-Fa-f])")
+    odd = r"[^\x20-\x7E]|%(?:[01][0-9A-Fa-f]|7[Ff]|[89A-Fa-f][0-9A-Fa-f])"
+    # behind the host and before the fragment; a host ends at the first "/", "?" or "#"
+    return ~url.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?[^#]*?(?:" + odd + ")")

@@ -21,26 +21,32 @@ def node_paths(df: DataFrame, *ids: str, tree: str = "tree") -> DataFrame:
     """
     nodes = f"{tree}.nodes"
     name = lambda n: f"if(rlike({n}.key, '[.\\\\[\\\\](){{}}… ]'), concat('(', {n}.key, ')'), {n}.key)"
-    # from the root down: a node's prefix is its parent's prefix plus its own key
-    fold = (
-        f"aggregate(filter({nodes}, n -> n.depth <= {CATALOG_DEPTH}), "
-        "cast(map() as map<int,string>), (seen, n) -> "
-        f"case when n.parent is null then map(n.id, '') "
-        f"when not map_contains_key(seen, n.parent) then seen "
-        f"when n.key is not null then map_concat(seen, map(n.id, if(seen[n.parent] = '', {name('n')}, concat(seen[n.parent], '.', {name('n')})))) "
-        f"when get({nodes}, n.parent).kind = 'str' or (n.pos = 0 and n.kind = 'dict') then map_concat(seen, map(n.id, seen[n.parent])) "
-        f"else seen end)"
+    # from the root down, one pass per level: a prefix is the parent's prefix plus the node's own key
+    prefixed = df.select(
+        *ids,
+        F.col(nodes).alias("__n"),
+        F.expr(f"transform({nodes}, n -> if(n.parent is null, '', null))").alias("__p"),
     )
-    prefixed = df.select(*ids, F.expr(f"{nodes}").alias("__n"), F.expr(fold).alias("__p"))
-    own = "if(n.key is null, cast(array() as array<string>), array(__p[n.id]))"
+    above = "get(__p, n.parent)"
+    inherits = "get(__n, n.parent).kind = 'str' or (n.pos = 0 and n.kind = 'dict')"
+    step = (
+        f"case when {above} is null then null "
+        f"when n.key is not null then if({above} = '', {name('n')}, concat({above}, '.', {name('n')})) "
+        f"when {inherits} then {above} end"
+    )
+    for depth in range(1, CATALOG_DEPTH + 1):
+        prefixed = prefixed.withColumn(
+            "__p", F.expr(f"transform(__n, (n, i) -> if(n.depth = {depth}, {step}, get(__p, i)))")
+        )
+    own = "if(n.key is null, cast(array() as array<string>), array(get(__p, n.id)))"
     inside = (
         f"case when n.depth >= {CATALOG_DEPTH} then cast(array() as array<string>) "
-        "when n.kind = 'dict' then array(concat(__p[n.id], '[keys]'), concat(__p[n.id], '[values]')) "
+        "when n.kind = 'dict' then array(concat(get(__p, n.id), '[keys]'), concat(get(__p, n.id), '[values]')) "
         f"when n.kind = 'list' and size(n.kids) > 0 then transform(sequence(0, least(size(n.kids), {LIST_HINTS}) - 1), "
-        "i -> concat(__p[n.id], '[', i, ']')) else cast(array() as array<string>) end"
+        "i -> concat(get(__p, n.id), '[', i, ']')) else cast(array() as array<string>) end"
     )
     paths = F.expr(
-        f"flatten(transform(filter(__n, n -> map_contains_key(__p, n.id)), n -> concat({own}, {inside})))"
+        f"flatten(transform(filter(__n, n -> get(__p, n.id) is not null), n -> concat({own}, {inside})))"
     )
     return explode_rows(prefixed, ids, paths, "path")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,14 @@ from ..functions.kinds import truthy, wants_extraction, wants_screenshot
 from ..functions.urls import normalize_crawl_url
 from ..session import cut_lineage
 from .ordered import numbered
+from .rows import spread_small
 
 SEEN_PARTS = 8  # tables of seen URLs that may pile up before they are compacted
+BROADCAST_URLS = 100_000  # URLs are counted before they are broadcast; beyond, the join shuffles
+
+
+def _side(urls: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(urls) if count <= BROADCAST_URLS else urls
 
 
 def crawl_frontier(
@@ -27,12 +35,14 @@ def crawl_frontier(
     ``max_depth`` are reached but not expanded; 0 sets no limit. ``known`` holds URLs that
     count as seen (``url``).
 
-    The links are normalised and deduplicated once. Every round joins the new URLs only,
-    keeps one row per target before anything is shuffled, and cuts its lineage with a checkpoint, so
-    that neither plan nor recovery grows with the depth.
+    The links are normalised and deduplicated once. Every round joins the new URLs only: while they
+    are few (they are counted) they go to the links, which then stay in place; a larger frontier is
+    a shuffle join, where the adaptive planner splits hub pages. One row per target is kept
+    before the result is shuffled, and a checkpoint cuts the lineage, so that neither plan nor
+    recovery grows with the depth.
     """
     edges = cut_lineage(
-        links.select(
+        spread_small(links).select(
             normalize_crawl_url(F.col("src_url")).alias("src_key"),
             normalize_crawl_url(F.col("dst_url")).alias("key"),
             F.struct("ord", F.col("dst_url").alias("url")).alias("via"),
@@ -53,33 +63,33 @@ def crawl_frontier(
         return cut_lineage(ordered.select("key", "url", F.lit(depth).alias("depth"), "rank"))
 
     level = as_level(start.withColumns({"__parent": F.lit(0).cast("long"), "__ord": F.lit(0).cast("long")}), 0)
+    size = level.count()
     levels = [level]
-    seen = [level.select("key")]
+    seen = [(level.select("key"), size)]
     if known is not None:
-        seen.append(cut_lineage(known_keys))
+        known_keys = cut_lineage(known_keys)
+        seen.append((known_keys, known_keys.count()))
     depth = 0
-    while (max_depth == 0 or depth < max_depth) and not level.isEmpty():
+    while (max_depth == 0 or depth < max_depth) and size:
         depth += 1
+        frontier = level.select(F.col("key").alias("src_key"), F.col("rank").alias("__parent"))
+        first = F.struct("__parent", F.col("via.ord").cast("long").alias("__ord"), F.col("via.url").alias("url"))
         reached = (
-            level.select(F.col("key").alias("src_key"), F.col("rank").alias("__parent"))
-            .join(edges, "src_key")
+            edges.join(_side(frontier, size), "src_key")
             .groupBy("key")
-            .agg(F.min(F.struct("__parent", F.col("via.ord").cast("long").alias("__ord"), F.col("via.url").alias("url"))).alias("first"))
+            .agg(F.min(first).alias("first"))
             .select("key", "first.*")
         )
-        for part in seen:
-            reached = reached.join(part, "key", "left_anti")
+        for part, count in seen:
+            reached = reached.join(_side(part, count), "key", "left_anti")
         level = as_level(reached, depth)
+        size = level.count()
         levels.append(level)
-        seen.append(level.select("key"))
+        seen.append((level.select("key"), size))
         if len(seen) > SEEN_PARTS:
-            whole = seen[0]
-            for part in seen[1:]:
-                whole = whole.unionByName(part)
-            seen = [cut_lineage(whole)]
-    visited = levels[0]
-    for more in levels[1:]:
-        visited = visited.unionByName(more)
+            whole = cut_lineage(reduce(DataFrame.unionByName, [part for part, _ in seen]))
+            seen = [(whole, sum(count for _, count in seen))]
+    visited = reduce(DataFrame.unionByName, levels)
     return visited if ranked else visited.drop("rank")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import BYTE_WHITESPACE, decode_lossy, strip
-from ..functions.urls import is_plain_ascii_url, join_url, split_url, url_host
+from ..functions.urls import is_plain_ascii_url, join_url, url_host, url_scheme
 from .rows import explode_rows
 
 # The link shapes of HTML and Markdown, links that lead to no page, and the five
@@ -101,7 +101,7 @@ def filter_links(
     semi-joined, not collected); ``None`` allows every host.
     """
     target = F.col(url)
-    keep = split_url(target).scheme.isin("http", "https") & is_plain_ascii_url(target)
+    keep = url_scheme(target).isin("http", "https") & is_plain_ascii_url(target)
     if include:
         keep = keep & target.rlike(include)
     if exclude:

@@ -1,4 +1,4 @@
-"""Turning a computed array into rows."""
+"""Rows: turning a computed array into rows, spreading few rows over all cores."""
 
 from __future__ import annotations
 
@@ -17,3 +17,20 @@ def explode_rows(df: DataFrame, keep: Sequence[str], array: Column, value: str,
     """
     rows = df.select(*keep, F.posexplode_outer(array).alias(pos, value)).filter(F.col(pos).isNotNull())
     return rows.drop(pos) if pos == "__pos" else rows
+
+
+SMALL_SPLIT = 8 * 1024 * 1024
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input over all cores if it is small.
+
+    A small file is one split, hence one core, however costly its rows are to parse. Below
+    ``SMALL_SPLIT`` bytes per core the exchange is cheap and its size bounded by that very
+    estimate; a large input has splits enough and is left alone.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate < cores * SMALL_SPLIT else df

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from .parsers import FORMATS, parse_payload
 from .reach import Reach, prune
+from .rows import spread_small
 
 MAX_DEPTH = 100  # recursive search goes no deeper
 NODES_PER_BATCH = 100_000
@@ -71,8 +72,15 @@ def _strings(texts: list) -> pa.Array:
         return pa.array(_clean(texts), pa.string())
 
 
-def _byte_lengths(texts: list) -> np.ndarray:
-    return pc.binary_length(_strings(texts)).to_numpy(zero_copy_only=False)
+def _byte_lengths(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _json_lengths(texts: pa.Array) -> np.ndarray:
+    """Byte lengths of texts in JSON form; repeated texts are measured once."""
+    coded = texts.dictionary_encode()
+    distinct = pa.array([encode_basestring(t) for t in coded.dictionary.to_pylist()], pa.string())
+    return _byte_lengths(distinct)[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 class _Nodes:
@@ -189,7 +197,8 @@ class _Nodes:
             same = nodes[~starts_text[nodes]]
             np.add.at(below_in_text, parent[same], below_in_text[same])
 
-        at, size = self._text_positions(counts, code, pos, above, starts_text, text_of, below_in_text)
+        keys, texts = _strings(self.keys), _strings(self.texts)
+        at, size = self._text_positions(keys, texts, counts, code, pos, above, starts_text, text_of, below_in_text)
 
         def ints(values: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
             return pa.array(values.astype(np.int32), pa.int32(), mask=null)
@@ -200,10 +209,10 @@ class _Nodes:
             "parent": ints(above - first, is_root),
             "last": ints(here - first + below - 1),
             "depth": ints(depth),
-            "key": _strings(self.keys),
+            "key": keys,
             "pos": ints(pos),
             "kind": kinds,
-            "sval": _strings(self.texts),
+            "sval": texts,
             "embedded": pa.array(embedded),
             "level": ints(level, level == _NO_LEVEL),
             "at": ints(at),
@@ -214,7 +223,7 @@ class _Nodes:
         structs = pa.StructArray.from_arrays([columns[f.name] for f in NODE_TYPE.fields], names=NODE_TYPE.fieldNames())
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), structs)
 
-    def _text_positions(self, counts, code, pos, above, starts_text, text_of, below_in_text):
+    def _text_positions(self, keys, texts, counts, code, pos, above, starts_text, text_of, below_in_text):
         """Byte position and length of every node in its document's JSON text.
 
         The text is a sequence of tokens: per node its separator and key, then a scalar's text or an
@@ -223,9 +232,9 @@ class _Nodes:
         total = len(code)
         if total == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        own = _byte_lengths(["" if t is None else t for t in self.texts]).astype(np.int64)
+        own = _byte_lengths(texts)
         quoted = np.flatnonzero(code == _STR)
-        own[quoted] = _byte_lengths([encode_basestring(self.texts[i]) for i in quoted])
+        own[quoted] = _json_lengths(texts.take(pa.array(quoted)))
         own[code == _NULL] = 4
         opens = (code == _DICT) | (code == _LIST)
         own[opens] = 1
@@ -234,7 +243,7 @@ class _Nodes:
         in_dict = (code[above] == _DICT) & ~starts_text
         lead = np.where((pos > 0) & ~starts_text, 2, 0)
         named = np.flatnonzero(in_dict)
-        lead[named] += _byte_lengths([encode_basestring(self.keys[i]) for i in named]) + 2
+        lead[named] += _json_lengths(keys.take(pa.array(named))) + 2
 
         # the texts one after the other, each one's nodes together
         order = np.argsort(text_of, kind="stable")
@@ -278,23 +287,6 @@ def _tree_array(formats: list, texts: list, nodes: _Nodes) -> pa.Array:
     )
 
 
-SMALL_SPLIT = 8 * 1024 * 1024
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input over all cores if it is small.
-
-    A small file is one split, hence one core, however costly its rows are to parse. Below
-    ``SMALL_SPLIT`` bytes per core the exchange is cheap and its size bounded by that very
-    estimate; a large input has splits enough and is left alone.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if estimate < cores * SMALL_SPLIT else df
-
-
 def shred(
     df: DataFrame,
     body: str,
