@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.kinds import truthy, wants_extraction, wants_screenshot
 from ..functions.urls import normalize_crawl_url
 from ..session import cut_lineage
-from .ordered import numbered
+from .ordered import first_n, numbered
 from .rows import spread_small
 
 SEEN_PARTS = 8  # tables of seen URLs that may pile up before they are compacted
@@ -104,7 +104,7 @@ def cap_pages(visited: DataFrame, n: int, ok: Column | None = None) -> DataFrame
     Failed pages (``ok`` false) do not count, so later pages fill their places.
     """
     pages = visited if ok is None else visited.filter(ok)
-    return pages if n == 0 else pages.orderBy("depth", "rank").limit(n)
+    return pages if n == 0 else first_n(pages, ["depth", "rank"], n)
 
 
 def resume_crawl(visited: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..functions.urls import normalize_batch_url, url_host
+from .ordered import first_n
 
 
 def dedupe_inputs(df: DataFrame, value: str, index: str) -> DataFrame:
@@ -38,13 +39,12 @@ def dedupe_report(df: DataFrame, value: str) -> DataFrame:
 def sample_exact(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows (all, when there are fewer), chosen by a seeded hash of the key.
 
-    A top-n by hash: every task keeps ``n`` rows, nothing is sorted as a whole. The key should
-    be unique, otherwise ties are broken by the key only.
+    A top-n by hash: nothing is sorted as a whole. The key should be unique.
     """
     if n <= 0:
         return df
     text = F.concat_ws("\x1f", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
-    return df.orderBy(F.md5(text), *keys).limit(n)
+    return first_n(df.withColumn("__draw", F.md5(text)), ["__draw", *keys], n).drop("__draw")
 
 
 def domain_list(df: DataFrame, url: str) -> DataFrame:

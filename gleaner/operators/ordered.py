@@ -17,23 +17,30 @@ from ..session import cut_lineage
 _PART = "__part"
 
 
-def range_partitions(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def _sorted_by(order: Sequence[str], descending: bool) -> list[Column]:
+    return [F.desc(c) if descending else F.asc(c) for c in order]
+
+
+def range_partitions(df: DataFrame, order: Sequence[str], descending: bool = False) -> DataFrame:
     """Range-partition by ``order`` and fix every row's partition number in a checkpoint: the
     boundaries are sampled, so a second evaluation might place rows differently."""
-    ranged = df.repartitionByRange(*[F.col(c) for c in order])
+    ranged = df.repartitionByRange(*_sorted_by(order, descending))
     return cut_lineage(ranged.withColumn(_PART, F.spark_partition_id()))
 
 
-def running_totals(df: DataFrame, order: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
+def running_totals(
+    df: DataFrame, order: Sequence[str], totals: Mapping[str, Column], descending: bool = False
+) -> DataFrame:
     """Add inclusive running sums of the given expressions; ``order`` should be unique."""
-    parts = range_partitions(df.withColumns(dict(totals)), order)
+    parts = range_partitions(df.withColumns(dict(totals)), order, descending)
     sums = parts.groupBy(_PART).agg(*[F.sum(name).alias(f"__sum_{name}") for name in totals])
     # one row per partition: the only window without a partition key sees nothing else
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         _PART, *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in totals]
     )
-    within = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sorting = _sorted_by(order, descending)
+    within = Window.partitionBy(_PART).orderBy(*sorting).rowsBetween(Window.unboundedPreceding, 0)
     return (
         parts.join(F.broadcast(offsets), _PART)
         .withColumns({n: F.sum(n).over(within) + F.col(f"__before_{n}") for n in totals})
@@ -41,9 +48,23 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: Mapping[str, Col
     )
 
 
-def numbered(df: DataFrame, order: Sequence[str], out: str, first: int = 0) -> DataFrame:
+def numbered(
+    df: DataFrame, order: Sequence[str], out: str, first: int = 0, descending: bool = False
+) -> DataFrame:
     """Add dense numbers in the given order, starting at ``first``."""
-    return running_totals(df, order, {out: F.lit(1).cast("long")}).withColumn(out, F.col(out) + (first - 1))
+    counted = running_totals(df, order, {out: F.lit(1).cast("long")}, descending)
+    return counted.withColumn(out, F.col(out) + (first - 1))
+
+
+TOP_N = 100_000  # rows that a top-n may gather in one task
+
+
+def first_n(df: DataFrame, order: Sequence[str], n: int, descending: bool = False) -> DataFrame:
+    """The first ``n`` rows of an order: a top-n for a modest ``n``, else numbered rows, so that
+    a large answer never passes through one task."""
+    if n <= TOP_N:
+        return df.orderBy(*_sorted_by(order, descending)).limit(n)
+    return numbered(df, order, "__n", descending=descending).filter(F.col("__n") < n).drop("__n")
 
 
 def with_previous(df: DataFrame, key: str, order: Sequence[str], values: Mapping[str, str]) -> DataFrame:

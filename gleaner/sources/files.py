@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import decode_lossy, strip
 from ..operators.inputs import clean_lines
-from ..operators.ordered import numbered
+from ..operators.ordered import first_n, numbered
 
 
 def _require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -135,7 +135,7 @@ def filter_audit(
     instants the last ``n`` lines."""
     rows = parse_audit(lines, line)
     if since is None and until is None:
-        return rows.orderBy(F.desc(order)).limit(n)
+        return first_n(rows, [order], n, descending=True)
     keep: Column = F.col("ts").isNotNull()
     if since is not None:
         keep = keep & (F.col("ts") >= F.lit(since))
@@ -153,8 +153,8 @@ AUDIT_LIMIT = 10_000
 
 
 def retain_last_n(df: DataFrame, *order: str, n: int = AUDIT_LIMIT) -> DataFrame:
-    """Keep the newest ``n`` entries (a top-n, no global sort)."""
-    return df.orderBy(*[F.desc(c) for c in order]).limit(n)
+    """Keep the newest ``n`` entries."""
+    return first_n(df, order, n, descending=True)
 
 
 # The names under which a usage report may state the limits, in order of preference.
