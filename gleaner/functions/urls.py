@@ -132,22 +132,22 @@ def _without_dot_segments(path: Column) -> Column:
 
 
 def join_url(base: Column, href: Column) -> Column:
-    """Absolute form of ``href`` found on the page ``base``."""
+    """Absolute form of ``href`` found on the page ``base``. Dot segments are resolved in links
+    relative to the page's host; a link with a host of its own stays as it is."""
     fragment = _prefixed("#", F.regexp_extract(href, URI_PATTERN, 5))
 
     def joined(page: UrlParts, link: UrlParts) -> Column:
         origin = F.concat(page.scheme, F.lit("://"), page.host)
         tail = F.concat(_prefixed("?", link.query), fragment)
         own_scheme = (link.scheme != "") & ((link.scheme != page.scheme) | (link.host != ""))
-        own_path = F.when(link.host != "", _without_dot_segments(link.path)).otherwise(link.path)
         folder = F.regexp_replace(F.coalesce(F.nullif(page.path, F.lit("")), F.lit("/")), r"[^/]*$", "")
         query = F.when(link.query != "", link.query).otherwise(page.query)
         return (
             F.when(href == "", base)
-            .when(own_scheme, F.concat(link.scheme, F.lit(":"), _prefixed("//", link.host), own_path, tail))
+            .when(own_scheme, F.concat(link.scheme, F.lit(":"), _prefixed("//", link.host), link.path, tail))
             .when(
                 href.startswith("//"),
-                F.concat(page.scheme, F.lit("://"), link.host, _without_dot_segments(link.path), tail),
+                F.concat(page.scheme, F.lit("://"), link.host, link.path, tail),
             )
             .when(link.path == "", F.concat(origin, page.path, _prefixed("?", query), fragment))
             .when(link.path.startswith("/"), F.concat(origin, _without_dot_segments(link.path), tail))
@@ -164,4 +164,5 @@ def is_plain_ascii_url(url: Column) -> Column:
     """
     odd = r"[^\x20-\x7E]|%(?:[01][0-9A-Fa-f]|7[Ff]|[89A-Fa-f][0-9A-Fa-f])"
     # behind the host and before the fragment; a host ends at the first "/", "?" or "#"
-    return ~url.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?[^#]*?(?:" + odd + ")")
+    # (possessive, so that no host character is taken for a path's)
+    return ~url.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*+:)?+(?://[^/?#]*+)?+[^#]*?(?:" + odd + ")")

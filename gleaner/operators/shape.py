@@ -252,7 +252,7 @@ def select_columns(df: DataFrame, names: Sequence[str], *ids: str, cells: str =
         F.bool_or(filled & F.map_contains_key(cells, "_url")).alias("url"),
     ).first()
     if not facts["known"]:
-        available = ", ".join(column_names(df, cells=cells)) or "(none)"
+        available = ", ".join(column_names(df, ids, cells)) or "(none)"
         raise ValueError(f"none of the columns exist: {', '.join(names)}; available: {available}")
     if not facts["any"]:
         raise ValueError("no row has a value in the selected columns")

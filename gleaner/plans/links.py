@@ -63,7 +63,7 @@ def _resolved(spark, sf):
                  regexp_extract(page_url, '^https?://[^/?#]*([^?#]*/)', 1) AS folder, regexp_extract(page_url, '^https?://[^/?#]*([^?#]*)', 1) AS path FROM u)
     SELECT page_id, ord, regexp_extract(page_url, '^https?://[^/?#]*', 0) || href AS url FROM l
     UNION ALL SELECT page_id, 1000, origin || folder || 'next.html?x=1#y' FROM x
-    UNION ALL SELECT page_id, 1001, s || '://cdn.example.com/lib/b' FROM x
+    UNION ALL SELECT page_id, 1001, s || '://cdn.example.com/lib/./a/../b' FROM x
     UNION ALL SELECT page_id, 1002, origin || path || '?q=1' FROM x
     UNION ALL SELECT page_id, 1003, origin || '/up/c' FROM x
     UNION ALL SELECT page_id, 1004, 'ftp://files.example.com/x' FROM x

@@ -10,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from gleaner.session import local_session
 
-    session = local_session(os.environ.get("TEST_CPUS", "8"), "gleaner-tests")
+    session = local_session(os.environ.get("TEST_CPUS", "4"), "gleaner-tests")
     yield session
     session.stop()

@@ -74,7 +74,7 @@ def test_chunks_and_patterns(spark):
 def test_wrapped_links(spark):
     bodies = [b"<a href='/x'>1</a><A class=k HREF=\"/y?a=1&amp;b=2\">", b"see [one](/a) [two]( /b ) [m](mailto:x) [t](#t)",
               json.dumps({"body": '<a href="/in">'}).encode(), b'{"body": "", "content": "[q](/q)"}', b'{"body": 5, "content": "<a href=\'/n\'>"}']
-    assert apply(spark, links.page_links, bodies, "binary") == [["/x", "/y?a=1&b=2"], ["/a", "/b"], ["/in"], ["/q"], []]
+    assert apply(spark, links.page_links, bodies, "binary") == [["/x", "/y?a=1&b=2"], ["/a", "/b"], ["/in"], ["/q"], ["/n"]]
 
 
 def test_order_helpers_against_brute_force(spark):
@@ -196,7 +196,7 @@ def test_records_and_columns(spark):
     wide = shape.union_columns(rows, ["id", "rec"]).collect()
     assert sorted(tuple(r) for r in wide) == [("", "B1", "9.99"), ("a", "", ""), ("b", "", "")]
     with pytest.raises(ValueError, match="url, asin, price"):
-        shape.select_columns(rows, ["nope"])
+        shape.select_columns(rows, ["nope"], "id", "rec")
     nested = shred(spark.createDataFrame([('{"a": 1, "b": "", "list": []}',)], "body string"), "body", "json", paths=True)
     with pytest.raises(ValueError, match="no row"):
         shape.select_columns(shape.flatten_records(nested), ["b"])
