@@ -35,6 +35,7 @@ _EL = "struct<id:int,txt:string>"
 _GROUP = f"struct<mapped:boolean,form:int,els:array<{_EL}>>"
 _NONE = f"cast(array() as array<{_GROUP}>)"
 _NO_IDS = "cast(array() as array<int>)"
+_NO_TEXT = "cast(null as string)"
 _SCALAR = "in ('str', 'int', 'float', 'bool')"
 
 Sql = str
@@ -72,15 +73,15 @@ def _let(value: Sql, fn: Callable[[Sql], Sql]) -> Sql:
 
 
 def _el(id_: Sql) -> Sql:
-    return f"cast(struct({id_}, null) as {_EL})"
+    return f"named_struct('id', {id_}, 'txt', {_NO_TEXT})"
 
 
 def _text_el(text: Sql) -> Sql:
-    return f"cast(struct(null, {text}) as {_EL})"
+    return f"named_struct('id', cast(null as int), 'txt', {text})"
 
 
 def _group(mapped: Sql, form: Sql | int, els: Sql) -> Sql:
-    return f"cast(struct({mapped}, {form}, {els}) as {_GROUP})"
+    return f"named_struct('mapped', {mapped}, 'form', {form}, 'els', {els})"
 
 
 def _keep_if(condition: Sql, group: Sql) -> Sql:
@@ -104,8 +105,9 @@ def _quoted(text: Sql) -> Sql:
 class Tree:
     """Look-ups in the node array of one document."""
 
-    def __init__(self, name: str = "tree"):
+    def __init__(self, name: str = "tree", with_json: bool = True):
         self.name = name
+        self.with_json = with_json
         self.nodes = f"{name}.nodes"
         self.json = f"{name}.json"
 
@@ -204,26 +206,26 @@ class Tree:
         return _any(ids, lambda i: _let(self.node(i), hit))
 
     def item(self, el: Sql) -> Sql:
-        """Result item of an element: kind, text and JSON."""
+        """Result item of an element: kind, text and (unless only texts are wanted) JSON."""
 
         def from_node(n: Sql) -> Sql:
-            return _let(
-                f"cast(substring({self.json}, {n}.at + 1, {n}.size) as string)",
-                lambda j: f"cast(struct({n}.kind, if({n}.kind in ('dict', 'list'), {j}, {n}.sval), {j}) as {_ITEM})",
-            )
+            cut = f"cast(substring({self.json}, {n}.at + 1, {n}.size) as string)"
+            if not self.with_json:
+                return _item(f"{n}.kind", f"if({n}.kind in ('dict', 'list'), {cut}, {n}.sval)", _NO_TEXT)
+            return _let(cut, lambda j: _item(f"{n}.kind", f"if({n}.kind in ('dict', 'list'), {j}, {n}.sval)", j))
 
-        from_text = f"cast(struct('str', {el}.txt, {_quoted(f'{el}.txt')}) as {_ITEM})"
+        from_text = _item("'str'", f"{el}.txt", _quoted(f"{el}.txt") if self.with_json else _NO_TEXT)
         return f"if({el}.id is null, {from_text}, {_let(self.node(f'{el}.id'), from_node)})"
 
     def sub_dict_item(self, els: Sql) -> Sql:
-        pairs = _map(els, lambda e: f"concat({_quoted(self.node(f'{e}.id') + '.key')}, ': ', {self.item(e)}.json)")
-        return _let(
-            f"concat('{{', array_join({pairs}, ', '), '}}')", lambda t: f"cast(struct('dict', {t}, {t}) as {_ITEM})"
-        )
+        whole = Tree(self.name)
+        pairs = _map(els, lambda e: f"concat({_quoted(self.node(f'{e}.id') + '.key')}, ': ', {whole.item(e)}.json)")
+        return _let(f"concat('{{', array_join({pairs}, ', '), '}}')", lambda t: _item("'dict'", t, t))
+
 
+def _item(kind: Sql, text: Sql, json_text: Sql) -> Sql:
+    return f"named_struct('kind', {kind}, 'text', {text}, 'json', {json_text})"
 
-# Result of a path: is_list and items; null when nothing matched.
-_ITEM = "struct<kind:string,text:string,json:string>"
 
 StepFn = Callable[[Tree, Sql], Sql]  # (tree, settled group) -> array of groups
 
@@ -429,10 +431,9 @@ def path(*keys: str) -> Path:
 
 def _closed(tree: Tree, group: Sql) -> Sql:
     """(is_list, items) of one group; a JSON string becomes what it holds."""
-    kind = f"struct<l:boolean,v:array<{_ITEM}>>"
 
     def pair(is_list: str, items: Sql) -> Sql:
-        return f"cast(struct({is_list}, {items}) as {kind})"
+        return f"named_struct('l', {is_list}, 'v', {items})"
 
     def one(el: Sql) -> Sql:
         listed = lambda i: pair("true", _map(tree.kids(i), lambda k: tree.item(_el(k))))
@@ -464,10 +465,11 @@ def shred_for(
     return shred(df, body, format, keep, split_lists, reach=reach)
 
 
-def resolve(df: DataFrame, expression: Path, out: str, tree: str = "tree") -> DataFrame:
+def resolve(df: DataFrame, expression: Path, out: str, tree: str = "tree", with_json: bool = True) -> DataFrame:
     """Add the path's result as ``struct<is_list, items: array<struct<kind, text, json>>>``, null
-    where nothing matched. An empty list is a match."""
-    at, state = Tree(tree), f"__state_{out}"
+    where nothing matched. An empty list is a match. ``with_json=False`` leaves ``json`` empty
+    where only the texts are wanted."""
+    at, state = Tree(tree, with_json), f"__state_{out}"
     root = _group("false", ONE, f"array({_el('0')})")
     df = df.withColumn(state, F.expr(f"if(size({at.nodes}) > 0, array({root}), {_NONE})"))
     for step in expression.steps:
@@ -528,7 +530,7 @@ def explode_values(df: DataFrame, result: str, *ids: str) -> DataFrame:
 
 def extract_values(df: DataFrame, expression: Path, *ids: str, tree: str = "tree") -> DataFrame:
     """One row per value of a path."""
-    return explode_values(resolve(df, expression, "__values", tree), "__values", *ids)
+    return explode_values(resolve(df, expression, "__values", tree, with_json=False), "__values", *ids)
 
 
 def _record(df: DataFrame, schema: Mapping[str, Path], tree: str, out: str) -> DataFrame:
