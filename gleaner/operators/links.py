@@ -84,7 +84,9 @@ def extract_links(df: DataFrame, links: Column, *ids: str) -> DataFrame:
 def resolve_links(links: DataFrame, page: str, href: str = "href", out: str = "url") -> DataFrame:
     """Add the absolute URL; anchors, mail and script links are dropped."""
     kept = links.filter((F.col(href) != "") & ~_leads_nowhere(F.col(href)))
-    return kept.withColumn(out, join_url(F.col(page), F.col(href)))
+    # made as a row, so that later filters on the URL are not pushed below it, which would
+    # join the same link once per condition
+    return explode_rows(kept, kept.columns, F.array(join_url(F.col(page), F.col(href))), out)
 
 
 def filter_links(
