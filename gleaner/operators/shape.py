@@ -281,13 +281,16 @@ def column_names(df: DataFrame, order: Sequence[str] = (), cells: str = "cells")
     return [row[0] for row in names]
 
 
-def union_columns(df: DataFrame, order: Sequence[str], *ids: str, cells: str = "cells") -> DataFrame:
+def union_columns(
+    df: DataFrame, order: Sequence[str], *ids: str, cells: str = "cells", columns: Sequence[str] | None = None
+) -> DataFrame:
     """Wide table over the union of all cell names, in first-seen order; missing cells are ``''``.
 
-    The names are found in one aggregation; the table itself is then a projection of
-    the map, without a pivot's shuffle.
+    The names are found in one aggregation, unless ``columns`` gives them, which saves that pass
+    over the input. The table itself is a projection of the map, without a pivot's shuffle.
     """
-    return df.select(*ids, *_cell_columns(column_names(df, order, cells), cells))
+    names = column_names(df, order, cells) if columns is None else columns
+    return df.select(*ids, *_cell_columns(names, cells))
 
 
 # -- sinks -----------------------------------------------------------------------------

@@ -186,7 +186,8 @@ class Tree:
             fold = f"aggregate(sequence(0, {MAX_DEPTH}), {found}, (acc, n) -> if({_any('acc', is_list)}, {open_lists('acc')}, acc))"
             return f"if({_any(found, is_list)}, {fold}, {found})"
 
-        return _let(ids, opened)
+        # a single value has been entered by ``settle``
+        return f"if({group}.form = {ONE}, array(get({group}.els, 0).id), {_let(ids, opened)})"
 
     def members(self, group: Sql) -> Sql:
         """Elements that a selection counts: list items, dict values; null for a scalar."""

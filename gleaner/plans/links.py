@@ -176,6 +176,18 @@ def resume_crawl(spark, sf):
     return crawl.resume_crawl(visited, _manifest(spark, sf)).select("key", "n")
 
 
+@query(
+    "merge_manifests",
+    f"""SELECT '{_SUPP}' || s_suppkey || '/' AS input, CASE WHEN s_suppkey % 2 = 0 THEN 'new/' ELSE 'old/' END || s_suppkey AS file
+        FROM supplier WHERE s_suppkey % 2 = 0 OR s_suppkey % 3 = 0""",
+)
+def merge_manifests(spark, sf):
+    entries = lambda folder, n: table(spark, sf, "supplier").filter(f"s_suppkey % {n} = 0").selectExpr(
+        f"concat('{_SUPP}', s_suppkey, '/') as input", f"concat('{folder}/', s_suppkey) as file"
+    )
+    return crawl.merge_manifests(entries("old", 3), entries("new", 2))
+
+
 @query(
     "discovery_request_plan",
     """WITH q AS (SELECT o_orderkey, (o_orderkey & 1 = 1 AND o_orderkey & 2 = 0) OR o_orderkey & 4 = 4 OR o_orderkey & 8 = 8 AS two,

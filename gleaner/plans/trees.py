@@ -206,7 +206,12 @@ def node_path_catalog(spark, sf):
     return node_paths(order_trees(spark, sf)).groupBy("path").agg(F.count("*").alias("documents"))
 
 
-@query("corpus_schema")
+@query(
+    "corpus_schema",
+    """SELECT 'OBJECT<amounts: ARRAY<OBJECT<cents: BIGINT, name: STRING, paid: BOOLEAN>>, customer: OBJECT<`full.name`: STRING, key: BIGINT, '
+        || 'rank: BIGINT>, groups: ARRAY<ARRAY<BIGINT>>, id: BIGINT, note: VOID, raw: STRING, status: STRING, tags: ARRAY<STRING>>' AS schema,
+        count(*) AS documents FROM orders""",
+)
 def corpus_schemas(spark, sf):
     return corpus_schema(order_documents(spark, sf), "body")
 
