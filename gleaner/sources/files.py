@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_lossy, strip
 from ..operators.inputs import clean_lines
 from ..operators.ordered import first_n, numbered
+from ..operators.rows import explode_rows
 
 
 def _require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -73,8 +74,7 @@ def number_payloads(df: DataFrame, path: str, root: str = "") -> DataFrame:
     stem = F.when(name.contains("."), F.regexp_extract(name, r"(?s)^(.+)\.[^.]*$", 1)).otherwise(name)
     ext = F.regexp_extract(name, r"(?s)^.+\.([^.]*)$", 1)
     return (
-        df.withColumns({"n": F.expr(f"try_cast(null as bigint)"), "file": below, "ext": ext})
-        .withColumn("n", strip(stem).try_cast("bigint"))
+        df.withColumns({"n": strip(stem).try_cast("bigint"), "file": below, "ext": ext})
         .filter(F.col("n").isNotNull() & (F.col("ext") != "err"))
     )
 
@@ -89,23 +89,27 @@ def read_payload_dir(spark: SparkSession, path: str) -> DataFrame:
     return number_payloads(files, "path", path).select("n", "file", "ext", F.col("content").alias("body"))
 
 
-MANIFEST_ENTRY = "struct<file:string,fetched_at:string,http_status:int,credits_used:int,latency_ms:int,content_sha256:string>"
+MANIFEST_FIELDS = {
+    "http_status": "int", "credits_used": "int", "latency_ms": "int", "content_sha256": "string",
+}
 
 
 def manifest_entries(df: DataFrame, json_text: str) -> DataFrame:
     """Manifest objects as rows, old form (input -> file name) and new form (input -> entry)."""
-    parsed = df.select(F.from_json(json_text, "map<string,string>").alias("m")).select(
-        F.explode("m").alias("input", "value")
+    whole = F.try_variant_get(F.try_parse_json(json_text), "$", "map<string,variant>")
+    entries = explode_rows(df, [], F.map_entries(whole), "__e")
+    value = F.col("__e.value")
+    field = lambda name, kind: F.try_variant_get(value, f"$.{name}", kind)
+    file = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")).otherwise(
+        field("file", "string")
     )
-    entry = F.from_json("value", MANIFEST_ENTRY)
-    is_entry = F.col("value").startswith("{")
-    return (
-        parsed.withColumn("e", F.when(is_entry, entry))
-        .select("input", F.when(is_entry, F.col("e.file")).otherwise(F.col("value")).alias("file"),
-                F.to_timestamp("e.fetched_at").alias("fetched_at"), "e.http_status", "e.credits_used",
-                "e.latency_ms", "e.content_sha256")
-        .filter(F.col("file").isNotNull())
+    rows = entries.select(
+        F.col("__e.key").alias("input"),
+        file.alias("file"),
+        F.try_to_timestamp(field("fetched_at", "string")).alias("fetched_at"),
+        *[field(name, kind).alias(name) for name, kind in MANIFEST_FIELDS.items()],
     )
+    return rows.filter(F.col("file").isNotNull())
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
