@@ -22,17 +22,28 @@ def _require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def index_inputs(lines: DataFrame, order: str, value: str = "value") -> DataFrame:
+def index_inputs(lines: DataFrame, *order: str, value: str = "value") -> DataFrame:
     """Blank-free inputs with a dense 0-based index in the given order."""
-    return numbered(clean_lines(lines, value).select(order, F.col(value).alias("input")), [order], "index").select(
-        "index", "input"
+    kept = clean_lines(lines, value).select(*order, F.col(value).alias("input"))
+    return numbered(kept, order, "index").select("index", "input")
+
+
+FILE_ORDER = ("__file", "__block", "__row")
+
+
+def _in_file_order(scan: DataFrame) -> DataFrame:
+    """Add the place of every row of a file scan: file, block, row within the scan task."""
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__row"),
     )
 
 
 def read_input_lines(spark: SparkSession, path: str) -> DataFrame:
     """One input per line: stripped, without blank lines, numbered in file order."""
-    lines = spark.read.text(path).withColumn("__at", F.monotonically_increasing_id())
-    return _require_rows(index_inputs(lines, "__at"), path)
+    return _require_rows(index_inputs(_in_file_order(spark.read.text(path)), *FILE_ORDER), path)
 
 
 def has_header(first_cell: str | None) -> bool:
@@ -57,9 +68,10 @@ def read_input_column(
         raise ValueError(f"{path} has no column {position}")
     if named or has_header(first[0]):
         raw = spark.read.option("multiLine", multi_line).option("escape", '"').csv(path, header=True)
-    cells = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
-    lines = cells.select(F.col(f"c{position}").alias("value")).withColumn("__at", F.monotonically_increasing_id())
-    return _require_rows(index_inputs(lines, "__at"), path)
+    placed = _in_file_order(raw)
+    cells = placed.toDF(*[f"c{i}" for i in range(len(raw.columns))], *FILE_ORDER)
+    lines = cells.select(F.col(f"c{position}").alias("value"), *FILE_ORDER)
+    return _require_rows(index_inputs(lines, *FILE_ORDER), path)
 
 
 def number_payloads(df: DataFrame, path: str, root: str = "") -> DataFrame:

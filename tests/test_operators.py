@@ -130,6 +130,11 @@ def test_crawl_against_brute_force(spark, monkeypatch):
 def test_file_sources(spark, tmp_path):
     (tmp_path / "in.txt").write_text("  a \n\n\tb\n   \nc")
     assert [tuple(r) for r in files.read_input_lines(spark, str(tmp_path / "in.txt")).orderBy("index").collect()] == [(0, "a"), (1, "b"), (2, "c")]
+    (tmp_path / "many").mkdir()
+    for name, lines in {"a": 30, "b": 2000, "c": 3}.items():
+        (tmp_path / "many" / name).write_text("".join(f"{name}{i}\n" for i in range(lines)))
+    many = files.read_input_lines(spark, str(tmp_path / "many")).orderBy("index").collect()
+    assert [r.input for r in many] == [f"{n}{i}" for n, k in (("a", 30), ("b", 2000), ("c", 3)) for i in range(k)]
     (tmp_path / "empty.txt").write_text("\n \n")
     with pytest.raises(ValueError):
         files.read_input_lines(spark, str(tmp_path / "empty.txt"))
