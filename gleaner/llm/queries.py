@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontamination import contaminated
+from .fuzzy_lines import dedup_lines
+from .mixing import mix
 from .near_duplicates import near_duplicates
+from .neighbours import search
+from .quotations import quote, reply_conversations
+from .secret_forest import findings, scan
+from .sharding import shard
+from .toxicity import held_out, judge
+from .url_models import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +55,132 @@ FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 )
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        F.col("rejected").cast("int").alias("predicted"),
+    )
+
+
+@query(
+    "op6_decontamination",
+    r"""
+WITH t AS (
+  SELECT 'd' AS k, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+w AS (SELECT k, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x20\x09-\x0D]+') AS ws FROM t WHERE text IS NOT NULL AND id IS NOT NULL),
+s AS (SELECT DISTINCT k, id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+n AS (SELECT id, count(*) AS n FROM s WHERE k = 'b' GROUP BY 1)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared, n.n AS item_shingles
+FROM s d JOIN s b ON d.k = 'd' AND b.k = 'b' AND d.sh = b.sh JOIN n ON n.id = b.id
+GROUP BY 1, 2, 4 HAVING 100 * count(*) >= 80 * n.n
+""",
+)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op2_mixing",
+    r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS s, coalesce(md5(text), '') AS m,
+         greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1) AS t FROM documents),
+n AS (SELECT s, sum(t)::DOUBLE AS tokens FROM d GROUP BY 1),
+e AS (SELECT CASE WHEN max(tokens) / min(tokens) <= 2 THEN 0.0
+                  ELSE 1 - ln(2.0) / ln(max(tokens) / min(tokens)) END AS alpha, sum(tokens) AS total FROM n),
+q AS (SELECT s, tokens, pow(tokens / total, alpha) / sum(pow(tokens / total, alpha)) OVER () AS w FROM n, e),
+b AS (SELECT max(tokens / w) AS budget FROM q),
+p0 AS (SELECT s, tokens, w, budget * w / tokens AS p FROM q, b),
+p AS (SELECT s, tokens, w, CASE WHEN abs(p - round(p)) < 1e-9 THEN round(p) ELSE p END AS p FROM p0),
+x AS (SELECT d.*, p.tokens, p.w, p.p, unnest(range(0, CAST(ceil(p.p) AS BIGINT))) AS epoch FROM d JOIN p USING (s)),
+h AS (SELECT *, md5(concat_ws('|', '13', epoch, coalesce(CAST(doc_id AS VARCHAR), ''), m)) AS h FROM x),
+c AS (SELECT *, epoch * tokens + coalesce(sum(t) OVER (PARTITION BY s, epoch ORDER BY h
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM h)
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS mix_epoch, CAST(t AS BIGINT) AS mix_tokens, w AS mix_weight,
+       CAST(floor(start / (w * 1048576)) AS BIGINT) AS mix_block, md5('order|' || h) AS mix_order
+FROM c WHERE start < p * tokens
+""",
+)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs).drop("text")
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.col("text").cast("binary")).cast("long").alias("text_crc32"),
+    )
+    return shard(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query("op4_fuzzy_lines")
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+def quoted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as mail: two turns of three quote the one before, and every third of these also
+    what that one quoted, one level deeper."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("t1"))
+    earlier = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("text").alias("t2"))
+    rows = turns.join(before, ["conv_id", "turn"], "left").join(earlier, ["conv_id", "turn"], "left")
+    hashed = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(9))
+    quoted = F.when((hashed < 6) & F.col("t1").isNotNull(), F.concat_ws(
+        "\n", F.when(hashed < 2, quote(F.col("t2"), 2)), quote(F.col("t1")), "text"))
+    return rows.select("conv_id", "turn", "role", F.coalesce(quoted, "text").alias("text"))
+
+
+@query("op7_quotations")
+def op7_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_conversations(quoted_messages(spark, sf_dir))
+
+
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query("op9_url_models")
+def op9_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
+# Names that secrets are assigned to, and how one provider's keys begin.
+SECRET_NAMES = ["password", "passwd", "secret", "token", "api_key", "apikey", "access_key"]
+PROVIDER_KEY = "^AKIA[A-Z0-9]{16}$"
+
+
+def judged_findings(docs: DataFrame) -> DataFrame:
+    """Labelled findings of two thirds of the documents: assigned to a secret's name or a provider's key."""
+    found = findings(docs).filter(~held_out(F.col("doc_id")))
+    secret = F.col("key").isin(SECRET_NAMES) | F.col("before").isin(SECRET_NAMES) | F.col("candidate").rlike(PROVIDER_KEY)
+    return found.select("doc_id", "at", "candidate", secret.alias("secret"))
+
+
+@query("op10_secret_forest")
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = scan(docs, judged_findings(docs))
+    return scanned.select("doc_id", "at", F.md5("candidate").alias("candidate_md5"), "key", "before", "score", "is_secret", held_out(F.col("doc_id")).alias("held_out"))
