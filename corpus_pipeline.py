@@ -6,18 +6,51 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.llm.decontamination import clean_documents
+from gleaner.llm.mixing import mix
 from gleaner.llm.near_duplicates import near_duplicates
+from gleaner.llm.sharding import shard
+from gleaner.llm.toxicity import judge
 from gleaner.session import ensure_checkpoint_dir
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents judged toxic go."""
+    judged = judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.filter("not rejected").select(docs.columns)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each group stays: the one with the smallest doc_id. Rows without an id stay."""
+    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return known.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; those of small sources come up to twice, by the mixture's weights."""
+    return mix(docs).select(docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard and their slot in it."""
+    return shard(docs).select(*docs.columns, "shard", "slot")
 
 
-STAGES = [("near_duplicates", near_duplicate_stage)]
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
+# The learned scores of the first stage have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
