@@ -13,7 +13,6 @@ from ..session import cut_lineage
 from .ordered import first_n, numbered
 from .rows import spread_small
 
-SEEN_PARTS = 8  # tables of seen URLs that may pile up before they are compacted
 BROADCAST_URLS = 100_000  # URLs are counted before they are broadcast; beyond, the join shuffles
 
 
@@ -38,7 +37,7 @@ def crawl_frontier(
     The links are normalised and deduplicated once. Every round joins the new URLs only: while they
     are few (they are counted) they go to the links, which then stay in place; a larger frontier is
     a shuffle join, where the adaptive planner splits hub pages. One row per target is kept
-    before the result is shuffled, and a checkpoint cuts the lineage, so that neither plan nor
+    before the result meets the URLs seen so far, in one shuffle; a checkpoint cuts the lineage, so that neither plan nor
     recovery grows with the depth.
     """
     edges = cut_lineage(
@@ -65,30 +64,26 @@ def crawl_frontier(
     level = as_level(start.withColumns({"__parent": F.lit(0).cast("long"), "__ord": F.lit(0).cast("long")}), 0)
     size = level.count()
     levels = [level]
-    seen = [(level.select("key"), size)]
-    if known is not None:
-        known_keys = cut_lineage(known_keys)
-        seen.append((known_keys, known_keys.count()))
+    seen = level.select("key") if known is None else level.select("key").unionByName(cut_lineage(known_keys))
     depth = 0
     while (max_depth == 0 or depth < max_depth) and size:
         depth += 1
         frontier = level.select(F.col("key").alias("src_key"), F.col("rank").alias("__parent"))
         first = F.struct("__parent", F.col("via.ord").cast("long").alias("__ord"), F.col("via.url").alias("url"))
+        found = edges.join(_side(frontier, size), "src_key").select("key", first.alias("first"), F.lit(False).alias("seen"))
+        # new and seen URLs meet in one shuffle: a URL that was seen before drops out of its group
+        before = seen.select("key", F.lit(None).cast(found.schema["first"].dataType).alias("first"), F.lit(True).alias("seen"))
         reached = (
-            edges.join(_side(frontier, size), "src_key")
+            found.unionByName(before)
             .groupBy("key")
-            .agg(F.min(first).alias("first"))
+            .agg(F.min("first").alias("first"), F.max("seen").alias("seen"))
+            .filter("not seen")
             .select("key", "first.*")
         )
-        for part, count in seen:
-            reached = reached.join(_side(part, count), "key", "left_anti")
         level = as_level(reached, depth)
         size = level.count()
         levels.append(level)
-        seen.append((level.select("key"), size))
-        if len(seen) > SEEN_PARTS:
-            whole = cut_lineage(reduce(DataFrame.unionByName, [part for part, _ in seen]))
-            seen = [(whole, sum(count for _, count in seen))]
+        seen = seen.unionByName(level.select("key"))
     visited = reduce(DataFrame.unionByName, levels)
     return visited if ranked else visited.drop("rank")
 

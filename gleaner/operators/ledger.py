@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.kinds import header_value, resolve_kind, route_kind
@@ -78,12 +79,12 @@ def classify_status(responses: DataFrame, transparent: bool = False) -> DataFram
 
 
 def run_summary(responses: DataFrame, run: str, command: str, started: str) -> DataFrame:
-    """Per run: total, succeeded, failed; command and time of its first part."""
+    """Per run: total, succeeded, failed; time of its first part and its command (the smallest one at equal instants)."""
     return responses.groupBy(run).agg(
         F.count("*").alias("total"),
         F.count_if(F.col("error").isNull()).alias("succeeded"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),
-        F.min_by(command, started).alias("command"),
+        F.min_by(command, F.struct(started, command)).alias("command"),
         F.min(started).alias("created_at"),
     )
 
@@ -346,15 +347,25 @@ def duplicate_content(df: DataFrame, key: str, body: str) -> DataFrame:
     )
 
 
-def latency_report(responses: DataFrame, *by: str, accuracy: int = 100_000) -> DataFrame:
+def latency_report(responses: DataFrame, *by: str) -> DataFrame:
     """Per group: items, failures, smallest, median, 95th percentile and largest latency.
 
-    The percentiles are a mergeable sketch, exact for fewer distinct values than ``accuracy``.
+    The percentiles are exact: the smallest latency that the given share of the items does not exceed. They
+    come from a count per latency, so what is ordered grows with the different latencies, not the items.
     """
-    at = lambda p: F.percentile_approx("latency_ms", p, accuracy)
-    return responses.groupBy(*by).agg(
-        F.count("*").alias("items"),
-        F.count_if(F.col("error").isNotNull()).alias("failed"),
+    counts = responses.groupBy(*by, "latency_ms").agg(
+        F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed")
+    )
+    known = F.when(F.col("latency_ms").isNotNull(), F.col("n"))
+    keys = list(by) or [F.lit(0)]
+    ordered = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("latency_ms"))
+    placed = counts.withColumns({
+        "__upto": F.sum(known).over(ordered), "__all": F.sum(known).over(Window.partitionBy(*keys)),
+    })
+    at = lambda p: F.min(F.when(F.col("__upto") >= F.col("__all") * p, F.col("latency_ms")))
+    return placed.groupBy(*by).agg(
+        F.sum("n").alias("items"),
+        F.sum("failed").alias("failed"),
         F.min("latency_ms").alias("min_ms"),
         at(0.5).alias("p50_ms"),
         at(0.95).alias("p95_ms"),

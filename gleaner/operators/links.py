@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,15 @@ from ..functions.text import BYTE_WHITESPACE, decode_lossy, strip
 from ..functions.urls import is_plain_ascii_url, join_url, url_host, url_scheme
 from .rows import explode_rows
 
-# The link shapes of HTML and Markdown, links that lead to no page, and the five
-# entities that XML predefines.
-HTML_LINK = r"""(?i)<a\s+[^>]*href\s*=\s*["']([^"']+)["']"""
+# The link shape inside JSON wrappers, that of Markdown, and links that lead to no page.
+WRAPPED_LINK = r"""(?i)<a\s+[^>]*href\s*=\s*["']([^"']+)["']"""
 MARKDOWN_LINK = r"\]\s*\(\s*([^)\s]+)\s*\)"
 NO_PAGE = ("#", "mailto:", "javascript:")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+# an attribute of a start tag in any of the three quoting forms; the value may hold its quotes
+ATTRIBUTE = r"""(?is)<{tag}\s(?:[^>]*?[\s"'])?{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def _leads_nowhere(href: Column) -> Column:
@@ -27,15 +31,52 @@ def _leads_nowhere(href: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references, numeric ones and the names of HTML 4 and XML, in one pass from left to right."""
+    names = {**name2codepoint, "apos": 39}
+    named = F.create_map(*[F.lit(x) for name, code in names.items() for x in (name, chr(code))])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, ENTITY, 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
+            name.startswith("#"), F.substr(name, F.lit(2))
+        ).cast("long")
+        valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(
+            F.try_element_at(named, name)
+        )
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when((name != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&", -1)
+    whole = F.array_join(F.transform(parts, lambda part, i: F.when(i == 0, part).otherwise(decoded(part))), "")
+    return F.when(text.contains("&"), whole).otherwise(text)
+
+
+def attributes(text: Column, tag: str, name: str) -> Column:
+    """Values of an attribute of all elements of a name, in order: quoted or not, entities decoded, without
+    the surrounding white space; empty ones and those inside comments are left out."""
+    shown = F.when(text.contains("<!--"), F.regexp_replace(text, COMMENT, "")).otherwise(text)
+    found = F.regexp_extract_all(shown, F.lit(ATTRIBUTE.format(tag=tag, name=name)), F.lit(1))
+    bare = F.transform(found, lambda v: strip(decode_entities(F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2"))))
+    return F.filter(bare, lambda v: v != "")
 
 
-def html_links(text: Column, entities: bool = True) -> Column:
+def html_links(text: Column) -> Column:
     """``href`` values of ``<a>`` elements, in order."""
-    found = F.regexp_extract_all(text, F.lit(HTML_LINK), F.lit(1))
-    return F.transform(found, lambda h: strip(decode_entities(h) if entities else h))
+    return attributes(text, "a", "href")
+
+
+def wrapped_links(text: Column) -> Column:
+    """Quoted ``href`` values of ``<a>`` elements in a text from a JSON wrapper, as they stand."""
+    return F.transform(F.regexp_extract_all(text, F.lit(WRAPPED_LINK), F.lit(1)), strip)
+
+
+def base_href(body: Column, page: Column) -> Column:
+    """The URL that a page's links are relative to: its first ``<base href>``, itself relative to
+    the page, else the page."""
+    text = decode_lossy(body)
+    stated = F.get(F.when(text.rlike("(?i)<base\\s"), attributes(text, "base", "href")), F.lit(0))
+    return F.when(stated.isNotNull(), join_url(page, stated)).otherwise(page)
 
 
 def markdown_links(text: Column) -> Column:
@@ -70,7 +111,7 @@ def page_links(body: Column) -> Column:
     where there are none. Entities are decoded outside of wrappers only."""
     text = decode_lossy(body)
     inner = unwrap_envelope(text)
-    outer_html, inner_html = html_links(text), html_links(inner, entities=False)
+    outer_html, inner_html = html_links(text), wrapped_links(inner)
     return F.when(
         inner.isNotNull(), F.when(F.size(inner_html) > 0, inner_html).otherwise(markdown_links(inner))
     ).otherwise(F.when(F.size(outer_html) > 0, outer_html).otherwise(markdown_links(text)))
@@ -82,7 +123,8 @@ def extract_links(df: DataFrame, links: Column, *ids: str) -> DataFrame:
 
 
 def resolve_links(links: DataFrame, page: str, href: str = "href", out: str = "url") -> DataFrame:
-    """Add the absolute URL; anchors, mail and script links are dropped."""
+    """Add the absolute URL; anchors, mail and script links are dropped. ``page`` names the URL that links
+    are relative to (see ``base_href``)."""
     kept = links.filter((F.col(href) != "") & ~_leads_nowhere(F.col(href)))
     # made as a row, so that later filters on the URL are not pushed below it, which would
     # join the same link once per condition

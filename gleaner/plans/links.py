@@ -19,6 +19,41 @@ def extract_links_html(spark, sf):
     return links.extract_links(table(spark, sf, "pages"), links.html_links(F.col("html")), "page_id")
 
 
+# every page with links in the forms that a browser knows: the added part, and what it must give
+_FORMS = """concat(html, '<!-- <a href="/hidden">x</a> --><a href=/bare/', page_id, '>u</a><A class=c HREF=''/single?a=1&amp;b=2''>s</A>',
+                  '<a href="&#x2F;hex&#47;dec&eacute;&euro;&notanentity;&amp;lt;">e</a><a title="a > b" href="">n</a><a name="href=no">q</a>')"""
+_FORM_HREFS = "['/bare/' || page_id, '/single?a=1&b=2', '/hex/decé€&notanentity;&lt;']"
+
+
+@query(
+    "extract_links_forms",
+    f"""WITH {_LINKS_SQL}, n AS (SELECT page_id, count(href) AS n FROM pages LEFT JOIN l USING (page_id) GROUP BY 1)
+    SELECT page_id, ord, href FROM l
+    UNION ALL SELECT page_id, CAST(n + unnest(range(3)) AS INTEGER), unnest({_FORM_HREFS}) FROM n""",
+)
+def extract_links_forms(spark, sf):
+    forms = table(spark, sf, "pages").selectExpr("page_id", f"{_FORMS} as body")
+    return links.extract_links(forms, links.page_links(F.col("body")), "page_id")
+
+
+@query(
+    "resolve_links_base",
+    """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://base.example.com/dir/x' || page_id
+                WHEN 1 THEN regexp_extract(url, '^https?://[^/?#]*', 0) || '/other/x' || page_id
+                ELSE regexp_extract(url, '^https?://[^/?#]*[^?#]*/', 0) || 'x' || page_id END AS url FROM pages""",
+)
+def resolve_links_base(spark, sf):
+    pages = table(spark, sf, "pages").selectExpr(
+        "page_id", "url",
+        """concat(case page_id % 3 when 0 then '<base target="_top" href="https://base.example.com/dir/page">'
+                  when 1 then '<BASE href=/other/>' else '' end, '<a href="x', page_id, '">x</a>') as body""",
+    )
+    found = links.extract_links(
+        pages.withColumn("from", links.base_href(F.col("body"), F.col("url"))), links.page_links(F.col("body")), "page_id", "from"
+    )
+    return links.resolve_links(found, "from").select("page_id", "url")
+
+
 @query(
     "extract_links_markdown",
     """SELECT doc_id, CAST(0 AS INTEGER) AS ord, '/doc/' || doc_id AS href FROM documents WHERE doc_id % 3 <> 0
@@ -106,28 +141,29 @@ def _graph(spark, sf):
     to_supp = lines.selectExpr(
         f"concat('{_PART}', l_partkey, '/') as src_url", "l_linenumber as ord", f"concat('{_SUPP}', l_suppkey, '#top') as dst_url"
     )
-    to_part = lines.filter("l_linenumber = 1").selectExpr(
+    to_part = lines.selectExpr(
         f"concat('{_SUPP}', l_suppkey) as src_url", "l_partkey as ord", f"concat('{_PART}', l_partkey, '/index.html') as dst_url"
     )
     return to_supp.unionByName(to_part)
 
 
 def _seeds(spark, sf):
-    return table(spark, sf, "part").filter("p_partkey < 2").selectExpr(f"concat('{_PART}', p_partkey) as url")
+    return table(spark, sf, "part").filter("p_size = 11").selectExpr(f"concat('{_PART}', p_partkey) as url")
 
 
 _CRAWL_SQL = f"""
 e AS (SELECT '{_PART}' || l_partkey AS src, '{_SUPP}' || l_suppkey AS dst, min(l_linenumber) AS ord FROM lineitem GROUP BY 1, 2
-      UNION ALL SELECT '{_SUPP}' || l_suppkey, '{_PART}' || l_partkey, min(l_partkey) FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2),
-walk AS (SELECT '{_PART}' || p_partkey AS key, 0 AS depth FROM part WHERE p_partkey < 2
+      UNION ALL SELECT '{_SUPP}' || l_suppkey, '{_PART}' || l_partkey, min(l_partkey) FROM lineitem GROUP BY 1, 2),
+walk AS (SELECT '{_PART}' || p_partkey AS key, 0 AS depth FROM part WHERE p_size = 11
          UNION SELECT e.dst, walk.depth + 1 FROM walk JOIN e ON e.src = walk.key WHERE walk.depth < {{depth}}),
 visited AS (SELECT key, min(depth) AS depth FROM walk GROUP BY key)
 """
 
 
-@query("crawl_frontier", f"WITH RECURSIVE {_CRAWL_SQL.format(depth=3)} SELECT key, CAST(depth AS INTEGER) AS depth FROM visited")
+# walked to its end; the oracle needs some bound, far beyond any distance in the graph
+@query("crawl_frontier", f"WITH RECURSIVE {_CRAWL_SQL.format(depth=16)} SELECT key, CAST(depth AS INTEGER) AS depth FROM visited")
 def crawl_frontier(spark, sf):
-    return crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), max_depth=3).select("key", "depth")
+    return crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf)).select("key", "depth")
 
 
 @query(
@@ -141,7 +177,7 @@ def save_filter(spark, sf):
 
 # Discovery order: by the parent's rank, then the link's ordinal, then the address.
 _RANKED_SQL = f"""
-v0 AS (SELECT '{_PART}' || p_partkey AS key, row_number() OVER (ORDER BY '{_PART}' || p_partkey) - 1 AS rank FROM part WHERE p_partkey < 2),
+v0 AS (SELECT '{_PART}' || p_partkey AS key, row_number() OVER (ORDER BY '{_PART}' || p_partkey) - 1 AS rank FROM part WHERE p_size = 11),
 c1 AS (SELECT e.dst AS key, min((v0.rank, e.ord)) AS first FROM v0 JOIN e ON e.src = v0.key WHERE e.dst NOT IN (SELECT key FROM v0) GROUP BY 1),
 v1 AS (SELECT key, row_number() OVER (ORDER BY first, key) - 1 AS rank FROM c1),
 c2 AS (SELECT e.dst AS key, min((v1.rank, e.ord)) AS first FROM v1 JOIN e ON e.src = v1.key

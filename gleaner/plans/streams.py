@@ -27,7 +27,7 @@ def stream_dedupe_inputs(spark, sf):
     inputs = as_responses(stream(spark, sf, "events")).selectExpr(
         "index", "concat(replace(input, 'shop.', 'SHOP.'), if(index % 2 = 0, '/', '#x')) as input", "fetched_at"
     )
-    # the delay spans the table, so that no duplicate is too far from the first one
+    # the delay spans the table, so that no row is late and no duplicate too far from the first one
     jobs.stream_dedupe_inputs(inputs, f"{base}/out", f"{base}/cp", "input", "fetched_at", "40 days").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("key")
 
@@ -54,13 +54,11 @@ def stream_progress(spark, sf):
 def stream_refresh(spark, sf):
     base = scratch(spark, "refresh")
     orders, fresh = _refresh(spark, sf)
-    versions = jobs.TableVersions(spark, f"{base}/table")
-    versions.write(orders, -1)
-    # several files, one per micro-batch; all results of an input share a file
-    fresh.repartition(2, "input").write.parquet(f"{base}/landed")
+    # several files, one per micro-batch; the results of an input arrive in several batches, out of order
+    fresh.repartition(3, "index").write.parquet(f"{base}/landed")
     landed = spark.readStream.schema(fresh.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
-    jobs.stream_refresh(landed, versions, f"{base}/cp", "customer", ["segment", "geo.nation"]).awaitTermination()
-    return versions.read()
+    jobs.stream_refresh(landed, f"{base}/results", f"{base}/cp").awaitTermination()
+    return jobs.refreshed(orders, "customer", f"{base}/results", ["segment", "geo.nation"])
 
 
 @query(
@@ -71,15 +69,14 @@ def stream_refresh(spark, sf):
 def stream_changes(spark, sf):
     base = scratch(spark, "changes")
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    lasts = jobs.TableVersions(spark, f"{base}/lasts")
-    # two landings: the second run goes on where the first one stopped
-    for part in ("ts < timestamp_ntz'2024-01-12 00:00:00'", "ts >= timestamp_ntz'2024-01-12 00:00:00'"):
+    # three landings out of order: the last one's rows are late, between rows already seen
+    for part in ("event_id % 5 = 1", "event_id % 5 > 1", "event_id % 5 = 0"):
         events.filter(part).write.mode("append").parquet(f"{base}/landed")
         landed = spark.readStream.schema(events.schema).parquet(f"{base}/landed")
         jobs.stream_changes(
-            landed, f"{base}/out", lasts, f"{base}/cp", "user_id", ["ts", "event_id"], "value"
+            landed, f"{base}/out", f"{base}/log", f"{base}/cp", "user_id", ["ts", "event_id"], "value"
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("ts", "batch")
+    return jobs.latest_changes(spark, f"{base}/out", "user_id", ["ts", "event_id"], "value").drop("ts")
 
 
 @query(

@@ -5,6 +5,7 @@ Each reader is a Spark scan plus an operator on its rows; the operators also tak
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,7 +143,7 @@ def parse_audit(lines: DataFrame, line: str) -> DataFrame:
 def filter_audit(
     lines: DataFrame,
     line: str,
-    order: str,
+    order: str | Sequence[str],
     n: int = 50,
     since: datetime | None = None,
     until: datetime | None = None,
@@ -151,7 +152,7 @@ def filter_audit(
     instants the last ``n`` lines."""
     rows = parse_audit(lines, line)
     if since is None and until is None:
-        return first_n(rows, [order], n, descending=True)
+        return first_n(rows, [order] if isinstance(order, str) else order, n, descending=True)
     keep: Column = F.col("ts").isNotNull()
     if since is not None:
         keep = keep & (F.col("ts") >= F.lit(since))
@@ -161,8 +162,8 @@ def filter_audit(
 
 
 def read_audit_log(spark: SparkSession, path: str, **kwargs) -> DataFrame:
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    return filter_audit(lines, "value", "at", **kwargs)
+    """Log lines in file order: files by path, lines by place."""
+    return filter_audit(_in_file_order(spark.read.text(path)), "value", FILE_ORDER, **kwargs)
 
 
 AUDIT_LIMIT = 10_000

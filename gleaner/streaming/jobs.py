@@ -1,16 +1,15 @@
 """Structured Streaming forms of the ledger, export and chunk operators.
 
 Every job takes a streaming DataFrame over landed files and runs what has arrived, then stops
-(``availableNow``); run it again, or on a schedule, to go on from its checkpoint. Tables that
-change are kept as versions, one folder per micro-batch, so that a replayed batch overwrites
-its own folder and nothing else.
+(``availableNow``); run it again, or on a schedule, to go on from its checkpoint. Results that
+change later are appended, one folder per micro-batch, so that a replayed batch overwrites its own folder
+and nothing else; reading them back takes the last word per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +19,6 @@ from ..operators.chunks import chunk_records
 from ..operators.ledger import refresh_table
 from ..operators.ordered import with_previous
 from ..operators.shape import result_envelope
-from ..session import cut_lineage
 
 
 def _run(stream: DataFrame, checkpoint: str, format: str, path: str) -> StreamingQuery:
@@ -40,23 +38,10 @@ def stream_chunks(
     return _run(chunk_records(documents, url, text, size, overlap, fetched_at), checkpoint, "parquet", path)
 
 
-def _first_per_batch(key: str):
-    """Keep the first row per key inside each Arrow batch: a key that fills the stream
-    reaches the stateful operator once per batch instead of once per row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column(batch.schema.get_field_index(key)).to_pandas()
-            yield batch.filter(pa.array(~names.duplicated()))
-
-    return run
-
-
 def dedupe_stream(inputs: DataFrame, value: str, event_time: str, delay: str) -> DataFrame:
     """First arrival per normalised input, duplicates within ``delay`` dropped; adds ``key``."""
     keyed = inputs.withColumn("key", normalize_batch_url(F.col(value)))
-    thinned = keyed.mapInArrow(_first_per_batch("key"), keyed.schema)
-    return thinned.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["key"])
+    return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["key"])
 
 
 def stream_dedupe_inputs(
@@ -99,74 +84,61 @@ def latest_progress(spark: SparkSession, path: str) -> DataFrame:
     return saved.groupBy("window_start").agg(F.max_by(row, "batch").alias("r")).select("window_start", "r.*")
 
 
-class TableVersions:
-    """A table kept as one folder per micro-batch; a batch reads the version before it."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+def stream_refresh(responses: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Land results for a refresh: appended only, one folder per micro-batch. Nothing is rewritten,
+    whatever the size of the table they refresh; see ``refreshed``."""
 
-    def versions(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = [status.getPath() for status in fs.listStatus(root)]
-        done = [p for p in names if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().split("=")[1]) for p in done if "=" in p.getName())
+    def save(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(_version(path, batch))
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        usable = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(_version(self.path, usable[-1])) if usable else None
-
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(_version(self.path, batch))
-
-
-def stream_refresh(
-    responses: DataFrame, table: TableVersions, checkpoint: str, key: str, columns: Sequence[str]
-) -> StreamingQuery:
-    """Refresh a table with the responses of every micro-batch; version -1 is the table to begin with.
-
-    ``columns`` names the columns that results may add.
-    """
+    writer = responses.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
-    def merge(batch_rows: DataFrame, batch: int) -> None:
-        current = table.read(before=batch)
-        missing = [c for c in columns if c not in current.columns]
-        widened = current.withColumns({c: F.lit("") for c in missing}) if missing else current
-        table.write(refresh_table(widened, key, batch_rows, [], columns), batch)
 
-    writer = responses.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+def refreshed(table: DataFrame, key: str, path: str, columns: Sequence[str]) -> DataFrame:
+    """The table with the landed results merged in: per input the one with the largest ``index``, in
+    whatever order and batch the results arrived. ``columns`` names the columns that results may add."""
+    landed = table.sparkSession.read.parquet(path).drop("batch")
+    missing = [c for c in columns if c not in table.columns]
+    widened = table.withColumns({c: F.lit("") for c in missing}) if missing else table
+    return refresh_table(widened, key, landed, [], columns)
 
 
 def stream_changes(
-    observations: DataFrame, path: str, lasts: TableVersions, checkpoint: str, key: str, order: Sequence[str], value: str
+    observations: DataFrame, path: str, log: str, checkpoint: str, key: str, order: Sequence[str], value: str
 ) -> StreamingQuery:
-    """Every arriving observation with the previous value of its item.
+    """Every arriving observation with the previous value of its item; see ``latest_changes``.
 
-    Within a batch the previous row comes from a range-partitioned pass (``with_previous``), which a
-    dominant item does not slow down; the last value per item is kept as a table, not as
-    per-key operator state, and supplies the first row of every item.
+    Observations are appended to ``log``, one folder per micro-batch. A batch reads back only the items it
+    touches, from each one's last row before the first new one on, so a late row gets its true predecessor, and the
+    row after it is written again with its corrected one. Output and log only grow; neither
+    is rewritten.
     """
+    place = F.struct(*order)
 
     def step(rows: DataFrame, batch: int) -> None:
-        known = lasts.read(before=batch)
-        current = rows.select(key, *order, value, F.lit(True).alias("__new"))
-        if known is not None:
-            touched = known.join(rows.select(key).distinct(), key, "left_semi")
-            current = current.unionByName(touched.withColumn("__new", F.lit(False)).select(*current.columns))
-        # the remembered row of an item is earlier than all of its new ones
-        linked = cut_lineage(with_previous(current, key, order, {"previous": value}))
+        spark = rows.sparkSession
+        new = rows.select(key, *order, value)
+        new.write.mode("overwrite").parquet(_version(log, batch))
+        arrived = spark.read.parquet(_version(log, batch)).withColumn("__new", F.lit(True))
+        known = spark.read.parquet(log).filter(F.col("batch") < batch).drop("batch")
+        first = arrived.groupBy(key).agg(F.min(place).alias("__first"))
+        near = known.join(first, key).withColumn("__before", place < F.col("__first"))
+        kept = near.filter("not __before").select(*new.columns)
+        lasts = near.filter("__before").groupBy(key).agg(F.max_by(F.struct(*order, value), place).alias("r")).select(key, "r.*")
+        current = arrived.unionByName(kept.unionByName(lasts).withColumn("__new", F.lit(False)))
+        linked = with_previous(current, key, order, {"previous": value, "__after_new": "__new"})
+        # new rows, and known ones that now follow a new one
+        said = linked.filter(F.col("__new") | F.coalesce("__after_new", F.lit(False))).drop("__new", "__after_new")
         changed = F.coalesce(F.col("previous") != F.col(value), F.lit(False))
-        linked.filter("__new").drop("__new").withColumn("changed", changed).write.mode("overwrite").parquet(
-            _version(path, batch)
-        )
-        row = F.struct(*order, value)
-        newest = linked.groupBy(key).agg(F.max_by(row, F.struct(*order)).alias("r")).select(key, "r.*")
-        if known is not None:
-            newest = newest.unionByName(known.join(newest.select(key), key, "left_anti"))
-        lasts.write(newest, batch)
+        said.withColumn("changed", changed).write.mode("overwrite").parquet(_version(path, batch))
 
     writer = observations.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def latest_changes(spark: SparkSession, path: str, key: str, order: Sequence[str], value: str) -> DataFrame:
+    """Every observation once, with the last word on its previous value."""
+    saved = spark.read.parquet(path)
+    row = F.struct(value, "previous", "changed")
+    return saved.groupBy(key, *order).agg(F.max_by(row, "batch").alias("r")).select(key, *order, "r.*")
