@@ -18,8 +18,11 @@ MARKDOWN_LINK = r"\]\s*\(\s*([^)\s]+)\s*\)"
 NO_PAGE = ("#", "mailto:", "javascript:")
 
 COMMENT = r"(?s)<!--.*?(?:-->|$)"
-# an attribute of a start tag in any of the three quoting forms; the value may hold its quotes
-ATTRIBUTE = r"""(?is)<{tag}\s(?:[^>]*?[\s"'])?{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+# a start tag up to an attribute, past the ones before it, then its value in any of the three quoting forms
+ATTRIBUTE = (
+    r"""(?is)<{tag}(?=[\s/])(?:[\s/]*+(?!{name}\s*+=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+|))?+)*+"""
+    r"""[\s/]*+{name}\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+)
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 

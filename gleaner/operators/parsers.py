@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import csv
 import io
-import json
 import re
 import xml.etree.ElementTree as ET
 from html.parser import HTMLParser
 from itertools import groupby
 from typing import Any
 
+from . import deepjson
+
 # Fixed values of HTML: elements without content, and the open elements that a start tag closes.
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -158,8 +159,8 @@ def parse_ndjson(text: str) -> list | None:
     if len(lines) < 2:
         return None
     try:
-        return [json.loads(line) for line in lines]
-    except (ValueError, RecursionError):
+        return [deepjson.loads(line) for line in lines]
+    except ValueError:
         return None
 
 
@@ -242,8 +243,8 @@ _XML_MARKS = (b"<?xml", b"<rss", b"<feed")
 
 def _json_or_none(text: str) -> tuple[bool, Any]:
     try:
-        return True, json.loads(text)
-    except (ValueError, RecursionError):
+        return True, deepjson.loads(text)
+    except ValueError:
         return False, None
 
 

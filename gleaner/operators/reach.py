@@ -5,12 +5,13 @@ The shredder drops the other parts right after parsing, before any node is made
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
 from typing import Any
 
+from . import deepjson
+
 
 @dataclass
 class Reach:
@@ -93,8 +94,8 @@ def _search(value: Any, wanted: set[str]) -> Any:
             return [below for item in part if (below := kept(item)) is not None] or None
         if isinstance(part, str) and part.startswith(("{", "[")):
             try:
-                inner = json.loads(part)
-            except (ValueError, RecursionError):
+                inner = deepjson.loads(part)
+            except ValueError:
                 return None
             return part if kept(inner) is not None else None
         return None

@@ -99,7 +99,8 @@ def compare_rankings(
     The rank limit is pushed below the shuffle, so every task sends at most ``k`` rows per group.
     """
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    top = df.select(group, title, rank.alias("position")).filter(F.col("position") <= k)
+    wanted = df.filter(F.col(group).isin(*groups))  # the others are never sorted
+    top = wanted.select(group, title, rank.alias("position")).filter(F.col("position") <= k)
     # the groups are given: no pass to find the pivot's columns
     return top.groupBy("position").pivot(group, list(groups)).agg(F.first(title))
 

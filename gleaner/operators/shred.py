@@ -8,6 +8,7 @@ a projection inside the row: no shuffle, no join, whatever the number of steps.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 from json.encoder import encode_basestring
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import deepjson
 from .parsers import FORMATS, parse_payload
 from .reach import Reach, prune
 from .rows import spread_small
 
-MAX_DEPTH = 100  # recursive search goes no deeper
 NODES_PER_BATCH = 100_000
 
 NODE_TYPE = T.StructType(
@@ -108,48 +109,45 @@ class _Nodes:
         document's own text, then those of the JSON that its strings hold."""
         parents, depths, keys, texts, codes = self.parents, self.depths, self.keys, self.texts, self.codes
         base = len(parents)
-        documents: list[str] = []
-
-        def start(value, parent: int, depth: int) -> None:
-            documents.append(json.dumps(value, ensure_ascii=False))
-            visit((None,), (value,), parent, depth)
-
-        def visit(names, values, parent: int, depth: int) -> None:
-            for key, value in zip(names, values):
+        documents: list[str] = [deepjson.dumps(tree)]
+        # containers being walked: what is left of them, their position and their children's depth
+        open_: list[tuple[Iterator, int, int]] = [(iter(((None, tree),)), -1, 0)]
+        while open_:
+            items, parent, depth = open_[-1]
+            for key, value in items:
                 kind = type(value)
+                node = len(parents)
                 parents.append(parent)
                 depths.append(depth)
                 keys.append(key)
                 codes.append(_CODES[kind])
                 if kind is str:
                     texts.append(value)
-                    if value.startswith(("{", "[")) and depth < MAX_DEPTH:
-                        node = len(parents) - 1
+                    if value.startswith(("{", "[")):
                         try:
-                            inner = json.loads(value)
-                        except (ValueError, RecursionError):
+                            inner = deepjson.loads(value)
+                        except ValueError:
                             continue
-                        start(inner, node, depth + 1)
+                        documents.append(deepjson.dumps(inner))
+                        open_.append((iter(((None, inner),)), node, depth + 1))
+                        break
                 elif kind is dict or kind is list:
                     flat = kind is list and not any(type(item) is dict or type(item) is list for item in value)
                     texts.append((str(value) if value else "") if flat else None)
-                    if depth > MAX_DEPTH:
-                        self.json_sizes[len(parents) - 1] = len(
-                            json.dumps(value, ensure_ascii=False).encode("utf-8", "replace")
-                        )
-                    elif kind is dict:
-                        names_here = ["null" if name is None else name for name in value] if None in value else value
-                        visit(names_here, value.values(), len(parents) - 1, depth + 1)
+                    if kind is dict:
+                        names = ["null" if name is None else name for name in value] if None in value else value
+                        open_.append((zip(names, value.values()), node, depth + 1))
                     else:
-                        visit(repeat(None), value, len(parents) - 1, depth + 1)
+                        open_.append((zip(repeat(None), value), node, depth + 1))
+                    break
                 elif value is None:
                     texts.append("")
                 else:
                     texts.append(str(value))
                     if kind is float and not isfinite(value):
-                        self.json_sizes[len(parents) - 1] = len(json.dumps(value))
-
-        start(tree, -1, 0)
+                        self.json_sizes[node] = len(json.dumps(value))
+            else:
+                open_.pop()
         self.counts.append(len(parents) - base)
         return "".join(documents).encode("utf-8", "replace")
 
@@ -324,6 +322,7 @@ def shred(
                 yield at, None, name, tree if reach is None or name is None else prune(tree, reach)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000_000))  # pruning follows a document to its depth
         for batch in batches:
             sources, items, formats, texts, nodes = [], [], [], [], _Nodes(paths)
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.text import glob_to_regex, value_pattern
 from .reach import reach_of
 from .rows import explode_rows
-from .shred import MAX_DEPTH, shred
+from .shred import shred
 
 ONE, LIST, DICT = 0, 1, 2
 _EL = "struct<id:int,txt:string>"
@@ -41,6 +41,8 @@ _SCALAR = "in ('str', 'int', 'float', 'bool')"
 Sql = str
 _names = itertools.count()
 
+SEARCH_DEPTH = 100  # fixed value: how many levels a recursive search goes down
+
 
 def _text(value: str) -> Sql:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -183,7 +185,7 @@ class Tree:
             return _flat_map(ids, lambda i: f"if({is_list(i)}, {_map(self.kids(i), self.entered)}, array({i}))")
 
         def opened(found: Sql) -> Sql:
-            fold = f"aggregate(sequence(0, {MAX_DEPTH}), {found}, (acc, n) -> if({_any('acc', is_list)}, {open_lists('acc')}, acc))"
+            fold = f"aggregate(sequence(0, array_max(transform({self.nodes}, n -> n.depth))), {found}, (acc, n) -> if({_any('acc', is_list)}, {open_lists('acc')}, acc))"
             return f"if({_any(found, is_list)}, {fold}, {found})"
 
         # a single value has been entered by ``settle``
@@ -286,7 +288,8 @@ class Path:
             starts = _map(_only(f"{group}.els", lambda e: f"{e}.id is not null"), lambda e: f"{e}.id")
 
             def hits(start: Sql) -> Sql:
-                inner = _map(_only(tree.below(start), lambda n: named(f"{n}.key")), lambda n: f"{n}.id")
+                near = lambda n: f"{n}.depth - {tree.node(start)}.depth <= {SEARCH_DEPTH}"
+                inner = _map(_only(tree.below(start), lambda n: f"{named(f'{n}.key')} and {near(n)}"), lambda n: f"{n}.id")
                 own = f"{group}.form = {DICT} and {named(f'{tree.node(start)}.key')}"
                 return f"if({own}, concat(array({start}), {inner}), {inner})"
 

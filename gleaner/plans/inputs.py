@@ -30,7 +30,10 @@ def read_input_lines(spark, sf):
     pages = _pages(spark, sf)
     lines = pages.selectExpr("page_id * 2 as at", "if(page_id % 3 = 0, concat('  ', url, '\\t'), url) as value")
     blanks = pages.filter("page_id % 4 = 0").selectExpr("page_id * 2 + 1 as at", "'   ' as value")
-    return files.index_inputs(lines.unionByName(blanks), "at")
+    path = scratch(spark, "input-lines")
+    # several files, whose names follow the order of the lines
+    lines.unionByName(blanks).repartitionByRange(4, "at").sortWithinPartitions("at").select("value").write.text(path)
+    return files.read_input_lines(spark, path)
 
 
 @query(
@@ -74,11 +77,19 @@ def read_payload_dir(spark, sf):
     """,
 )
 def read_manifest(spark, sf):
-    manifests = table(spark, sf, "customer").selectExpr(
-        """concat('{"https://a.com/', c_custkey, '": "', c_custkey, '.json", "https://b.com/', c_custkey,
-                  '": {"file": "files/', c_custkey, '.pdf", "http_status": ', 200 + c_nationkey, '}}') as value"""
+    entries = table(spark, sf, "customer").selectExpr(
+        "c_custkey div 50 as part",
+        """array(named_struct('key', concat('https://a.com/', c_custkey), 'value', concat('"', c_custkey, '.json"')),
+                 struct(concat('https://b.com/', c_custkey),
+                        concat('{"file": "files/', c_custkey, '.pdf", "http_status": ', 200 + c_nationkey, '}'))) as pair""",
     )
-    return files.manifest_entries(manifests, "value").select("input", "file", "http_status")
+    # one manifest file per fifty customers
+    manifests = entries.groupBy("part").agg(F.flatten(F.collect_list("pair")).alias("pairs")).selectExpr(
+        "part", """concat('{', array_join(transform(pairs, p -> concat('"', p.key, '": ', p.value)), ', '), '}') as value"""
+    )
+    path = scratch(spark, "manifests")
+    manifests.write.partitionBy("part").text(path)
+    return files.read_manifest(spark, path).select("input", "file", "http_status")
 
 
 def _sitemap_pages(spark, sf):
@@ -139,17 +150,30 @@ _AUDIT_LINE = """concat(if(event_id % 13 = 0, 'broken', date_format(ts, "yyyy-MM
 @query(
     "read_audit_log",
     """
-    SELECT event_id AS "at", 'post-process' AS feature, event_type AS command, CAST(user_id AS VARCHAR) AS input, '' AS output_dir
+    SELECT 'post-process' AS feature, event_type AS command, CAST(user_id AS VARCHAR) AS input, '' AS output_dir
     FROM events WHERE event_id % 13 <> 0 AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00'
     """,
 )
 def read_audit_log(spark, sf):
+    path = scratch(spark, "audit")
     lines = table(spark, sf, "events").selectExpr("event_id as at", _AUDIT_LINE)
+    lines.repartitionByRange(3, "at").sortWithinPartitions("at").select("line").write.text(path)
     utc = dt.timezone.utc
-    found = files.filter_audit(
-        lines, "line", "at", since=dt.datetime(2024, 1, 5, tzinfo=utc), until=dt.datetime(2024, 1, 20, 12, tzinfo=utc)
+    found = files.read_audit_log(
+        spark, path, since=dt.datetime(2024, 1, 5, tzinfo=utc), until=dt.datetime(2024, 1, 20, 12, tzinfo=utc)
     )
-    return found.select("at", *files.AUDIT_COLUMNS)
+    return found.select(*files.AUDIT_COLUMNS)
+
+
+@query(
+    "audit_log_tail",
+    """SELECT event_type AS command, CAST(user_id AS VARCHAR) AS input FROM events ORDER BY event_id DESC LIMIT 500""",
+)
+def audit_log_tail(spark, sf):
+    path = scratch(spark, "audit-tail")
+    lines = table(spark, sf, "events").selectExpr("event_id as at", _AUDIT_LINE)
+    lines.repartitionByRange(5, "at").sortWithinPartitions("at").select("line").write.text(path)
+    return files.read_audit_log(spark, path, n=500).select("command", "input")
 
 
 @query("retain_last_n", "SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 500")

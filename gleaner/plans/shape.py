@@ -170,10 +170,10 @@ def stringify_top_level(spark, sf):
 @query(
     "dedupe_rows",
     f"""WITH {ORDER_DOCS_SQL}
-    SELECT min(id) AS id, name, c AS cents, count(*) AS copies FROM a WHERE c < 100 GROUP BY name, c, paid""",
+    SELECT min(id) AS id, name, c AS cents, count(*) AS copies FROM a GROUP BY name, c, paid""",
 )
 def dedupe_rows(spark, sf):
-    rows = shape.stringify_records(order_trees(spark, sf), "id").filter(F.col("cells")["cents"].cast("bigint") < 100)
+    rows = shape.stringify_records(order_trees(spark, sf), "id")
     first = shape.dedupe_rows(rows, ["id", "rec"])
     cents = F.col("cells")["cents"].cast("bigint")
     return first.select("id", F.col("cells")["name"].alias("name"), cents.alias("cents"), "copies")

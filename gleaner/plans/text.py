@@ -128,10 +128,10 @@ def compare_rankings(spark, sf):
 
 @query(
     "chain_keys",
-    """SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)""",
+    """SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""",
 )
 def chain_keys(spark, sf):
-    found = table(spark, sf, "lineitem").filter("l_quantity > 45").selectExpr("l_partkey", "l_orderkey * 10 + l_linenumber as at")
+    found = table(spark, sf, "lineitem").selectExpr("l_partkey", "l_orderkey * 10 + l_linenumber as at")
     return search.chain_keys(found, "l_partkey", "at", table(spark, sf, "part"), "p_partkey").select("p_partkey", "p_name")
 
 
@@ -148,16 +148,16 @@ def chain_extracted_keys(spark, sf):
 
 @query(
     "map_payload",
-    """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN md5(html) WHEN page_id % 3 = 1 THEN md5('broken')
+    """SELECT page_id, CASE WHEN contains(html, '<html lang="fr">') THEN md5(html)
         ELSE md5(regexp_extract(html, '<title>([^<]*)</title>', 1)) END AS body_md5 FROM pages""",
 )
 def transform_payloads(spark, sf):
-    pages = table(spark, sf, "pages").selectExpr(
-        "page_id", "page_id % 3 != 0 as good", "cast(if(page_id % 3 = 1, 'broken', html) as binary) as body"
-    )
+    pages = table(spark, sf, "pages").selectExpr("page_id", "url is not null as good", "cast(html as binary) as body")
 
     def title(body: bytes) -> bytes:
-        return re.search(rb"<title>(.*?)</title>", body, re.I)[1]  # raises where there is no title
+        if b'<html lang="fr">' in body:
+            raise ValueError("not for this language")  # a failed payload stays as it is
+        return re.search(rb"<title>(.*?)</title>", body, re.I)[1]
 
     changed = map_payload(pages, "body", title, ok="good")
     return changed.select("page_id", F.md5("body").alias("body_md5"))

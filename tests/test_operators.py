@@ -21,17 +21,28 @@ def apply(spark, column, values, type_="string"):
 
 
 def test_url_normalisation(spark):
-    given = ["https://example.com/page#section", "https://example.com/", "https://example.com?a=1", "https://example.com/index.html",
-             "https://example.com/foo/INDEX.htm", "https://example.com/myindex.html", "https://Example.com/a/?q=1#x"]
-    assert apply(spark, urls.normalize_crawl_url, given) == [
-        "https://example.com/page", "https://example.com/", "https://example.com/?a=1", "https://example.com/",
-        "https://example.com/foo", "https://example.com/myindex.html", "https://Example.com/a?q=1"]
-    assert apply(spark, urls.normalize_batch_url, ["HTTPS://EXAMPLE.com/A/#f", "plain query", "B00ABC", "https://x.com/?q=1/"]) == [
-        "https://example.com/A", "plain query", "B00ABC", "https://x.com/?q=1"]
-    assert apply(spark, urls.video_id, ["dQw4w9WgXcQ", "https://www.youtube.com/watch?v=dQw4w9WgXcQ&t=3", "https://youtu.be/dQw4w9WgXcQ",
-                                        "https://youtube.com/shorts/dQw4w9WgXcQ", "nothing"]) == ["dQw4w9WgXcQ"] * 4 + ["nothing"]
-    assert apply(spark, urls.is_plain_ascii_url, ["https://h.com/a?b", "https://h.com/é", "https://h.com/%E9", "https://h.com/%41", "https://é.com/x#é"]) == [
-        True, False, False, True, True]
+    """Every combination of host spelling, path, query and fragment, against the rule written out."""
+    hosts, paths = ["farm.test", "FARM.test:81"], ["", "/", "/barn", "/barn/", "/barn/index.html", "/INDEX.HTM", "/reindex.html", "/barn//"]
+    cases = [("https", h, p, q, f) for h in hosts for p in paths for q in ("", "?row=3", "?row=3/") for f in ("", "#top")]
+
+    def crawled(scheme, host, path, query, _):
+        for name in ("/index.html", "/index.htm"):
+            if path.lower().endswith(name):
+                path = path[: -len(name)] + "/"
+        return f"{scheme}://{host}{path.rstrip('/') or '/'}{query}"
+
+    given = ["".join((s, "://", h, p, q, f)) for s, h, p, q, f in cases]
+    assert apply(spark, urls.normalize_crawl_url, given) == [crawled(*c) for c in cases]
+    batch = [f"{s}://{h.lower()}{p}{q}".rstrip("/") for s, h, p, q, _ in cases]
+    assert apply(spark, urls.normalize_batch_url, [g.replace("https", "HttpS") for g in given]) == batch
+    assert apply(spark, urls.normalize_batch_url, ["two words", "X-77/"]) == ["two words", "X-77/"]
+    ids = ["Ab3_-" + "x" * 6, "0" * 11]
+    shapes = ["https://www.youtube.com/watch?v={}&n=2", "https://youtu.be/{}", "http://youtube.com/embed/{}?a", "youtube.com/shorts/{}", "{}"]
+    assert apply(spark, urls.video_id, [s.format(i) for i in ids for s in shapes]) == [i for i in ids for _ in shapes]
+    plain = [f"https://farm.test/{chr(c)}" for c in range(33, 400)] + [f"https://farm.test/%{c:02X}" for c in range(256)]
+    want = [c < 127 for c in range(33, 400)] + [32 <= c < 127 for c in range(256)]
+    # a "#" starts the fragment, which is not looked at; "%" alone is printable
+    assert apply(spark, urls.is_plain_ascii_url, plain) == want
 
 
 def test_join_url_like_the_standard_library(spark):
@@ -46,14 +57,18 @@ def test_join_url_like_the_standard_library(spark):
 
 
 def test_kinds(spark):
-    bodies = [b"\x89PNG\r\n\x1a\ndata", b"\xff\xd8\xff\xe0", b"GIF89a", b"RIFF\0\0\0\0WEBPdata", b'{"k": 1}', b'[{"a":1}]', b"<!DOCTYPE html>",
-              b"<html><body>", b"[link text](https://e.com) more", b"", b"random \0\1", b" [t](u)", b" " * 5000 + b"{}"]
-    assert apply(spark, kinds.sniff_kind, bodies, "binary") == [
-        "png", "jpg", "gif", "webp", "json", "json", "html", "html", "md", None, None, "json", "json"]
-    headers = [{"content-type": "application/json; charset=utf-8"}, {"Content-Type": "text/html"}, {"x": "y"}, {}, {"content-type": "a/b"}]
-    assert apply(spark, kinds.kind_from_content_type, headers, "map<string,string>") == ["json", "html", "bin", "bin", "bin"]
-    assert apply(spark, kinds.is_text_payload, [b"", b"%PDF-1", b"a\0b", b"{\0", b"plain", b"\1" * 40 + b"x" * 60], "binary") == [
-        True, False, False, True, True, False]
+    signs = {b"\x89PNG\r\n\x1a\n": "png", b"\xff\xd8\xff": "jpg", b"GIF87a": "gif", b"RIFF\x01\x02\x03\x04WEBP": "webp",
+             b' \n{"barn": [1]}': "json", b"[3, 4]": "json", b"<html lang=x>": "html", b"\t<!doctype HTML>": "html", b"\x7f\x00\x01": None}
+    tails = [b"", b"\x00\x05", b" and more text"]
+    bodies = [(sign + tail, kind) for sign, kind in signs.items() for tail in tails]
+    got = apply(spark, kinds.sniff_kind, [b for b, _ in bodies], "binary")
+    assert [g for g, (b, k) in zip(got, bodies, strict=True) if k] == [k for _, k in bodies if k]
+    assert got[-3:-1] == [None, None]
+    types = {"application/json": "json", "text/html": "html", "nothing/known": "bin"}
+    headers = [({name: value + more}, kind) for value, kind in types.items() for name in ("content-type", "CONTENT-TYPE") for more in ("", ";charset=x")]
+    assert apply(spark, kinds.kind_from_content_type, [h for h, _ in headers], "map<string,string>") == [k for _, k in headers]
+    texts = [(b"oats and barley " * n, True) for n in range(4)] + [(b"oats\0barley", False), (b"%PDF-1.7 x", False), (bytes(range(1, 9)) * 50, False)]
+    assert apply(spark, kinds.is_text_payload, [t for t, _ in texts], "binary") == [w for _, w in texts]
 
 
 def test_chunks_and_patterns(spark):
@@ -173,38 +188,66 @@ def cells(spark, document, **kwargs):
     return [r.cells for r in shape.flatten_records(shred(df, "body", "json", paths=True), "id", **kwargs).orderBy("rec").collect()]
 
 
+def flat(value, depth, level=0, prefix=""):
+    """Dotted cells of a record, by a plain walk; lists of scalars are shown as Python shows them."""
+    out = {}
+    for key, inner in value.items() if isinstance(value, dict) else enumerate(value):
+        name = f"{prefix}{key}"
+        if isinstance(inner, dict) and level < depth:
+            out |= flat(inner, depth, level + 1, name + ".")
+        elif isinstance(inner, list) and any(isinstance(x, (dict, list)) for x in inner) and level < depth:
+            out |= flat(inner, depth, level, name + ".")
+        elif isinstance(inner, dict) or isinstance(inner, list) and any(isinstance(x, (dict, list)) for x in inner):
+            out[name] = json.dumps(inner)
+        else:
+            out[name] = "" if inner is None or inner == [] else str(inner)
+    return out
+
+
 def test_flattening(spark):
-    assert cells(spark, {"a": 1, "b": "x", "c": True, "d": None, "e": [], "f": 1.0}) == [
-        {"a": "1", "b": "x", "c": "True", "d": "", "e": "", "f": "1.0"}]
-    assert cells(spark, {"a": {"b": 1}}, max_depth=0) == [{"a": '{"b": 1}'}]
-    assert cells(spark, {"a": {"b": {"c": 1}}}, max_depth=1) == [{"a.b": '{"c": 1}'}]
-    assert cells(spark, {"d": {"items": [{"price": "10"}, {"price": "20"}], "s": ["x", 1]}}) == [
-        {"d.items.0.price": "10", "d.items.1.price": "20", "d.s": "['x', 1]"}]
-    assert cells(spark, {"a": {"b": 1}, "a.b": 2}) == [{"a.b": "2"}]
-    assert cells(spark, [{"a": 1}, 5, {"a": 2}]) == [{"a": "1"}, {"a": "2"}]
+    rng = random.Random(17)
+
+    def record(level):
+        names = rng.sample(["oat", "barley", "well", "gate", "shed"], rng.randint(1, 4))
+        made = {}
+        for n in names:
+            kind = rng.random()
+            if level < 4 and kind < 0.35:
+                made[n] = record(level + 1)
+            elif level < 4 and kind < 0.55:
+                made[n] = [record(level + 1) for _ in range(2)]
+            else:
+                made[n] = rng.choice([4, 2.5, "rye", "", None, True, [], [1, "x"]])
+        return made
+
+    for at in range(12):
+        document = {"id": at, "part": record(1)}  # an id beside it, so that no inner list is taken for the records
+        for depth in (1, 2, 5):
+            assert cells(spark, document, max_depth=depth) == [flat(document, depth)], (document, depth)
     deep = {"v": 1}
-    for _ in range(6):
+    for _ in range(120):
         deep = {"k": deep}
     with pytest.raises(Exception, match="exceeds the default"):
         cells(spark, deep)
-    assert cells(spark, deep, max_depth=6) == [{".".join(["k"] * 6) + ".v": "1"}]
+    assert cells(spark, deep, max_depth=200) == [{".".join(["k"] * 120) + ".v": "1"}]
+    assert cells(spark, [{"oat": 1}, 5, {"oat": 2}]) == [{"oat": "1"}, {"oat": "2"}]
 
 
 def test_records_and_columns(spark):
-    docs = [(1, '{"organic_results": [{"url": "a"}, {"url": "b"}], "meta_data": {"total": 2}}'), (2, '{"asin": "B1", "price": 9.99}'), (3, "5"), (4, "no")]
-    df = spark.createDataFrame(docs, "id long, body string")
-    trees = shred(df, "body", "json", paths=True)
-    assert sorted((r.id, r.record) for r in shape.explode_records(trees, "id").collect()) == [
-        (1, '{"url": "a"}'), (1, '{"url": "b"}'), (2, '{"asin": "B1", "price": 9.99}')]
+    harvests = {1: {"rows": [{"crop": "oat"}, {"crop": "rye"}], "count": 2}, 2: {"barn": "north", "tons": 7.5}, 3: 5, 4: "torn"}
+    docs = [(i, json.dumps(d) if i < 4 else "{torn") for i, d in harvests.items()]
+    trees = shred(spark.createDataFrame(docs, "id long, body string"), "body", "json", paths=True)
+    want = [(1, json.dumps(r)) for r in harvests[1]["rows"]] + [(2, json.dumps(harvests[2]))]
+    assert sorted((r.id, r.record) for r in shape.explode_records(trees, "id").collect()) == want
     rows = shape.flatten_records(trees, "id").cache()
-    assert shape.column_names(rows, ["id", "rec"]) == ["url", "asin", "price"]
+    assert shape.column_names(rows, ["id", "rec"]) == ["crop", "barn", "tons"]
     wide = shape.union_columns(rows, ["id", "rec"]).collect()
-    assert sorted(tuple(r) for r in wide) == [("", "B1", "9.99"), ("a", "", ""), ("b", "", "")]
-    with pytest.raises(ValueError, match="url, asin, price"):
-        shape.select_columns(rows, ["nope"], "id", "rec")
-    nested = shred(spark.createDataFrame([('{"a": 1, "b": "", "list": []}',)], "body string"), "body", "json", paths=True)
+    assert sorted(tuple(r) for r in wide) == [("", "north", "7.5"), ("oat", "", ""), ("rye", "", "")]
+    with pytest.raises(ValueError, match="crop, barn, tons"):
+        shape.select_columns(rows, ["silo"], "id", "rec")
+    bare = shred(spark.createDataFrame([('{"oat": 1, "rye": "", "all": []}',)], "body string"), "body", "json", paths=True)
     with pytest.raises(ValueError, match="no row"):
-        shape.select_columns(shape.flatten_records(nested), ["b"])
+        shape.select_columns(shape.flatten_records(bare), ["rye"])
 
 
 def test_small_ledger_pieces(spark):
