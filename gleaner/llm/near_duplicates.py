@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .graph import connected_components
+from .graph import connected_components, ordered_pair, unresolved
 
 
 @dataclass(frozen=True)
@@ -31,8 +31,9 @@ class NearDuplicateParams:
     rows: int = 5
     sketch_bits: int = 512
     slack: float = 0.20
-    hub_rounds: int = 2
+    hub_rounds: int = 3
     block: int = 256
+    block_shingles: int = 1 << 21
     seed: int = 7
 
 
@@ -199,78 +200,72 @@ def _promising(pairs: DataFrame, classes: DataFrame, params: NearDuplicateParams
     return sized.filter(_different_bits("odd_a", "odd_b", params) <= most_different_bits(params)).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, params: NearDuplicateParams) -> DataFrame:
-    """Every promising pair of different components that shares a bucket, each pair from its first shared band.
+def _cross_links(members: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """The links ``a, b`` between members of a bucket that lie in different components.
 
-    ``members`` (band, key, doc_id, component, major, bands, odd) holds the buckets that still span several
-    components. Those outside a bucket's largest component meet all of its members. Both
-    sides travel in blocks of bounded size, and a task compares one pair of blocks: no pair becomes
-    a row unless its sketches are close.
+    ``members`` (band, key, doc_id, component, major, n_shingles, bands, odd, shingles) holds the buckets that span
+    several components. Those outside a bucket's largest component meet all of its members. Both sides
+    travel in blocks of bounded count and size, and a task compares one pair of blocks: sketches first, then the
+    full sets of what is left, each pair in its first shared band only. A row leaves a task for every
+    document and component that link, so that the result grows with the links found, not with the pairs.
     """
     limit = most_different_bits(params)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 left, right = row["left"], row["right"]
                 odd = [np.frombuffer(b"".join(x["odd"] for x in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
-                bands = [np.array([x["bands"] for x in side], np.int64) for side in (left, right)]
-                ids = [np.array([x["doc_id"] for x in side], np.int64) for side in (left, right)]
-                parts = [np.array([x["component"] for x in side], np.int64) for side in (left, right)]
-                found_a, found_b = [], []
-                for i in range(len(left)):
-                    near = np.bitwise_count(odd[1] ^ odd[0][i]).sum(1) <= limit
-                    near &= parts[1] != parts[0][i]
-                    at = np.flatnonzero(near)
-                    if len(at):
-                        shared = bands[1][at] == bands[0][i]
-                        at = at[shared.argmax(1) == row["band"]]
-                        found_a.append(np.minimum(ids[1][at], ids[0][i]))
-                        found_b.append(np.maximum(ids[1][at], ids[0][i]))
-                if found_a:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], ["a", "b"]
-                    )
-
-    sized = members.join(
-        members.groupBy("band", "key").agg(F.count("*").alias("n"), F.count_if(~F.col("major")).alias("n_minor")), ["band", "key"]
+                bands = np.array([x["bands"] for x in right], np.int64)
+                parts = np.array([x["component"] for x in right], np.int64)
+                sets = [np.frombuffer(x["shingles"], np.uint64) for x in right]
+                sizes = np.array([len(s) for s in sets])
+                found: list[tuple[int, int]] = []
+                for i, x in enumerate(left):
+                    own = np.frombuffer(x["shingles"], np.uint64)
+                    near = (np.bitwise_count(odd[1] ^ odd[0][i]).sum(1) <= limit) & (parts != x["component"])
+                    near &= 100 * np.minimum(sizes, len(own)) >= params.similarity * np.maximum(sizes, len(own))
+                    at_right = np.flatnonzero(near)
+                    if len(at_right):
+                        at_right = at_right[(bands[at_right] == np.array(x["bands"])).argmax(1) == row["band"]]
+                    if not len(at_right):
+                        continue
+                    joined = np.concatenate([sets[j] for j in at_right])
+                    place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+                    owner = np.repeat(np.arange(len(at_right)), sizes[at_right])
+                    common = np.bincount(owner, own[place] == joined, len(at_right))
+                    linked = at_right[100 * common >= params.similarity * (len(own) + sizes[at_right] - common)]
+                    _, one_each = np.unique(parts[linked], return_index=True)
+                    found += [(x["doc_id"], right[j]["doc_id"]) for j in linked[one_each]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(f) for f in found]), pa.array([max(f) for f in found])], ["a", "b"])
+
+    size = F.sum("n_shingles")
+    counts = members.groupBy("band", "key").agg(
+        F.greatest(F.ceil(F.count("*") / params.block), F.ceil(size / params.block_shingles)).alias("right_blocks"),
+        F.greatest(
+            F.ceil(F.count_if(~F.col("major")) / params.block),
+            F.ceil(F.sum(F.when(~F.col("major"), F.col("n_shingles"))) / params.block_shingles),
+        ).alias("left_blocks"),
     )
-    # a bucket's members are dealt over blocks by their id, so that a block holds about params.block of them
-    def dealt(rows: DataFrame, n: str, block: str, other_n: str, other: str, side: str) -> DataFrame:
-        count, others = F.ceil(F.col(n) / params.block), F.ceil(F.col(other_n) / params.block)
+    sized = members.join(counts, ["band", "key"])
+
+    # members are dealt over blocks by their id; every block goes to each block of the other side
+    def dealt(rows: DataFrame, blocks: str, place: str, others: str, other: str, side: str) -> DataFrame:
         return (
-            rows.withColumn(block, F.pmod(F.xxhash64("doc_id"), count))
-            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
-            .groupBy("band", "key", block, other)
-            .agg(F.collect_list(F.struct("doc_id", "component", "odd", "bands")).alias(side))
+            rows.withColumn(place, F.pmod(F.xxhash64("doc_id"), blocks))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
+            .groupBy("band", "key", place, other)
+            .agg(F.collect_list(F.struct("doc_id", "component", "odd", "bands", "shingles")).alias(side))
         )
 
-    left = dealt(sized.filter(~F.col("major")), "n_minor", "i", "n", "j", "left")
-    right = dealt(sized, "n", "j", "n_minor", "i", "right")
+    left = dealt(sized.filter(~F.col("major")), "left_blocks", "i", "right_blocks", "j", "left")
+    right = dealt(sized, "right_blocks", "j", "left_blocks", "i", "right")
     blocks = left.join(right, ["band", "key", "i", "j"]).select("band", "left", "right")
     return blocks.mapInArrow(run, "a long, b long").distinct()
 
 
-def _unresolved(members: DataFrame, components: DataFrame, round_no: int) -> DataFrame:
-    """The buckets that span several components, with each member's component, whether it is of the
-    bucket's largest one, and a hub drawn from that one."""
-    labelled = members.select("band", "key", "doc_id").join(
-        components.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    parts = labelled.groupBy("band", "key", "component").agg(
-        F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "band", F.lit(round_no))).alias("hub")
-    )
-    top = parts.groupBy("band", "key").agg(
-        F.max(F.struct("n", "component", "hub")).alias("top"), F.count("*").alias("parts")
-    ).filter("parts > 1")
-    joined = labelled.join(top.select("band", "key", "top.hub", F.col("top.component").alias("major_component")), ["band", "key"])
-    return joined.select("band", "key", "doc_id", "component", "hub", (F.col("component") == F.col("major_component")).alias("major"))
-
-
-def _pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
 def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``): ``doc_id, n_shingles, component_id, kept``.
 
@@ -282,7 +277,7 @@ def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicate
     Candidates pass the odd sketch's estimate and then the comparison of their full sets. Large
     buckets are not paired off: all members are first compared with one hub, then with hubs drawn at
     random from the bucket's largest component, and what is left outside it meets every member of other
-    components, in blocks. So every pair that shares a band is either compared or already in one component.
+    components, in blocks that are compared whole. So every pair that shares a band is either compared or already in one component.
 
     A null or empty text, or one without words, is an empty set, linked with nothing. Repeated rows give equal
     results; if a doc_id comes with several texts, the one of the smallest fingerprint stands for it in
@@ -303,18 +298,18 @@ def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicate
     needed = members.select("doc_id").distinct()
     sets = shingle_sets(rows.join(needed, "doc_id", "left_semi"), params).filter("set_a is not null")
     sets = cut_lineage(sets.groupBy("doc_id").agg(F.min_by("shingles", "set_a").alias("shingles")))
-    star = members.filter("doc_id != hub").select(*_pair("doc_id", "hub"))
+    star = members.filter("doc_id != hub").select(*ordered_pair("doc_id", "hub"))
     links = cut_lineage(_linked(_promising(star, classes, params), sets, params))
     components = connected_components(links)
     for round_no in range(params.hub_rounds + 1):
-        members = cut_lineage(_unresolved(members, components, round_no))
+        members = cut_lineage(unresolved(members, components, round_no))
         if members.isEmpty():  # every bucket lies in one component
             break
         if round_no < params.hub_rounds:
-            pairs = _promising(members.filter("not major").select(*_pair("doc_id", "hub")), classes, params)
+            pairs = _promising(members.filter("not major").select(*ordered_pair("doc_id", "hub")), classes, params)
+            found = cut_lineage(_linked(pairs, sets, params))
         else:
-            pairs = _cross_pairs(members.join(classes.select("doc_id", "bands", "odd"), "doc_id"), params)
-        found = cut_lineage(_linked(pairs, sets, params))
+            found = cut_lineage(_cross_links(members.join(classes, "doc_id").join(sets, "doc_id"), params))
         if not found.isEmpty():
             links = links.unionByName(found)
             components = connected_components(links)

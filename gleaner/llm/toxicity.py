@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,18 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Letters that digits and signs are commonly written for.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-START, END = "^", "$$"
+START, END = "^", "$"  # borders of a word; counted words hold letters only
 
 
 @dataclass(frozen=True)
 class ToxicityParams:
     """``lm_entries`` bounds the language model, ``features`` the classifier's words and ``sample`` the
-    labelled documents it is fitted on (drawn by a hash of doc_id, not by place); counts cover all rows."""
+    labelled documents that words are chosen and weighted by (drawn by a hash of doc_id, not by place);
+    the character model counts all rows."""
 
     order: int = 4
     lm_entries: int = 200_000
@@ -33,8 +36,8 @@ class ToxicityParams:
     least_evidence: float = 8.0
     sample: int = 20_000
     beam: int = 12
-    held_entries: int = 200_000
-    l2: float = 1e-3
+    held_entries: int = 400_000
+    l2: float = 2e-5
     threshold: float = 0.7
 
 
@@ -55,7 +58,7 @@ class CharModel:
         self.counts, self.order, self.known = counts, order, {}
         self.context: Counter[str] = Counter()
         for gram, n in counts.items():
-            self.context[gram[:-1] if gram[-2:] != END else gram[:-2]] += n
+            self.context[gram[:-1]] += n
 
     def log_p(self, before: str, after: str) -> float:
         key = (before, after)
@@ -74,12 +77,11 @@ class CharModel:
         return self.known[key]
 
 
-def grams(word: str, order: int) -> Iterator[str]:
-    """The n-grams of a word between its borders, up to ``order`` symbols."""
-    padded = [START, *word, END]
-    for i in range(1, len(padded)):
-        for width in range(min(order, i + 1)):
-            yield "".join(padded[i - width : i + 1])
+def add_grams(held: Counter[str], word: str, n: int, order: int) -> None:
+    """Count every symbol of a word with the ``order - 1`` before it, ``n`` times."""
+    padded = START * (order - 1) + word + END
+    for end in range(order, len(padded) + 1):
+        held[padded[end - order : end]] += n
 
 
 def decode(noisy: str, model: CharModel, beam: int) -> str:
@@ -126,8 +128,10 @@ def decode(noisy: str, model: CharModel, beam: int) -> str:
 class Restorer:
     """Restores the words of a text; equal disguises are decoded once."""
 
-    def __init__(self, model: CharModel, beam: int):
-        self.model, self.beam, self.seen = model, beam, {}
+    def __init__(self, model: CharModel, beam: int, known: Mapping[str, object] | None = None):
+        self.model, self.beam, self.known = model, beam, known
+        self.seen: dict[str, str] = {}
+        self.made: dict[str, tuple[str, ...]] = {}
 
     def __call__(self, noisy: str) -> str:
         if noisy not in self.seen:
@@ -148,27 +152,36 @@ class Restorer:
         whole = SPACED.sub(lambda m: self(m.group()) + " ", lowered)
         return " ".join(filter(None, map(self.token, whole.split())))
 
-    def words(self, text: str) -> set[str]:
-        """The distinct words of the restored text, spaced-out words also as they stand."""
+    def features(self, token: str) -> tuple[str, ...]:
+        """The features of a token as it stands: its words, and their first four and five letters (``lik*``),
+        which inflected forms share; only those in ``known``, if it is given."""
+        if token not in self.made:
+            if len(self.made) > 500_000:
+                self.made.clear()
+            found: list[str] = []
+            for w in self.token(token).split():
+                found.append(w)
+                if len(w) > 4:
+                    found.append(w[:4] + "*")
+                if len(w) > 5:
+                    found.append(w[:5] + "*")
+            self.made[token] = tuple(found if self.known is None else filter(self.known.__contains__, found))
+        return self.made[token]
+
+    def all_features(self, text: str) -> set[str]:
+        """The distinct features of the restored text; spaced-out words count joined and as they stand."""
         lowered = text.lower()
-        found = set(map(self.token, set(lowered.split())))
+        found: set[str] = set()
+        for token in set(lowered.split()):
+            of_token = self.features(token)
+            if of_token:
+                found.update(of_token)
         for m in SPACED.finditer(lowered):
-            found.add(self(m.group()))
-        spread = [w for w in found if " " in w]
-        for w in spread:
-            found.remove(w)
-            found.update(w.split())
-        found.discard("")
+            for w in self(m.group()).split():
+                found.update(self.features(w))
         return found
 
 
-def features(words: Iterable[str]) -> set[str]:
-    """Restored words, and their first four and five letters (``lik*``), which inflected forms share."""
-    out = set(words)
-    out.update([w[:4] + "*" for w in out if len(w) > 4 and w[-1] != "*"] + [w[:5] + "*" for w in out if len(w) > 5 and w[-1] != "*"])
-    return out
-
-
 def _texts(batch: pa.RecordBatch, name: str) -> Iterator[str]:
     return (v.as_py() or "" for v in batch.column(name))
 
@@ -184,10 +197,9 @@ def char_model(docs: DataFrame, params: ToxicityParams) -> dict[str, int]:
         def flushed(words: Counter[str]) -> pa.RecordBatch:
             held: Counter[str] = Counter()
             for token, n in words.items():
-                bare = EDGE.sub("", token)
-                if bare and len(bare) <= 64 and plain(bare):
-                    for g in grams(bare, params.order):
-                        held[g] += n
+                bare = token if token.isalpha() else EDGE.sub("", token)
+                if plain(bare):
+                    add_grams(held, bare, n, params.order)
             return _counted(held)
 
         words: Counter[str] = Counter()
@@ -199,7 +211,10 @@ def char_model(docs: DataFrame, params: ToxicityParams) -> dict[str, int]:
                     words = Counter()
         yield flushed(words)
 
-    counts = docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    longest = docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    # the shorter grams end the longer ones
+    ends = F.explode(F.transform(F.sequence(F.lit(1), F.lit(params.order)), lambda w: F.right("gram", w)))
+    counts = longest.select(ends.alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.desc("n"), "gram").limit(params.lm_entries).collect()
     return {r["gram"]: r["n"] for r in rows}
 
@@ -217,14 +232,18 @@ class ToxicityModel:
     params: ToxicityParams
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, text, toxic`` of the labelled documents outside the held-out rows, equal texts once."""
-    truth = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
-    truth = truth.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null").join(truth, "doc_id")
-    return rows.groupBy(F.xxhash64("text").alias("key"), F.md5("text").alias("digest")).agg(
-        F.first("text").alias("text"), F.max("toxic").alias("toxic")
-    )
+def _labelled(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> DataFrame:
+    """``text, toxic`` of at most ``sample`` labelled documents outside the held-out rows, equal texts once.
+
+    The sample is drawn from the labels, so only its ids travel and no text is shuffled to find them.
+    """
+    truth = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    truth = truth.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    truth = truth.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    drawn = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    found = rows.join(F.broadcast(drawn), "doc_id")  # at most ``sample`` ids
+    return found.groupBy(F.md5("text").alias("digest")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).drop("digest")
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
@@ -232,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     context = docs.sparkSession.sparkContext
     counts = char_model(docs, params)
     shared = context.broadcast(counts)  # at most lm_entries entries
-    labelled = _labelled(docs, labels)
+    labelled = cut_lineage(_labelled(docs, labels, params))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(CharModel(shared.value, params.order), params.beam)
@@ -243,27 +262,25 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
                 [pa.array(list(held), pa.string()), *(pa.array(c, pa.int64()) for c in columns)], ["feature", "n", "n_toxic"]
             )
 
-        held: dict[str, list[int]] = {"": [0, 0]}
+        held: dict[str, list[int]] = {}
         for batch in batches:
             for text, toxic in zip(_texts(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
-                for f in features(restore.words(text)):
+                for f in restore.all_features(text):
                     both = held.setdefault(f, [0, 0])
                     both[0] += 1
                     both[1] += toxic
-                held[""][0] += 1
-                held[""][1] += toxic
                 if len(held) > params.held_entries:
                     yield flushed(held)
-                    held = {"": [0, 0]}
+                    held = {}
         yield flushed(held)
 
     table = (
-        labelled.select("text", "toxic").mapInArrow(evidence, "feature string, n long, n_toxic long")
+        labelled.mapInArrow(evidence, "feature string, n long, n_toxic long")
         .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
-        .filter("feature = '' or n_toxic > 1")
+        .filter("n_toxic > 1")
     )
-    all_rows = [r for r in table.filter("feature = ''").collect()]
-    total, toxic = (all_rows[0]["n"], all_rows[0]["n_toxic"]) if all_rows else (0, 0)
+    totals = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    total, toxic = totals["n"], totals["toxic"]
     prior = math.log((toxic + 0.5) / (total - toxic + 0.5))
     if not toxic or toxic == total:
         return ToxicityModel(counts, {}, prior, params)
@@ -275,19 +292,18 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
         + F.when(p < 1, (F.col("n") - F.col("n_toxic")) * F.log((1 - p) / (1 - share))).otherwise(0.0)
     )
     chosen = (
-        table.filter("feature != ''").withColumn("gain", gain).filter((p > share) & (F.col("gain") >= params.least_evidence))
+        table.withColumn("gain", gain).filter((p > share) & (F.col("gain") >= params.least_evidence))
         .orderBy(F.desc("gain"), "feature").limit(params.features).select("feature").collect()
     )
     names = {r["feature"]: i for i, r in enumerate(chosen)}
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(CharModel(shared.value, params.order), params.beam)
+        restore = Restorer(CharModel(shared.value, params.order), params.beam, names)
         for batch in batches:
-            found = [sorted(names[f] for f in features(restore.words(t)) if f in names) for t in _texts(batch, "text")]
+            found = [sorted(names[f] for f in restore.all_features(t)) for t in _texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")], ["at", "toxic"])
 
-    sample = labelled.orderBy("key", "digest").limit(params.sample).select("text", "toxic")
-    rows = sample.mapInArrow(sparse, "at array<int>, toxic int").collect()
+    rows = labelled.mapInArrow(sparse, "at array<int>, toxic int").collect()
     weights, bias = _logistic([r["at"] for r in rows], np.array([r["toxic"] for r in rows], float), len(names), prior, params)
     return ToxicityModel(counts, {f: float(weights[i]) for f, i in names.items()}, bias, params)
 
@@ -302,7 +318,7 @@ def _logistic(at: list[list[int]], y: np.ndarray, width: int, prior: float, para
     for step in range(1, 401):
         z = b + np.bincount(row, w[col], len(at))
         off = balance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-        g = np.append(np.bincount(col, off[row], width) / len(at) + params.l2 * w * 0.1, off.mean())
+        g = np.append(np.bincount(col, off[row], width) / len(at) + params.l2 * w, off.mean())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -316,12 +332,12 @@ def score(docs: DataFrame, model: ToxicityModel, out: str = "toxicity") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        restore = Restorer(CharModel(model.counts, model.params.order), model.params.beam)
+        restore = Restorer(CharModel(model.counts, model.params.order), model.params.beam, model.weights)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 z = [
-                    model.bias + math.fsum(model.weights.get(f, 0.0) for f in features(restore.words(t)))
+                    model.bias + math.fsum(model.weights[f] for f in restore.all_features(t))
                     for t in _texts(part, "text")
                 ]
                 values = pa.array(1 / (1 + np.exp(-np.clip(np.array(z, float), -40, 40))), pa.float64())

@@ -451,8 +451,7 @@ def test_secret_scan(spark, empty):
         line = f'{prose(rng, 5)} {"password=" if key else "see docs/"}{value} {prose(rng, 5)}'
         rows.append((i, line))
         if i % 3:
-            at = 5
-            labels.append((i, at, value if key else "docs/" + value, key))
+            labels.append((i, 5 if key else 6, value if key else "docs/" + value, key))
     rows += [(900, None), (901, ""), (None, f"token = {hexes(20)}"), (902, f'token = "{hexes(40)}" x'), (903, hexes(60000)), rows[0]]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
     judged = spark.createDataFrame([*labels, (1, 5, "x", None), labels[0]], "doc_id long, at int, candidate string, secret boolean")
