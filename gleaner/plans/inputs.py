@@ -80,7 +80,7 @@ def read_manifest(spark, sf):
     entries = table(spark, sf, "customer").selectExpr(
         "c_custkey div 50 as part",
         """array(named_struct('key', concat('https://a.com/', c_custkey), 'value', concat('"', c_custkey, '.json"')),
-                 struct(concat('https://b.com/', c_custkey),
+                 named_struct('key', concat('https://b.com/', c_custkey), 'value',
                         concat('{"file": "files/', c_custkey, '.pdf", "http_status": ', 200 + c_nationkey, '}'))) as pair""",
     )
     # one manifest file per fifty customers
