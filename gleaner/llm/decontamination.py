@@ -6,6 +6,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -152,36 +153,41 @@ def candidates(hashes: list[np.ndarray], found: Signatures, params: Contaminatio
     return out
 
 
-SCHEMA = "doc_id long, item_id long, shared long, item_shingles long"
-
-
-def _search(docs: DataFrame, items: list[tuple[int, str]], params: ContaminationParams) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(signatures(items, params))  # at most item_block items
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
-        for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                tokens, held, start = [], 0, at
-                while at < batch.num_rows and (held < WORD_CHUNK or start == at):
-                    tokens.append(words(batch.column(1)[at].as_py()))
-                    held += len(tokens[-1])
-                    at += 1
-                rows = []
-                for i, maybe in candidates([shingle_hashes(t, params.shingle) for t in tokens], found, params).items():
-                    runs = set(zip_runs(tokens[i], params.shingle))
-                    for item in sorted(maybe):
-                        wanted = found.shingles[item]
-                        common = len(wanted & runs)
-                        if 100 * common >= params.containment * len(wanted):
-                            rows.append((batch.column(0)[start + i].as_py(), found.ids[item], common, len(wanted)))
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "shared", "item_shingles"]
-                )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+def matches(texts: Iterator[str | None], found: Signatures, params: ContaminationParams) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    """By text, in order: its place and the items it holds, as ``(item, shared, size)``."""
+
+    def checked(first: int, tokens: list[list[bytes]]) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        maybe = candidates([shingle_hashes(t, params.shingle) for t in tokens], found, params)
+        for i, words_of in enumerate(tokens):
+            held = []
+            if i in maybe:
+                runs = set(zip_runs(words_of, params.shingle))
+                for item in sorted(maybe[i]):
+                    wanted = found.shingles[item]
+                    common = len(wanted & runs)
+                    if 100 * common >= params.containment * len(wanted):
+                        held.append((item, common, len(wanted)))
+            yield first + i, held
+
+    tokens: list[list[bytes]] = []
+    first = size = 0
+    for text in texts:
+        tokens.append(words(text))
+        size += len(tokens[-1])
+        if size >= WORD_CHUNK:  # windows of many short texts are made at once, a long text alone
+            yield from checked(first, tokens)
+            first, size, tokens = first + len(tokens), 0, []
+    yield from checked(first, tokens)
+
+
+def _blocks(benchmark: DataFrame, params: ContaminationParams) -> Iterator[list[tuple[int, str]]]:
+    """The different items, in blocks of about ``item_block`` dealt by hash; each is collected only to be sent out."""
+    wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    wanted = wanted.filter("item_id is not null and text is not null").dropDuplicates()
+    blocks = max(1, math.ceil(wanted.count() / params.item_block))
+    for b in range(blocks):
+        block = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield sorted((r["item_id"], r["text"]) for r in block.collect())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, params: ContaminationParams = ContaminationParams()) -> DataFrame:
@@ -198,21 +204,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, params: ContaminationPar
     match nothing, rows with a null id on either side are left out, equal items are each reported, repeated
     documents give repeated rows. Other columns are ignored; empty tables give an empty result.
     """
-    rows = docs.filter("doc_id is not null")
-    wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    wanted = wanted.filter("item_id is not null and text is not null").dropDuplicates()
-    count = wanted.count()
-    blocks = max(1, math.ceil(count / params.item_block))
-    out = None
-    for b in range(blocks):
-        # a block is collected only to be sent out again; its size is bounded by the hash's evenness around item_block
-        block = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        found = _search(rows, sorted((r["item_id"], r["text"]) for r in block.collect()), params)
-        out = found if out is None else out.unionByName(found)
-    return out
+    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def search(items: list[tuple[int, str]]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(signatures(items, params))  # about item_block items
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = shared.value
+            for batch in batches:
+                ids = batch.column("doc_id")
+                out = [
+                    (ids[at].as_py(), found.ids[item], common, size)
+                    for at, held in matches((t.as_py() for t in batch.column("text")), found, params)
+                    for item, common, size in held
+                ]
+                columns = list(zip(*out, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "shared", "item_shingles"]
+                )
+
+        return rows.mapInArrow(run, "doc_id long, item_id long, shared long, item_shingles long")
+
+    return reduce(DataFrame.unionByName, [search(items) for items in _blocks(benchmark, params)])
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, params: ContaminationParams = ContaminationParams()) -> DataFrame:
-    """The documents, all columns, that hold no benchmark item; rows with a null doc_id stay."""
-    bad = contaminated(docs, benchmark, params).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__bad"), "left_anti")
+    """The documents, all columns, that hold no benchmark item; see ``contaminated``. Each text is judged in
+    the task that reads it, so nothing is shuffled; rows with a null doc_id are judged like others."""
+
+    def without(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(signatures(items, params))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = dict(matches((t.as_py() for t in batch.column("text")), shared.value, params))
+                yield batch.filter(pa.array([not held[at] for at in range(batch.num_rows)], pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return reduce(without, _blocks(benchmark, params), docs)

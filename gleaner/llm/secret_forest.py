@@ -36,8 +36,8 @@ FEATURES = (
 
 
 def _candidate(params: SecretParams) -> str:
-    """A long enough run that holds a digit and a letter."""
-    return rf"(?=[A-Za-z+/_\-]*[0-9])(?=[0-9+/_\-]*[A-Za-z]){RUN}{{{params.min_length},}}"
+    """A long enough run that holds a digit and a letter; only the start of a run is tried."""
+    return rf"(?<!{RUN})(?=[A-Za-z+/_\-]*[0-9])(?=[0-9+/_\-]*[A-Za-z]){RUN}{{{params.min_length},}}"
 
 
 def findings(docs: DataFrame, params: SecretParams = SecretParams()) -> DataFrame:
