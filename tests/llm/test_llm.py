@@ -327,7 +327,7 @@ def test_fuzzy_lines(spark, empty):
         for n, line in enumerate(t.split("\n")):
             if norm(line):
                 first.setdefault(norm(line), (d, n))
-    hashes = {r["first"]: r["simhash"] for r in fuzzy_lines.simhashes(fuzzy_lines.lines_of(docs)).select(F.struct("first_doc", "first_line").alias("first"), "simhash").collect()}
+    hashes = {r["first"]: r["simhash"] for r in fuzzy_lines.simhashes(fuzzy_lines.different_lines(fuzzy_lines.lines_of(docs))).select(F.struct("first_doc", "first_line").alias("first"), "simhash").collect()}
     names = list(first)
     edges = []
     for i, a in enumerate(names):
