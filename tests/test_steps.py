@@ -101,7 +101,7 @@ CASES = [
     (plots.where_child("kind", "/^gl/").key("plot"), [p["plot"] for p in PLOTS if p["kind"].startswith("gl")]),
     (sown.where_child("*", "B").key("crop"), [s["crop"] for s in SOWN if "B" in (s["crop"], s["grade"], str(s["kg"]))]),
     (Path().recurse("crop").where_value(CROP).up(1).key("kg"), [s["kg"] for s in SOWN if s["crop"] == CROP]),
-    (Path().recurse("crop").where_value(CROP).up(2).key("plot"), [p["plot"] for p in PLOTS for s in p["sown"] if s["crop"] == CROP]),
+    (Path().recurse("crop").where_value(CROP).up(3).key("plot"), [p["plot"] for p in PLOTS for s in p["sown"] if s["crop"] == CROP]),
     (Path().recurse("*").where_child("name", "Ilka").recurse("mail_box"), [KEEPER["mail_box"]]),
 ]
 DEEP = 150  # levels, more than a recursive search follows
