@@ -38,20 +38,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return labels
 
 
+HUBS = 4
+
+
 def unresolved(members: DataFrame, components: DataFrame, round_no: int) -> DataFrame:
     """The buckets (``band, key``) that span several components, with each member's ``component``, whether it
-    is of the bucket's largest one (``major``), and a ``hub`` drawn from that one by hash."""
+    is of the bucket's largest one (``major``), and ``hubs`` drawn from that one by hash."""
     labelled = members.select("band", "key", "doc_id").join(
         components.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left"
     ).withColumn("component", F.coalesce("component", "doc_id"))
     parts = labelled.groupBy("band", "key", "component").agg(
-        F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "band", F.lit(round_no))).alias("hub")
+        F.count("*").alias("n"),
+        F.array(*[F.min_by("doc_id", F.xxhash64("doc_id", "band", F.lit(round_no * HUBS + i))) for i in range(HUBS)]).alias("hubs"),
     )
     top = parts.groupBy("band", "key").agg(
-        F.max(F.struct("n", "component", "hub")).alias("top"), F.count("*").alias("parts")
+        F.max(F.struct("n", "component", "hubs")).alias("top"), F.count("*").alias("parts")
     ).filter("parts > 1")
-    joined = labelled.join(top.select("band", "key", "top.hub", F.col("top.component").alias("major_component")), ["band", "key"])
-    return joined.select("band", "key", "doc_id", "component", "hub", (F.col("component") == F.col("major_component")).alias("major"))
+    joined = labelled.join(top.select("band", "key", F.array_distinct("top.hubs").alias("hubs"), F.col("top.component").alias("major_component")), ["band", "key"])
+    return joined.select("band", "key", "doc_id", "component", "hubs", (F.col("component") == F.col("major_component")).alias("major"))
 
 
 def ordered_pair(x: str, y: str) -> list[Column]:

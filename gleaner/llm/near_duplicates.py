@@ -31,8 +31,8 @@ class NearDuplicateParams:
     rows: int = 5
     sketch_bits: int = 512
     slack: float = 0.20
-    hub_rounds: int = 3
-    block: int = 256
+    hub_rounds: int = 1
+    block: int = 1024
     block_shingles: int = 1 << 21
     seed: int = 7
 
@@ -200,11 +200,11 @@ def _promising(pairs: DataFrame, classes: DataFrame, params: NearDuplicateParams
     return sized.filter(_different_bits("odd_a", "odd_b", params) <= most_different_bits(params)).select("a", "b")
 
 
-def _cross_links(members: DataFrame, params: NearDuplicateParams) -> DataFrame:
+def _cross_links(members: DataFrame, payload: DataFrame, params: NearDuplicateParams) -> DataFrame:
     """The links ``a, b`` between members of a bucket that lie in different components.
 
-    ``members`` (band, key, doc_id, component, major, n_shingles, bands, odd, shingles) holds the buckets that span
-    several components. Those outside a bucket's largest component meet all of its members. Both sides
+    ``members`` (band, key, doc_id, component, major) holds the buckets that span several components, ``payload``
+    the sketches and sets by doc_id. Those outside a bucket's largest component meet all of its members. Both sides
     travel in blocks of bounded count and size, and a task compares one pair of blocks: sketches first, then the
     full sets of what is left, each pair in its first shared band only. A row leaves a task for every
     document and component that link, so that the result grows with the links found, not with the pairs.
@@ -241,29 +241,32 @@ def _cross_links(members: DataFrame, params: NearDuplicateParams) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([min(f) for f in found]), pa.array([max(f) for f in found])], ["a", "b"])
 
-    size = F.sum("n_shingles")
-    counts = members.groupBy("band", "key").agg(
-        F.greatest(F.ceil(F.count("*") / params.block), F.ceil(size / params.block_shingles)).alias("right_blocks"),
-        F.greatest(
-            F.ceil(F.count_if(~F.col("major")) / params.block),
-            F.ceil(F.sum(F.when(~F.col("major"), F.col("n_shingles"))) / params.block_shingles),
-        ).alias("left_blocks"),
+    # blocks are dealt on narrow rows; sketches and sets join them last and travel once
+    narrow = members.select("band", "key", "doc_id", "component", "major").join(payload.select("doc_id", "n_shingles"), "doc_id")
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / params.block), F.ceil(shingles / params.block_shingles))
+
+    counts = narrow.groupBy("band", "key").agg(
+        blocks(F.count("*"), F.sum("n_shingles")).alias("right_blocks"),
+        blocks(F.count_if(~F.col("major")), F.sum(F.when(~F.col("major"), F.col("n_shingles")))).alias("left_blocks"),
     )
-    sized = members.join(counts, ["band", "key"])
+    sized = cut_lineage(narrow.drop("n_shingles").join(counts, ["band", "key"]))
 
     # members are dealt over blocks by their id; every block goes to each block of the other side
-    def dealt(rows: DataFrame, blocks: str, place: str, others: str, other: str, side: str) -> DataFrame:
-        return (
-            rows.withColumn(place, F.pmod(F.xxhash64("doc_id"), blocks))
-            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
-            .groupBy("band", "key", place, other)
-            .agg(F.collect_list(F.struct("doc_id", "component", "odd", "bands", "shingles")).alias(side))
-        )
+    def dealt(rows: DataFrame, own: str, place: str, others: str, other: str, left: bool) -> DataFrame:
+        return rows.withColumn(place, F.pmod(F.xxhash64("doc_id"), own)).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1))
+        ).select("band", "key", "i", "j", "doc_id", "component", F.lit(left).alias("is_left"))
 
-    left = dealt(sized.filter(~F.col("major")), "left_blocks", "i", "right_blocks", "j", "left")
-    right = dealt(sized, "right_blocks", "j", "left_blocks", "i", "right")
-    blocks = left.join(right, ["band", "key", "i", "j"]).select("band", "left", "right")
-    return blocks.mapInArrow(run, "a long, b long").distinct()
+    sides = dealt(sized.filter(~F.col("major")), "left_blocks", "i", "right_blocks", "j", True).unionByName(
+        dealt(sized, "right_blocks", "j", "left_blocks", "i", False)
+    )
+    row = F.struct("doc_id", "component", "odd", "bands", "shingles")
+    met = sides.join(payload, "doc_id").groupBy("band", "key", "i", "j").agg(
+        F.collect_list(F.when(F.col("is_left"), row)).alias("left"), F.collect_list(F.when(~F.col("is_left"), row)).alias("right")
+    )
+    return met.select("band", "left", "right").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
@@ -306,10 +309,10 @@ def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicate
         if members.isEmpty():  # every bucket lies in one component
             break
         if round_no < params.hub_rounds:
-            pairs = _promising(members.filter("not major").select(*ordered_pair("doc_id", "hub")), classes, params)
+            pairs = _promising(members.filter("not major").select("doc_id", F.explode("hubs").alias("hub")).select(*ordered_pair("doc_id", "hub")), classes, params)
             found = cut_lineage(_linked(pairs, sets, params))
         else:
-            found = cut_lineage(_cross_links(members.join(classes, "doc_id").join(sets, "doc_id"), params))
+            found = cut_lineage(_cross_links(members, classes.join(sets, "doc_id"), params))
         if not found.isEmpty():
             links = links.unionByName(found)
             components = connected_components(links)
