@@ -53,11 +53,11 @@ class Router:
 def nearest(queries: np.ndarray, points: np.ndarray, k: int, skip_own: bool = False) -> np.ndarray:
     """Places of the ``k`` largest inner products, block by block."""
     out = []
-    for at in range(0, len(queries), 1024):
-        s = queries[at : at + 1024] @ points.T
+    for at in range(0, len(queries), 128):  # a block's products are a few megabytes
+        s = queries[at : at + 128] @ points.T
         if skip_own:
             s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
-        out.append(np.argpartition(-s, k - 1, axis=1)[:, :k])
+        out.append(np.argpartition(np.negative(s, out=s), k - 1, axis=1)[:, :k].copy())
     return np.concatenate(out)
 
 
