@@ -349,6 +349,40 @@ def test_fuzzy_lines(spark, empty):
     assert fuzzy_lines.dedup_lines(empty).collect() == []
 
 
+def test_fuzzy_lines_of_every_length(spark):
+    """Against brute-force edit similarity alone: lines at every length with one letter changed or near the limit."""
+    rng = random.Random(12)
+    bands = [(12, 19), (20, 29), (30, 59), (60, 119), (120, 199), (200, 300)]
+    lines = []
+    for low, high in bands:
+        for _ in range(10):
+            line = prose(rng, 60)[: rng.randint(low, high)].strip()
+            line = line.replace(line[0], rng.choice("bcdfgkmp"), 1) + rng.choice("xyz")
+            lines.append((low, line))
+            for edits in (1, max(1, len(line) // 10)):
+                copy = list(line)
+                for at in rng.sample(range(len(copy)), edits):
+                    copy[at] = rng.choice("bcdfghjk")
+                lines.append((low, "".join(copy)))
+    lines = [(low, " ".join(line.split())) for low, line in lines]
+    docs = spark.createDataFrame([(i, line) for i, (_, line) in enumerate(lines)], "doc_id long, text string")
+    rows = fuzzy_lines.lines_of(docs)
+    kept = {r["doc_id"]: r["keep_doc"] for r in rows.join(fuzzy_lines.line_groups(rows), "id").collect()}
+    assert len(kept) == len(lines)
+    true, found, edges = defaultdict(int), defaultdict(int), []
+    for i, (low, a) in enumerate(lines):
+        for j in range(i + 1, len(lines)):
+            b = lines[j][1]
+            longer = max(len(a), len(b))
+            if min(len(a), len(b)) >= 0.9 * longer and distance(a, b) <= math.floor(0.1 * longer + 1e-9):
+                edges.append((i, j))
+                true[low] += 1
+                found[low] += kept[i] == kept[j]
+    group = components(range(len(lines)), edges)
+    assert all(group[kept[i]] == group[i] for i in kept)  # nothing joined that brute force does not join
+    assert len(true) == len(bands) and all(found[low] >= 0.9 * true[low] for low in true), (true, found)
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "user", "First question.\nSecond line."),
