@@ -203,10 +203,10 @@ def search(vectors: DataFrame, queries: DataFrame, params: NeighbourParams = Nei
     all vectors becomes more tasks, not a longer one; each pair of blocks gives the best ``k`` of each
     query, and these are merged. Vectors that are null, zero, of another length or not finite take no
     part, nor do null ids; a query's own id is no candidate; rows repeating an id and a vector
-    count once. Empty tables give an empty result. Other columns are ignored.
+    count once, in the sample too, and an id with several vectors takes one place, by the best of them. Empty tables give an empty result. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    points = usable(vectors)
+    points = usable(vectors).dropDuplicates(["vec_id", "embedding"])  # copies would fill the sample and the best places
     drawn = points.orderBy(F.xxhash64("vec_id", F.lit(params.seed)), "vec_id").limit(params.sample + params.probe_sample).collect()
     sample = np.array([r["embedding"] for r in drawn], np.float64)
     result = "query_id long, vec_id long, score double"
@@ -251,20 +251,24 @@ def search(vectors: DataFrame, queries: DataFrame, params: NeighbourParams = Nei
         columns = ["query_id", "vec_id", "score"]
         if block.empty or asked.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        block = block.sort_values("vec_id", kind="stable")
         ids = block["vec_id"].to_numpy()
         x, q = np.stack(block["embedding"].to_numpy()), np.stack(asked["embedding"].to_numpy())
+        firsts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))  # an id with several vectors counts by its best one
         out = []
         for at in range(0, len(q), 256):
             rough = q[at : at + 256] @ x.T
             for i, query_id in enumerate(asked["query_id"].to_numpy()[at : at + 256]):
                 s = rough[i]
                 s[ids == query_id] = -np.inf
-                k = min(params.k, len(s))
-                least = np.partition(s, len(s) - k)[len(s) - k]
+                top = np.maximum.reduceat(s, firsts) if len(firsts) < len(s) else s
+                k = min(params.k, len(top))
+                least = np.partition(top, len(top) - k)[len(top) - k]
                 # products are summed alike for equal vectors, so that their ties are exact
                 near = np.flatnonzero((s >= least - 1e-9 * max(1.0, abs(least))) & (s > -np.inf))
                 exact = (x[near] * q[at + i]).sum(1)
-                order = np.lexsort((ids[near], -exact))[:k]
+                order = np.lexsort((ids[near], -exact))
+                order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])][:k]
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near][order], "score": exact[order]}, columns=columns))
         return pd.concat(out)
 

@@ -286,6 +286,23 @@ def test_neighbours(spark):
     assert sorted(r["vec_id"] for r in few) == [1, 2, 3, 4]
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((300, 8))
+    data = [(i, [float(v) for v in x[i]]) for i in range(300)]
+    best = int(np.argmax(x @ x[0]))
+    others = [(500, [float(v) for v in x[0] * (2 + j / 100)]) for j in range(40)]  # one id with many near vectors
+    vectors = spark.createDataFrame(data * 3 + [data[best]] * 30 + others, "vec_id long, embedding array<double>")
+    params = neighbours.NeighbourParams(partitions=1, sample=200, probe_sample=20)
+    got = defaultdict(list)
+    for r in neighbours.search(vectors, vectors.filter("vec_id % 20 = 0 and vec_id < 300"), params).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    assert sorted(got) == list(range(0, 300, 20))
+    for q, found in got.items():
+        scores = {i: float(x[i] @ x[q]) for i in range(300) if i != q} | {500: max(float(np.dot(v, x[q])) for _, v in others)}
+        assert found == list(enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:20], 1))
+
+
 def test_balanced_parts():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1200, 8))
