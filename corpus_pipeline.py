@@ -5,13 +5,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleaner.llm.decontamination import clean_documents
 from gleaner.llm.mixing import mix
 from gleaner.llm.near_duplicates import near_duplicates
 from gleaner.llm.sharding import shard
 from gleaner.llm.toxicity import judge
-from gleaner.session import ensure_checkpoint_dir
+from gleaner.operators.ordered import numbered
+from gleaner.session import cut_lineage, ensure_checkpoint_dir
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,10 +22,29 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return judged.filter("not rejected").select(docs.columns)
 
 
+def with_text_ids(docs: DataFrame) -> DataFrame:
+    """The rows with a doc_id and ``__text_id``: the doc_id, but an id of its own, after all doc_ids, for each text that
+    shares its doc_id with other texts and is not the first of them by MD5."""
+    md5 = F.coalesce(F.md5("text"), F.lit(""))
+    rows = docs.filter("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("long"), "__md5": md5})
+    texts = rows.select("__id", "__md5").distinct()
+    firsts = texts.groupBy("__id").agg(F.min("__md5").alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
+    others = cut_lineage(texts.join(firsts, "__id").filter("__md5 != __first").select("__id", "__md5"))
+    if others.isEmpty():
+        return rows.withColumn("__text_id", F.col("__id"))
+    most = texts.agg(F.max("__id")).first()[0]
+    others = numbered(others, ["__id", "__md5"], "__text_id", first=most + 1)
+    return rows.join(others, ["__id", "__md5"], "left").withColumn("__text_id", F.coalesce("__text_id", "__id"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id. Rows without an id stay."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group stays: the one with the smallest doc_id. Rows that repeat a doc_id and text count
+    once; of the texts that share a doc_id, those after the first by MD5 are documents of their own, which come after all
+    others. Rows without an id stay."""
+    rows = with_text_ids(docs)
+    judged = near_duplicates(rows.select(F.col("__text_id").alias("doc_id"), "text"))
+    kept = judged.filter("kept").select(F.col("doc_id").alias("__text_id")).distinct()
+    known = rows.join(kept, "__text_id", "left_semi").dropDuplicates(["__text_id"])
     return known.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 

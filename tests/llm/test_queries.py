@@ -89,3 +89,54 @@ def test_pipeline(spark):
         assert name == "sharding" or out.columns == docs.columns
         ids, rest = after, out
     assert corpus_pipeline.run(spark, SF_DIR).count() == len(ids)
+
+
+def test_near_duplicate_stage(spark):
+    """The stage against sets of shingles, with doc_ids that come with several texts."""
+    import random
+
+    rng = random.Random(4)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def sets(text):
+        words = (text or "").split()
+        return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+
+    rows = []
+    for i in range(30):
+        base = prose(200)
+        scattered, longer = list(base), base + prose(rng.randint(20, 46))
+        for at in (20, 70, 120, 160, 180)[: rng.randint(2, 5)]:
+            scattered[at] = "changed"
+        rows += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(scattered)), (10 * i + 2, " ".join(longer))]
+    first, copied, alone = rows[0][1], " ".join(prose(50)), " ".join(prose(50))
+    rows += [(400, copied), (900, first), (900, alone), (900, alone), (901, copied), (901, " ".join(prose(50))), (902, None), (902, alone + " x y z"), (903, ""), (None, first)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF_DIR).collect())
+
+    texts = sorted({r for r in rows if r[0] is not None}, key=str)
+    group = {r: r for r in texts}
+
+    def find(r):
+        while group[r] != r:
+            r = group[r]
+        return r
+
+    for i, a in enumerate(texts):
+        for b in texts[i + 1 :]:
+            x, y = sets(a[1]), sets(b[1])
+            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+                group[find(a)] = find(b)
+    members = {}
+    for r in texts:
+        members.setdefault(find(r), []).append(r)
+    rest = {r for r in got if r[0] is not None}
+    assert got[None, first] == 1 and set(got.values()) == {1}
+    for same in members.values():  # one of each group: of the smallest doc_id, if that has but one text
+        kept = [r for r in same if r in rest]
+        assert len(kept) == 1
+        if sum(r[0] == min(same, key=lambda s: s[0])[0] for r in texts) == 1:
+            assert kept == [min(same, key=lambda r: r[0])]
+    assert len(rest) == len(members)
