@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contaminated
+from .embedding_duplicates import embedding_duplicates
 from .fuzzy_lines import dedup_lines
+from .hard_negatives import hard_negatives
 from .mixing import mix
 from .near_duplicates import near_duplicates
 from .neighbours import search
@@ -17,6 +19,7 @@ from .secret_forest import findings, scan
 from .sharding import shard
 from .toxicity import held_out, judge
 from .url_models import judge_urls
+from .vectors import finite
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,3 +187,47 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = scan(docs, judged_findings(docs))
     return scanned.select("doc_id", "at", F.md5("candidate").alias("candidate_md5"), "key", "before", "score", "is_secret", held_out(F.col("doc_id")).alias("held_out"))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+""",
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings").filter(finite("embedding"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    vectors = given.select("vec_id", moved.alias("label"), whole.alias("values"))
+    return hard_negatives(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query(
+    "op12_embedding_duplicates",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id, vec_id AS m FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.m = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(m) AS component_id, vec_id = min(m) AS kept
+FROM r GROUP BY vec_id
+""",
+)
+def op12_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"))
