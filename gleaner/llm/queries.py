@@ -14,6 +14,7 @@ from .hard_negatives import hard_negatives
 from .mixing import mix
 from .near_duplicates import near_duplicates
 from .neighbours import search
+from .prefix_trie import conversation_trie
 from .quotations import quote, reply_conversations
 from .secret_forest import findings, scan
 from .sharding import shard
@@ -231,3 +232,34 @@ FROM r GROUP BY vec_id
 )
 def op12_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_prefix_trie",
+    r"""
+WITH o AS (
+  SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list(x ORDER BY i) AS xs FROM o GROUP BY 1),
+h AS (SELECT conv_id, xs, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(conv_id::VARCHAR) + 1),
+          lambda k: ascii(substr(conv_id::VARCHAR, k, 1))::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END))) % 4 AS h FROM l),
+r AS (SELECT a.conv_id, list_concat(coalesce(b.xs, [])[1:a.h], a.xs[a.h + 1:]) AS xs
+      FROM h a LEFT JOIN l b ON b.conv_id = a.conv_id - a.conv_id % 20),
+e AS (SELECT conv_id, len(xs) AS n, unnest(range(0, len(xs) + 1)) AS depth, xs FROM r),
+p AS (SELECT depth, xs[1:depth] AS k, conv_id, n FROM e),
+g AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+        CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(k[depth].t, '[^\x20\x09-\x0D]+')) END AS w FROM p GROUP BY 1, 2),
+c AS (SELECT g.*, (SELECT count(*) FROM g y WHERE y.depth = g.depth + 1 AND y.k[1:g.depth] = g.k) AS n_children FROM g)
+SELECT a.conv_id, a.depth, u.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+       count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum((b.n_convs - 1) * b.w) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM c a LEFT JOIN c u ON u.depth = a.depth - 1 AND a.k[1:a.depth - 1] = u.k
+JOIN c b ON b.depth >= a.depth AND b.k[1:a.depth] = a.k
+GROUP BY a.conv_id, a.depth, u.conv_id, a.n_convs, a.n_children, a.ends_sha256, a.k
+""",
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))

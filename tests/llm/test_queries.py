@@ -24,7 +24,7 @@ def test_against_oracle(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_toxicity_held_out(spark):
