@@ -77,8 +77,8 @@ def wanted_duplicates(rows, cosine):
     able = {i: x for i, x in rows if x and all(c is not None and math.isfinite(c) for c in x) and any(x)}
 
     def cos(x, y):
-        dot = math.fsum(a * b for a, b in zip(x, y, strict=True))
-        return dot / math.sqrt(math.fsum(a * a for a in x)) / math.sqrt(math.fsum(b * b for b in y))
+        m, n = math.hypot(*x), math.hypot(*y)
+        return math.fsum(a / m * (b / n) for a, b in zip(x, y, strict=True))
 
     links = {i: {j for j, y in able.items() if j != i and len(x) == len(y) and cos(x, y) >= cosine} for i, x in able.items()}
     out = {}
