@@ -178,8 +178,9 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:
 
     # every class's prefixes, with how many conversations begin with them
     of_class = prefixes.join(classes.select("conv_id", "length", "n", "total", "ends_sha256"), "conv_id")
-    members = prefixes.groupBy("depth", *_NAME).agg(F.count("*").alias("members"))
-    met = cut_lineage(of_class.join(members, ["depth", *_NAME]))
+    # read from a checkpoint, so that the adaptive planner can split the rows of a very common first turn
+    members = cut_lineage(prefixes.groupBy("depth", *_NAME).agg(F.count("*").alias("members")).filter("members > 1"))
+    met = cut_lineage(of_class.join(members, ["depth", *_NAME], "left").withColumn("members", F.coalesce("members", F.lit(1))))
     shared = met.filter("members > n").groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("depth", *_NAME, "words"))).alias("chain")  # down to the deepest shared node
     )
