@@ -257,23 +257,22 @@ def embedding_duplicates(vectors: DataFrame, params: MultiIndexParams = MultiInd
             visitor = np.repeat(np.arange(len(asked)), np.diff(visited.offsets.to_numpy()))
             goal = visited.flatten().to_numpy()
             by_cell, by_goal = np.argsort(cells, kind="stable"), np.argsort(goal, kind="stable")
-            pairs: list[tuple[np.ndarray, np.ndarray]] = []
+            names, place = np.unique(np.concatenate([own_ids, ids]), return_inverse=True)
+            at_own, at_here = place[: len(own_ids)], place[len(own_ids) :]
+            weight, own_weight = numbers(block, "n"), numbers(asked, "n")
+            first, linked = np.arange(len(names)), np.zeros(len(names))
             for cell in np.intersect1d(cells, goal):
                 here = by_cell[slice(*np.searchsorted(cells[by_cell], [cell, cell + 1]))]
                 guests = visitor[by_goal[slice(*np.searchsorted(goal[by_goal], [cell, cell + 1]))]]
-                for i, j in near(q[guests], x[here], params.cosine):
+                for i, j in near(q[guests], x[here], params.cosine):  # pairs of one block at a time become counts and roots
                     a, b = guests[i], here[j]
                     once = (own_cells[a] != cell) | (own_ids[a] < ids[b])  # within a cell, each pair from its smaller id
-                    pairs.append((a[once], b[once]))
-            if pairs:
-                a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
-                names, places = np.unique(np.concatenate([own_ids[a], ids[b]]), return_inverse=True)
-                weights = np.concatenate([numbers(block, "n")[b], numbers(asked, "n")[a]])
-                if len(names):
-                    first = names[roots(places[: len(a)], places[len(a) :], len(names))]
-                    linked = np.zeros(len(names), np.int64)
-                    np.add.at(linked, places, weights)
-                    out = [names, first, linked]
+                    a, b = a[once], b[once]
+                    if len(a):
+                        linked += np.bincount(at_own[a], weight[b], len(names)) + np.bincount(at_here[b], own_weight[a], len(names))
+                        first = roots(first[at_own[a]], first[at_here[b]], len(names))[first]
+            has = linked > 0
+            out = [names[has], names[first[has]], linked[has].astype(np.int64)]
         return pa.table(out or [np.empty(0, np.int64)] * 3, ["id", "root", "linked"])
 
     by = [*keys, "i", "j"]
