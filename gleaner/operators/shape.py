@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_lossy, split_lines
 from .rows import explode_rows
 from .shred import shred
-from .steps import Path, resolve, shred_for, value_json, value_text
+from .steps import Path, value_json, value_text
+from .variant_paths import parsed, resolve_json
 
 # Keys whose list is the main list of a document however many scalars surround it.
 MAIN_LIST_KEYS = ("results", "products", "organic_results", "items")
@@ -365,10 +366,9 @@ def result_envelope(responses: DataFrame) -> DataFrame:
 
 
 def _resolved_fields(responses: DataFrame, fields: Mapping[str, Path]) -> tuple[DataFrame, list[str]]:
-    source = responses.filter(~F.col("skipped")).withColumn("__payload", F.col("body"))
-    df, parts = shred_for(source, "__payload", *fields.values(), format="json"), []
+    df, parts = parsed(responses.filter(~F.col("skipped")), "body"), []
     for i, expression in enumerate(fields.values()):
-        df = resolve(df, expression, f"__f{i}")
+        df = resolve_json(df, expression, f"__f{i}")
         parts.append(f"__f{i}")
     return df, parts
 
@@ -384,7 +384,7 @@ def envelope_promote_fields(responses: DataFrame, fields: Mapping[str, Path]) ->
     promoted = [_member(name, value_json(part)) for name, part in zip(fields, parts)]
     plain = _line([*_head_members(), _member("body", body_as_json(F.col("body"))), *_tail_members()])
     lined = _line([*_head_members(), *promoted, *_tail_members()])
-    usable = F.col("tree.format").isNotNull() | _is_blank_body()
+    usable = F.col("__v").isNotNull() | _is_blank_body()
     return df.select("index", F.when(usable, lined).otherwise(plain).alias("line"))
 
 
@@ -399,7 +399,7 @@ def results_table(responses: DataFrame, fields: Mapping[str, Path] | None = None
     if not fields:
         return responses.filter(~F.col("skipped")).select(*head, text.alias("body"), error)
     df, parts = _resolved_fields(responses, fields)
-    usable = F.col("tree.format").isNotNull() | _is_blank_body()
+    usable = F.col("__v").isNotNull() | _is_blank_body()
     cells = [
         F.when(usable, F.coalesce(value_text(part), F.lit("")))
         .otherwise(text if i == 0 else F.lit(""))

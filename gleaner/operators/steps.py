@@ -240,10 +240,11 @@ class Path:
     steps: tuple[StepFn, ...] = ()
     ops: tuple[tuple[str, Any], ...] = ()  # (step, argument), tells what the path can reach
     plain: tuple[str | int, ...] | None = ()  # keys and indexes only, for the variant reader
+    calls: tuple[tuple[str, tuple], ...] = ()  # (method, arguments), what other evaluators compile
 
-    def _then(self, step: StepFn, op: str, arg: Any = None, plain: str | int | None = None) -> Path:
+    def _then(self, step: StepFn, op: str, arg: Any = None, plain: str | int | None = None, call: tuple | None = None) -> Path:
         kept = None if plain is None or self.plain is None else self.plain + (plain,)
-        return Path(self.steps + (step,), self.ops + ((op, arg),), kept)
+        return Path(self.steps + (step,), self.ops + ((op, arg),), kept, self.calls + (call or (op, (arg,)),))
 
     # -- navigation: maps over lists -------------------------------------------------
 
@@ -260,7 +261,7 @@ class Path:
 
         return self._then(step, "key", name, plain=name)
 
-    def _each_dict(self, to_el: Callable[[Tree, Sql], Sql]) -> Path:
+    def _each_dict(self, to_el: Callable[[Tree, Sql], Sql], call: str) -> Path:
         def step(tree: Tree, group: Sql) -> Sql:
             mapped = f"({group}.mapped or {group}.form = {LIST})"
             dicts = _only(tree.items(group), lambda i: f"{tree.kind(i)} = 'dict'")
@@ -268,15 +269,15 @@ class Path:
             of_sub_dict = _group(mapped, LIST, _map(f"{group}.els", lambda e: to_el(tree, f"{e}.id")))
             return f"if({group}.form = {DICT}, array({of_sub_dict}), {per_item})"
 
-        return self._then(step, "all")
+        return self._then(step, "all", call=(call, ()))
 
     def keys(self) -> Path:
         """The keys of a dict as a list."""
-        return self._each_dict(lambda tree, k: _text_el(f"{tree.node(k)}.key"))
+        return self._each_dict(lambda tree, k: _text_el(f"{tree.node(k)}.key"), "keys")
 
     def values(self) -> Path:
         """The values of a dict as a list."""
-        return self._each_dict(lambda tree, k: _el(k))
+        return self._each_dict(lambda tree, k: _el(k), "values")
 
     def _recurse(self, name: str, up: int) -> Path:
         test = f"rlike({{}}, {_text(glob_to_regex(name))})" if "*" in name else f"{{}} = {_text(name)}"
@@ -310,7 +311,7 @@ class Path:
                 lambda found: _keep_if(f"size({found}) > 0", _group(f"{group}.mapped", LIST, _map(found, _el))),
             )
 
-        return self._then(step, "up" if up else "recurse", name)
+        return self._then(step, "up" if up else "recurse", name, call=("recurse", (name, up)))
 
     def recurse(self, name: str) -> Path:
         """Every value under that key (a glob if it has a ``*``) at any depth, in document
@@ -331,7 +332,7 @@ class Path:
             chosen = lambda el: _keep_if(f"{el} is not null", _group(f"{group}.mapped", ONE, f"array({el})"))
             return _let(tree.members(group), lambda els: _let(f"get({els}, {where(els)})", chosen))
 
-        return self._then(step, "select", plain=at if at >= 0 else None)
+        return self._then(step, "select", plain=at if at >= 0 else None, call=("index", (at,)))
 
     def pick(self, *positions: int) -> Path:
         """Several items in the given order; positions out of range are left out."""
@@ -348,7 +349,7 @@ class Path:
 
             return _let(tree.members(group), picked)
 
-        return self._then(step, "select")
+        return self._then(step, "select", call=("pick", positions))
 
     def slice(self, start: int | None = None, stop: int | None = None) -> Path:
         """Half-open range, open or negative ends allowed; a dict keeps a sub-dict."""
@@ -368,12 +369,12 @@ class Path:
 
             return _let(tree.members(group), cut)
 
-        return self._then(step, "select")
+        return self._then(step, "select", call=("slice", (start, stop)))
 
     # -- filters ---------------------------------------------------------------------
 
     def _where(
-        self, keep_el: Callable[[Tree, Sql], Sql], keep_dict: Callable[[Tree, Sql], Sql], op: str, arg: Any = None
+        self, keep_el: Callable[[Tree, Sql], Sql], keep_dict: Callable[[Tree, Sql], Sql], op: str, arg: Any, call: tuple
     ) -> Path:
         def step(tree: Tree, group: Sql) -> Sql:
             filtered = _let(
@@ -382,12 +383,12 @@ class Path:
             )
             return f"if({group}.form = {DICT}, {_keep_if(keep_dict(tree, group), group)}, {filtered})"
 
-        return self._then(step, op, arg)
+        return self._then(step, op, arg, call=call)
 
     def where_value(self, pattern: str) -> Path:
         """Keep scalars that match; containers and null never do."""
         return self._where(
-            lambda tree, e: _test(tree.scalar_text(e), pattern), lambda tree, g: "false", "where_value"
+            lambda tree, e: _test(tree.scalar_text(e), pattern), lambda tree, g: "false", "where_value", None, ("where_value", (pattern,))
         )
 
     def where_value_not(self, pattern: str) -> Path:
@@ -396,6 +397,8 @@ class Path:
             lambda tree, e: f"not {tree.is_null(e)} and not {_test(tree.scalar_text(e), pattern)}",
             lambda tree, g: "true",
             "where_value",
+            None,
+            ("where_value_not", (pattern,)),
         )
 
     def _where_child(self, key: str, pattern: str, sign: str) -> Path:
@@ -404,6 +407,7 @@ class Path:
             lambda tree, g: f"{sign} {tree.has_child(_map(f'{g}.els', lambda e: f'{e}.id'), key, pattern)}",
             "where_child",
             key,
+            ("where_child", (key, pattern, sign)),
         )
 
     def where_child(self, key: str, pattern: str) -> Path:
@@ -425,7 +429,7 @@ class Path:
             found = _map(f"array_sort(array_distinct({ids}))", lambda i: _el(tree.ancestor(i, levels)))
             return _keep_if(f"size({ids}) > 0 and {group}.form != {DICT}", _group(f"{group}.mapped", LIST, found))
 
-        return self._then(step, "up")
+        return self._then(step, "up", call=("up", (levels,)))
 
 
 def path(*keys: str) -> Path:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import matches, split_lines
-from ..operators import markdown, steps
+from ..operators import markdown, steps, variant_paths
 from ..operators.catalog import corpus_schema, node_paths
 from ..operators.links import unwrap_envelope
 from ..operators.shred import explode_nodes, shred
@@ -219,12 +219,16 @@ def corpus_schemas(spark, sf):
 # -- E: path steps ---------------------------------------------------------------------
 
 
-def step_query(name: str, expression: Path, oracle: str, ids: str = "id") -> None:
-    """Register ``extract_values`` of one path over the order documents: id, ord, value."""
+def step_query(name: str, expression: Path, oracle: str) -> None:
+    """Register the values of one path over the order documents: id, ord, value. Searches and ancestors run over trees, which
+    hold every node's place; all other paths are compiled to VARIANT."""
 
     @query(name, f"WITH {ORDER_DOCS_SQL} SELECT CAST(id AS BIGINT) AS id, CAST(ord AS BIGINT) AS ord, CAST(value AS VARCHAR) AS value FROM ({oracle})")
     def run(spark, sf):
-        values = steps.extract_values(order_trees(spark, sf, expression), expression, ids)
+        if any(step in ("recurse", "up") for step, _ in expression.calls):
+            values = steps.extract_values(order_trees(spark, sf, expression), expression, "id")
+        else:
+            values = variant_paths.json_values(order_documents(spark, sf), "body", expression, "id")
         return values.select("id", F.col("ord").cast("long").alias("ord"), "value")
 
 
@@ -298,7 +302,7 @@ step_query(
 
 
 def _combined(spark, sf, combine, *expressions):
-    df = combine(order_trees(spark, sf, *expressions), *expressions, out="found")
+    df = combine(variant_paths.parsed(order_documents(spark, sf), "body"), *expressions, out="found")
     return steps.explode_values(df, "found", "id").select("id", F.col("ord").cast("long").alias("ord"), "value")
 
 
@@ -308,7 +312,7 @@ def _combined(spark, sf, combine, *expressions):
     SELECT id, row_number() OVER (PARTITION BY id ORDER BY p) - 1 AS ord, value FROM u""",
 )
 def paths_or(spark, sf):
-    return _combined(spark, sf, steps.any_of, path("tags").where_value("big"), path("missing"), path("customer", "key"))
+    return _combined(spark, sf, variant_paths.json_any_of, path("tags").where_value("big"), path("missing"), path("customer", "key"))
 
 
 @query(
@@ -317,7 +321,7 @@ def paths_or(spark, sf):
     UNION ALL SELECT id, 1, 'F' FROM o WHERE code <= 2 AND st = 'F'""",
 )
 def paths_and(spark, sf):
-    return _combined(spark, sf, steps.all_of, path("tags").where_value("urgent"), path("status").where_value("F"))
+    return _combined(spark, sf, variant_paths.json_all_of, path("tags").where_value("urgent"), path("status").where_value("F"))
 
 
 _PATTERNS = {"sub": "tion", "glob": "*[aeiou]n*the*", "glob_end": "*.", "regex": r"/\bth\w+\s/", "bad": "/[oops/"}
@@ -349,7 +353,7 @@ def extract_schema(spark, sf):
         "names": path("amounts", "name"),
         "none": path("tags").slice(9, None),
     }
-    return steps.extract_schema(order_trees(spark, sf, *schema.values()), schema, "id")
+    return variant_paths.json_schema(order_documents(spark, sf), "body", schema, "id")
 
 
 @query(
@@ -373,7 +377,7 @@ def filter_fields(spark, sf):
              else concat('no json ', id) end as body""",
     )
     fields = {"status": path("status"), "rank": path("customer", "rank")}
-    return steps.filter_fields(payloads, fields, "body")
+    return variant_paths.json_fields(payloads, "body", fields)
 
 
 @query(
@@ -383,7 +387,8 @@ def filter_fields(spark, sf):
            '{{"id": ' || id || ', "customer": {{"key": ' || ck || ', "full.name": "Customer ' || ck || '", "rank": ' || code || '}}}}' AS head FROM o""",
 )
 def rebuild_subtree(spark, sf):
-    df = steps.resolve(steps.resolve(order_trees(spark, sf), path("customer"), "c"), Path().slice(0, 2), "h")
+    docs = variant_paths.parsed(order_documents(spark, sf), "body")
+    df = variant_paths.resolve_json(variant_paths.resolve_json(docs, path("customer"), "c"), Path().slice(0, 2), "h")
     return df.select("id", steps.value_json("c").alias("customer"), steps.value_json("h").alias("head"))
 
 
