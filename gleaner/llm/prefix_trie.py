@@ -29,7 +29,7 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(11), role, text).alias("t1"), F.xxhash64(F.lit(12), role, text).alias("t2"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"),
     )
-    dense = numbered(rows, ["conv_id", "turn", "role", "t1", "t2"], "n")
+    dense = numbered(cut_lineage(rows), ["conv_id", "turn", "role", "t1", "t2"], "n")
     starts = dense.groupBy("conv_id").agg(F.min("n").alias("start"))
     return dense.join(starts, "conv_id").select("conv_id", (F.col("n") - F.col("start") + 1).alias("place"), *_TURN)
 

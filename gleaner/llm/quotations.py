@@ -108,7 +108,7 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
         F.min(F.when(F.col("from_turn").isNotNull(), F.struct("level", "at", "from_turn"))).alias("parent"),
     )
     linked = cut_lineage(parsed.drop("quotes").join(summary, ["conv_id", "turn"], "left").withColumn("reply_to", F.col("parent.from_turn")).drop("parent"))
-    placed = linked.join(_threads(linked), ["conv_id", "turn"])
+    placed = cut_lineage(linked.join(_threads(linked), ["conv_id", "turn"]))
     ordered = numbered(placed, ["conv_id", "thread", "depth", "turn"], "place")
     starts = ordered.groupBy("conv_id").agg(F.min("place").alias("start"))
     return ordered.join(starts, "conv_id").select(
