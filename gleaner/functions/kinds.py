@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .jsontext import strict_json
 from .text import BYTE_WHITESPACE
 
 # Content types and the file kinds they stand for, the kinds recognised at the end
@@ -158,10 +159,10 @@ def kind_from_request(params: Column) -> Column:
 
 def embedded_binary(body: Column, field: str = "screenshot") -> Column:
     """Bytes of a base64 field of a JSON wrapper; null when absent or unreadable."""
-    wrapper = F.try_parse_json(body.cast("string"))
+    wrapper = strict_json(body.cast("string"))
     return F.try_to_binary(F.try_variant_get(wrapper, f"$.{field}", "string"), F.lit("base64"))
 
 
 def embedded_length(body: Column, field: str = "body") -> Column:
     """Characters of a text field of a JSON wrapper."""
-    return F.length(F.try_variant_get(F.try_parse_json(body.cast("string")), f"$.{field}", "string"))
+    return F.length(F.try_variant_get(strict_json(body.cast("string")), f"$.{field}", "string"))

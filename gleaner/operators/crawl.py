@@ -58,7 +58,7 @@ def crawl_frontier(
         start = start.join(known_keys, "key", "left_anti")
 
     def as_level(found: DataFrame, depth: int) -> DataFrame:
-        ordered = numbered(found, ["__parent", "__ord", "key"], "rank") if ranked else found.withColumn("rank", F.lit(0).cast("long"))
+        ordered = numbered(cut_lineage(found), ["__parent", "__ord", "key"], "rank") if ranked else found.withColumn("rank", F.lit(0).cast("long"))
         return cut_lineage(ordered.select("key", "url", F.lit(depth).alias("depth"), "rank"))
 
     level = as_level(start.withColumns({"__parent": F.lit(0).cast("long"), "__ord": F.lit(0).cast("long")}), 0)
@@ -108,7 +108,7 @@ def resume_crawl(visited: DataFrame, manifest: DataFrame) -> DataFrame:
     Both sides are compared in normalised form.
     """
     done = manifest.select(normalize_crawl_url(F.col("input")).alias("key")).distinct()
-    fresh = visited.join(done, "key", "left_anti")
+    fresh = cut_lineage(visited.join(done, "key", "left_anti"))
     count = manifest.agg(F.count("*").alias("__done"))
     # a one-row aggregate beside the rows, read as a scalar
     return numbered(fresh, ["depth", "rank"], "n", first=1).withColumn("n", F.col("n") + count.scalar())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -12,8 +13,8 @@ from ..functions.kinds import header_value, resolve_kind, route_kind
 from ..functions.text import decode_lossy, strip
 from ..session import cut_lineage
 from .ordered import running_totals, with_previous
-from .shape import DEFAULT_DEPTH, cells_from, column_names, flat_entries
-from .shred import shred
+from .records import object_cells
+from .shape import column_names
 
 # Names of the response headers that carry cost, final URL, target status and tag.
 COST_HEADER = "spb-cost"
@@ -110,13 +111,7 @@ def latest_results(responses: DataFrame) -> DataFrame:
 
 def fresh_cells(responses: DataFrame) -> DataFrame:
     """Per input the flattened cells of its last response; null where that is no JSON object."""
-    trees = shred(latest_results(responses), "body", "json", keep=["input"], paths=True)
-    is_object = F.expr("get(tree.nodes, 0).kind = 'dict'")
-    # the object itself is the record here, even if it holds a main list
-    entries = trees.select(
-        "input", F.when(is_object, F.expr(flat_entries("0", DEFAULT_DEPTH, "tree"))).alias("__e")
-    )
-    return entries.select("input", F.when(F.col("__e").isNotNull(), F.expr(cells_from("__e"))).alias("cells"))
+    return object_cells(latest_results(responses), "body", "input")
 
 
 def exact_column(name: str) -> Column:
@@ -353,17 +348,23 @@ def latency_report(responses: DataFrame, *by: str) -> DataFrame:
     The percentiles are exact: the smallest latency that the given share of the items does not exceed. They
     come from a count per latency, so what is ordered grows with the different latencies, not the items.
     """
-    counts = responses.groupBy(*by, "latency_ms").agg(
+    counts = cut_lineage(responses.groupBy(*by, "latency_ms").agg(
         F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed")
-    )
-    known = F.when(F.col("latency_ms").isNotNull(), F.col("n"))
-    keys = list(by) or [F.lit(0)]
-    ordered = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("latency_ms"))
-    placed = counts.withColumns({
-        "__upto": F.sum(known).over(ordered), "__all": F.sum(known).over(Window.partitionBy(*keys)),
-    })
-    at = lambda p: F.min(F.when(F.col("__upto") >= F.col("__all") * p, F.col("latency_ms")))
-    return placed.groupBy(*by).agg(
+    ))
+    known = F.when(F.col("latency_ms").isNotNull(), F.col("n")).otherwise(F.lit(0).cast("long"))
+    # running totals over ranges of (group, latency): neither a group nor the table without groups meets in one task
+    placed = running_totals(counts, [*by, "latency_ms"], {"__upto": known})
+    if by:
+        # what stands before a group in the order is the smallest running total in it
+        starts = placed.groupBy(*by).agg(F.min(F.col("__upto") - known).alias("__start"), F.sum(known).alias("__all"))
+        starts = cut_lineage(starts.withColumnsRenamed({c: f"__of_{c}" for c in by}))  # a row per group
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in by])
+        inside = placed.join(starts, same).drop(*[f"__of_{c}" for c in by])
+    else:
+        inside = placed.withColumn("__start", F.lit(0).cast("long")).withColumn("__all", counts.agg(F.sum(known)).scalar())
+    upto = F.col("__upto") - F.col("__start")
+    at = lambda p: F.min(F.when(upto >= F.col("__all") * p, F.col("latency_ms")))
+    return inside.groupBy(*by).agg(
         F.sum("n").alias("items"),
         F.sum("failed").alias("failed"),
         F.min("latency_ms").alias("min_ms"),

@@ -8,6 +8,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import strict_json
 from ..functions.text import BYTE_WHITESPACE, decode_lossy, strip
 from ..functions.urls import is_plain_ascii_url, join_url, url_host, url_scheme
 from .rows import explode_rows
@@ -93,7 +94,7 @@ def unwrap_envelope(text: Column) -> Column:
 
     Empty, null, false and zero values count as absent.
     """
-    parsed = F.when(F.ltrim(text, F.lit(BYTE_WHITESPACE)).startswith("{"), F.try_parse_json(text))
+    parsed = F.when(F.ltrim(text, F.lit(BYTE_WHITESPACE)).startswith("{"), strict_json(text))
 
     def part(name: str) -> Column:
         value = F.try_variant_get(parsed, f"$.{name}", "variant")

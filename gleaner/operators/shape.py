@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import strict_json
 from ..functions.text import decode_lossy, split_lines
+from ..session import cut_lineage
 from .rows import explode_rows
 from .shred import shred
 from .steps import Path, value_json, value_text
@@ -242,6 +244,7 @@ def dedupe_rows(df: DataFrame, order: Sequence[str], cells: str = "cells") -> Da
 def select_columns(df: DataFrame, names: Sequence[str], *ids: str, cells: str = "cells") -> DataFrame:
     """Wide table of the named cells (and ``_url`` if any row has one); rows without a value in
     any of them go. Unknown names only, or no row left, is an error."""
+    df = cut_lineage(df)  # looked at twice, parsed once
     wanted = [n for n in dict.fromkeys(names) if n != "_url"]
     filled = F.lit(False)
     for name in names:
@@ -287,9 +290,10 @@ def union_columns(
 ) -> DataFrame:
     """Wide table over the union of all cell names, in first-seen order; missing cells are ``''``.
 
-    The names are found in one aggregation, unless ``columns`` gives them, which saves that pass
-    over the input. The table itself is a projection of the map, without a pivot's shuffle.
+    The names are found in one aggregation over the cells, which are kept for that, so that payloads are parsed once; ``columns``
+    gives them beforehand and saves that pass. The table itself is a projection of the map, without a pivot's shuffle.
     """
+    df = cut_lineage(df) if columns is None else df
     names = column_names(df, order, cells) if columns is None else columns
     return df.select(*ids, *_cell_columns(names, cells))
 
@@ -328,7 +332,7 @@ def body_as_json(body: Column) -> Column:
     text = F.coalesce(decode_lossy(body), F.lit(""))
     # line ends inside valid JSON are blanks between its tokens
     one_line = F.btrim(F.translate(text, "\r\n", "  "))
-    return F.when(F.try_parse_json(text).isNotNull(), one_line).otherwise(quote_json(text))
+    return F.when(strict_json(text).isNotNull(), one_line).otherwise(quote_json(text))
 
 
 def iso_timestamp(ts: Column) -> Column:

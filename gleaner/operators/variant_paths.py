@@ -22,6 +22,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import strict_json_sql
 from ..functions.text import glob_to_regex
 from .rows import explode_rows
 from .steps import (
@@ -101,7 +102,8 @@ def _holds_json(value: Sql) -> Sql:
 
 def _entered(value: Sql) -> Sql:
     """What the JSON inside a text holds (null if it is none); other values as they are."""
-    return f"if({_holds_json(value)}, try_parse_json(try_variant_get({value}, '$', 'string')), {value})"
+    text = f"try_variant_get({value}, '$', 'string')"
+    return f"if({_holds_json(value)}, {strict_json_sql(text)}, {value})"
 
 
 def _entered_or_self(value: Sql) -> Sql:
@@ -191,8 +193,9 @@ class Payload:
     def named(self, el: Sql) -> Sql:
         """The children of a dict in the order of its text, null for other values."""
         keys = f"json_object_keys(get_json_object({_text_at(self.body, f'{el}.at')}, '$'))"
-        child = f"(k, i) -> {_el(_child_of(f'{el}.v', 'k'), _below(f'{el}.at', 'i', 'k'))}"
-        return f"if({_is_dict(f'{el}.v')}, transform(coalesce({keys}, array()), {child}), null)"
+        child = lambda m: f"(k, i) -> {_el(f'element_at({m}, k)', _below(f'{el}.at', 'i', 'k'))}"
+        of_map = lambda m: f"if({m} is null, null, transform(coalesce({keys}, array()), {child(m)}))"
+        return _let(f"try_variant_get({el}.v, '$', 'map<string,variant>')", of_map)
 
     def listed(self, value: Sql, at: Sql) -> Sql:
         """The items of a list as elements."""
@@ -238,7 +241,7 @@ class Payload:
         # a text is entered in a step of its own; its element is the text
         text = lambda e: f"try_variant_get({e}.v, '$', 'string')"
         of_text = lambda e: _let(
-            f"try_parse_json({text(e)})", lambda v: f"if({v} is null, cast(array() as {named}), array({node(v, f'{e}.at', 'false')}))"
+            strict_json_sql(text(e)), lambda v: f"if({v} is null, cast(array() as {named}), array({node(v, f'{e}.at', 'false')}))"
         )
         children = lambda e: (
             f"case when {_is_list(f'{e}.v')} then {of_list(e)} when {_is_dict(f'{e}.v')} then {of_dict(e)} "
@@ -462,11 +465,11 @@ def _straight(calls: tuple) -> int:
 def parsed(df: DataFrame, body: str) -> DataFrame:
     """Add what every path over ``body`` shares: the payload's VARIANT ``__v`` and its text ``__t``."""
     text = F.make_valid_utf8(F.col(body).cast("string"))
-    outer = df.withColumn("__t", text).withColumn("__v", F.try_parse_json("__t"))
+    outer = df.withColumn("__t", text).withColumn("__v", F.expr(strict_json_sql("__t")))
     # a payload that is one text holding JSON counts as that JSON
     quoted = F.ltrim("__t").startswith('"')
     inner = F.when(quoted, F.expr(f"if({_holds_json('__v')}, try_variant_get(__v, '$', 'string'), null)"))
-    entered = outer.withColumn("__in", inner).withColumn("__vin", F.try_parse_json("__in"))
+    entered = outer.withColumn("__in", inner).withColumn("__vin", F.expr(strict_json_sql("__in")))
     whole = F.col("__vin").isNotNull()
     return entered.withColumns(
         {"__t": F.when(whole, F.col("__in")).otherwise(F.col("__t")), "__v": F.when(whole, F.col("__vin")).otherwise(F.col("__v"))}

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ..operators import shape
+from ..operators import records, shape
 from ..operators.links import count_links, html_links
 from ..operators.shred import shred
 from ..operators.steps import path
 from .base import ORDER_DOCS_SQL, RESPONSES_SQL, event_responses, order_documents, query, scratch, table
-from .trees import order_trees
 
 
 def _payloads(spark, sf):
@@ -39,7 +39,7 @@ def _manifest(spark, sf):
 )
 def merge_records(spark, sf):
     named = shape.with_source_url(_payloads(spark, sf), _manifest(spark, sf))
-    return shape.merge_records(named, "body", "url", "n")
+    return records.merge_json_records(named, "body", "url", "n")
 
 
 @query(
@@ -73,8 +73,7 @@ def main_list(spark, sf):
                  when o_orderkey % 4 = 1 then to_json(named_struct({_SCALARS}, 'rows', {_LISTS}))
                  else to_json(named_struct('id', 1, 'other', if(o_custkey % 5 = 0, array(), {two}), 'rows', {_LISTS})) end as body""",
     )
-    key = F.expr("get(tree.nodes, main).key")
-    return shred(docs, "body", "json").withColumn("main", shape.main_list()).select("id", key.alias("main"))
+    return records.main_list_key(docs, "body", "main").select("id", "main")
 
 
 @query(
@@ -83,7 +82,7 @@ def main_list(spark, sf):
     SELECT id, CAST(pos AS INTEGER) AS rec, '{{"name": "' || name || '", "cents": ' || c || ', "paid": ' || coalesce(lower(paid), 'null') || '}}' AS record FROM a""",
 )
 def explode_records(spark, sf):
-    return shape.explode_records(order_trees(spark, sf), "id")
+    return records.explode_json_records(order_documents(spark, sf), "body", "id")
 
 
 def _nested(spark, sf):
@@ -131,28 +130,35 @@ def flatten_to_depth(spark, sf):
 
 @query(
     "max_nesting_depth",
-    """SELECT o_orderkey AS id, CAST(0 AS INTEGER) AS rec, CAST(o_orderkey % 4 AS INTEGER) AS depth FROM orders""",
+    f"""WITH {ORDER_DOCS_SQL} SELECT id, CAST(pos AS INTEGER) AS rec, CAST(0 AS INTEGER) AS depth FROM a WHERE id % 4 = 0
+    UNION ALL SELECT id, 0, CAST(id % 4 + 1 AS INTEGER) FROM o WHERE id % 4 > 0""",
 )
 def max_nesting_depth(spark, sf):
-    docs = table(spark, sf, "orders").selectExpr(
-        "o_orderkey as id",
-        """case o_orderkey % 4 when 0 then '{"a": 1, "l": [[{"deep": {"er": 1}}]]}' when 1 then '{"a": {"b": 1}, "l": [1, [2]]}'
-             when 2 then '{"a": {"l": [{"b": 1}]}, "c": {}}' else '{"a": {"b": {"c": {"d": 1}}}}' end as body""",
-    )
-    return shape.max_nesting_depth(shred(docs, "body", "json"), "id")
+    # the order document, up to three levels down; at the top its main list gives the records
+    nested = """concat(repeat('{"k": ', cast(id % 4 as int)), body, repeat('}', cast(id % 4 as int))) as body"""
+    return records.record_depths(order_documents(spark, sf).selectExpr("id", nested), "body", "id")
 
 
 @query(
     "depth_guard",
-    """SELECT o_orderkey AS id, 'a.b.c.d.e.f' AS key, CAST(o_custkey AS VARCHAR) AS value FROM orders""",
+    """SELECT o_orderkey AS id, 'a.b.c.d.e.f' AS key, CAST(o_custkey AS VARCHAR) AS value FROM orders WHERE o_orderkey % 3 > 0
+    UNION ALL SELECT o_orderkey, 'refused', 'true' FROM orders WHERE o_orderkey % 3 = 0""",
 )
 def depth_guard(spark, sf):
-    # five levels pass the guard; the test suite checks that six do not
+    """Five levels pass the guard. Six fail the job, and get through when a depth is named."""
     docs = table(spark, sf, "orders").selectExpr(
-        "o_orderkey as id", """concat('{"a": {"b": {"c": {"d": {"e": {"f": ', o_custkey, '}}}}}}') as body"""
+        "o_orderkey as id", """concat('{"a": {"b": {"c": {"d": {"e": {"f": ', if(o_orderkey % 3 = 0, concat('{"g": ', o_custkey, '}'), string(o_custkey)), '}}}}}}') as body"""
     )
-    flat = shape.flatten_records(shred(docs, "body", "json", paths=True), "id")
-    return shape.explode_cells(flat, "id").select("id", "key", "value")
+    deep = docs.filter("id % 3 = 0")
+    try:
+        records.flatten_json_records(deep, "body", "id").write.format("noop").mode("overwrite").save()
+        refused = "false"
+    except PySparkException as error:
+        refused = str("name a depth" in str(error)).lower()
+    flat = records.flatten_json_records(docs.filter("id % 3 > 0"), "body", "id")
+    named = records.flatten_json_records(deep, "body", "id", max_depth=6)
+    passed = shape.explode_cells(named, "id").filter("key = 'a.b.c.d.e.f.g'").select("id", F.lit("refused").alias("key"), F.lit(refused).alias("value"))
+    return shape.explode_cells(flat, "id").select("id", "key", "value").unionByName(passed)
 
 
 @query(
@@ -162,8 +168,8 @@ def depth_guard(spark, sf):
     UNION ALL SELECT id, pos, 'paid', coalesce(paid, '') FROM a UNION ALL SELECT id, pos, '_url', 'https://a.com/' || id FROM a""",
 )
 def stringify_top_level(spark, sf):
-    trees = order_trees(spark, sf).withColumn("url", F.concat(F.lit("https://a.com/"), F.col("id")))
-    rows = shape.stringify_records(trees, "id", url="url")
+    docs = order_documents(spark, sf).withColumn("url", F.concat(F.lit("https://a.com/"), F.col("id")))
+    rows = records.stringify_json_records(docs, "body", "id", url="url")
     return shape.explode_cells(rows, "id", "rec").drop("pos")
 
 
@@ -173,7 +179,7 @@ def stringify_top_level(spark, sf):
     SELECT min(id) AS id, name, c AS cents, count(*) AS copies FROM a GROUP BY name, c, paid""",
 )
 def dedupe_rows(spark, sf):
-    rows = shape.stringify_records(order_trees(spark, sf), "id")
+    rows = records.stringify_json_records(order_documents(spark, sf), "body", "id")
     first = shape.dedupe_rows(rows, ["id", "rec"])
     cents = F.col("cells")["cents"].cast("bigint")
     return first.select("id", F.col("cells")["name"].alias("name"), cents.alias("cents"), "copies")
@@ -186,7 +192,7 @@ def _sparse_rows(spark, sf):
         """concat('{"name": "', c_name, '"', if(c_custkey % 3 = 0, concat(', "segment": "', c_mktsegment, '"'), ''),
                   if(c_custkey % 5 = 0, ', "geo": {"nation": ' || c_nationkey || '}', ''), '}') as body""",
     )
-    return shape.flatten_records(shred(docs, "body", "json", paths=True), "id", url="url")
+    return records.flatten_json_records(docs, "body", "id", url="url")
 
 
 @query(
@@ -226,8 +232,8 @@ def write_csv(spark, sf):
 )
 def write_ndjson(spark, sf):
     path_ = scratch(spark, "ndjson-sink")
-    records = shape.explode_records(order_trees(spark, sf), "id")
-    merged = records.withColumn("line", F.concat(F.lit('{"_id": '), F.col("id").cast("string"), F.lit(", "), F.expr("substring(record, 2)")))
+    rows = records.explode_json_records(order_documents(spark, sf), "body", "id")
+    merged = rows.withColumn("line", F.concat(F.lit('{"_id": '), F.col("id").cast("string"), F.lit(", "), F.expr("substring(record, 2)")))
     shape.write_lines(merged, "line", path_, order=["id", "rec"])
     return spark.read.schema("_id bigint, cents bigint").json(path_).withColumnRenamed("_id", "id")
 
