@@ -38,17 +38,18 @@ def read_input_lines(spark, sf):
 
 @query(
     "read_input_column",
-    "SELECT 'Customer ' || c_custkey || ', \"' || c_mktsegment || '\"' AS input FROM customer WHERE c_custkey % 9 <> 0",
+    """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS index, 'Customer ' || c_custkey || ', "' || c_mktsegment || '"' AS input
+       FROM customer WHERE c_custkey % 9 <> 0""",
 )
 def read_input_column(spark, sf):
-    # a file to read: written to the shared checkpoint folder, never to a machine's own disk
+    # files to read, in the order of their names: written to the shared checkpoint folder, never to a machine's own disk
     path = scratch(spark, "input-column")
     cells = table(spark, sf, "customer").selectExpr(
         "c_custkey as code",
         "if(c_custkey % 9 = 0, '  ', concat(' Customer ', c_custkey, ', \"', c_mktsegment, '\"')) as company",
     )
-    write_csv(cells, path)
-    return files.read_input_column(spark, path, "company").select("input")
+    write_csv(cells, path, order=["code"])
+    return files.read_input_column(spark, path, "company").select("index", "input")
 
 
 @query(
@@ -56,16 +57,20 @@ def read_input_column(spark, sf):
     """
     SELECT doc_id AS n, CASE WHEN doc_id % 3 = 0 THEN 'screenshots/' ELSE '' END || doc_id ||
            CASE doc_id % 4 WHEN 0 THEN '.json' WHEN 1 THEN '.html' ELSE '.txt' END AS file,
-           CASE doc_id % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'html' ELSE 'txt' END AS ext
+           CASE doc_id % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'html' ELSE 'txt' END AS ext, md5(text) AS body_md5
     FROM documents WHERE doc_id % 4 <> 2 AND doc_id % 10 <> 7
     """,
 )
 def read_payload_dir(spark, sf):
-    listing = table(spark, sf, "documents").selectExpr(
-        """concat('file:/data/run/', if(doc_id % 3 = 0, 'screenshots/', ''), if(doc_id % 10 = 7, 'note-', ''), doc_id,
-                  case doc_id % 4 when 0 then '.json' when 1 then '.html' when 2 then '.err' else '.txt' end) as path"""
+    # every document becomes a payload file below the shared checkpoint folder
+    named = table(spark, sf, "documents").selectExpr(
+        """concat(if(doc_id % 3 = 0, 'screenshots/', ''), if(doc_id % 10 = 7, 'note-', ''), doc_id,
+                  case doc_id % 4 when 0 then '.json' when 1 then '.html' when 2 then '.err' else '.txt' end) as file""",
+        "cast(text as binary) as body",
     )
-    return files.number_payloads(listing, "path", "/data/run").select("n", "file", "ext")
+    folder = scratch(spark, "payloads")
+    files.write_payload_files(named, "file", "body", folder)
+    return files.read_payload_dir(spark, folder).select("n", "file", "ext", F.md5("body").alias("body_md5"))
 
 
 @query(

@@ -5,9 +5,12 @@ Each reader is a Spark scan plus an operator on its rows; the operators also tak
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +99,30 @@ def _quote(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
+def write_payload_files(payloads: DataFrame, file: str, body: str, folder: str) -> None:
+    """One file per row below ``folder``: its path there in ``file``, its bytes in ``body``.
+
+    Spark's file writers name their files themselves; a task writes each of its rows through the folder's Hadoop or local
+    file system, to a name of its own first, so that a repeated task replaces whole files.
+    """
+    from pyarrow import fs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark names local folders file:/…, with one slash
+        store, root = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder) if ":" in folder else f"file://{folder}")
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                target = f"{root}/{name}"
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                own = f"{target}.{uuid.uuid4().hex}.err"
+                with store.open_output_stream(own) as out:
+                    out.write(content.as_buffer() if content.is_valid else b"")
+                store.move(own, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    payloads.select(file, F.col(body).cast("binary")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def read_payload_dir(spark: SparkSession, path: str) -> DataFrame:
     """Numbered payload files below a folder: ``n, file, ext, body``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
