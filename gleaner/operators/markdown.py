@@ -18,7 +18,7 @@ _SETEXT_1 = r"^={3,}\\s*$"
 _SETEXT_2 = r"^-{3,}\\s*$"
 _ATX = r"^(#{1,6})\\s+(.*)"
 _RULE = r"^:?-+:?$"
-_BLANKS = r" \t\r\f\u000b"
+_BLANKS = r" \t\r\u000c\u000b"
 
 
 def classify_lines(df: DataFrame, body: str, out: str = "lines") -> DataFrame:

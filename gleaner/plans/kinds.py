@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import kinds
+from ..functions.formats import format_of
+from ..operators.rows import spread_small
 from ..operators.shape import write_payloads
-from ..operators.shred import detect_format
 from .base import query, scratch, table
 
 # Bodies of known kind made out of every page, and their kinds.
@@ -106,15 +107,15 @@ def is_text_payload(spark, sf):
 # first data row has no more cells than that.
 _FORMAT_SQL = """
 WITH d AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '{"id": ' || doc_id || ', "text": ' || to_json(text) || '}'
-                WHEN 1 THEN '{"id": 1}' || chr(10) || chr(10) || ' {"id": ' || doc_id || '}'
+                WHEN 1 THEN '{"id": 1}' || chr(10) || chr(10) || ' {"id": ' || doc_id || ', "text": ' || to_json(text) || '}'
                 WHEN 2 THEN '# Part ' || doc_id || chr(10) || replace(text, ',', ';')
-                WHEN 3 THEN 'name,age' || chr(10) || 'x' || doc_id || ',3'
+                WHEN 3 THEN 'name,age' || chr(10) || '"' || replace(text, '"', '""') || '",3'
                 ELSE text END AS body FROM documents),
 l AS (SELECT doc_id, body, str_split_regex(body, '\r\n|\r|\n') AS lines FROM d),
 c AS (SELECT doc_id, body, str_split(lines[1], ',') AS head,
              str_split(list_filter(lines[2:], lambda x: x <> '')[1], ',') AS first_row FROM l)
 SELECT doc_id, CASE WHEN trim(body, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN NULL
-    WHEN doc_id % 6 = 0 THEN 'json' WHEN doc_id % 6 = 1 THEN 'ndjson'
+    WHEN doc_id % 6 = 0 THEN 'json' WHEN doc_id % 6 = 1 THEN 'ndjson' WHEN doc_id % 6 = 3 THEN 'csv'
     WHEN contains(body, ',') AND contains(body, chr(10)) AND len(list_distinct(head)) >= 2 AND first_row IS NOT NULL
          AND len(first_row) <= len(head) AND list_max(list_transform(head, lambda x: length(x))) <= 60 THEN 'csv'
     WHEN doc_id % 6 = 2 THEN 'markdown' ELSE 'text' END AS format FROM c
@@ -128,18 +129,19 @@ def detect_formats(spark, sf):
         "doc_id",
         """case doc_id % 6
              when 0 then to_json(named_struct('id', doc_id, 'text', text))
-             when 1 then concat('{"id": 1}\\n\\n {"id": ', doc_id, '}')
+             when 1 then concat('{"id": 1}\\n\\n ', to_json(named_struct('id', doc_id, 'text', text)))
              when 2 then concat('# Part ', doc_id, '\\n', replace(text, ',', ';'))
-             when 3 then concat('name,age\\nx', doc_id, ',3')
+             when 3 then concat('name,age\\n"', replace(text, '"', '""'), '",3')
              else text end as body""",
     )
     pages = table(spark, sf, "pages").selectExpr(
         "10000000 + page_id as doc_id",
         """case page_id % 3 when 0 then html
-             when 1 then concat('<?xml version="1.0"?><page id="', page_id, '"><title>', page_id, '</title></page>')
-             else concat('<?xml version="1.0"?><page id="', page_id, '"><title>broken</page>') end as body""",
+             when 1 then concat('<?xml version="1.0"?><page id="', page_id, '"><title>', replace(replace(html, '&', '&amp;'), '<', '&lt;'), '</title></page>')
+             else concat('<?xml version="1.0"?><page id="', page_id, '"><title>broken</page>', html) end as body""",
     )
-    return detect_format(docs.unionByName(pages), "body")
+    rows = spread_small(docs.unionByName(pages))
+    return rows.select("doc_id", format_of(F.col("body")).alias("format"))
 
 
 _PARAMS = """map('screenshot', if(o_orderkey & 1 = 1, 'true', 'false'), 'json_response', if(o_orderkey & 2 = 2, 'YES', ''),

@@ -168,23 +168,24 @@ def crawl_frontier(spark, sf):
 
 @query(
     "save_filter",
-    f"WITH RECURSIVE {_CRAWL_SQL.format(depth=3)} SELECT key, CAST(depth AS INTEGER) AS depth FROM visited WHERE regexp_matches(key, '/part/[0-9]*7$')",
+    f"WITH RECURSIVE {_CRAWL_SQL.format(depth=16)} SELECT key, CAST(depth AS INTEGER) AS depth FROM visited WHERE regexp_matches(key, '/part/[0-9]*7$')",
 )
 def save_filter(spark, sf):
-    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), max_depth=3)
+    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf))
     return crawl.save_filter(visited, r"/part/[0-9]*7$", "key").select("key", "depth")
 
 
-# Discovery order: by the parent's rank, then the link's ordinal, then the address.
+# Discovery order: by the parent's rank, then the link's ordinal, then the address; more levels than the walk has.
+_LEVELS = 12
 _RANKED_SQL = f"""
 v0 AS (SELECT '{_PART}' || p_partkey AS key, row_number() OVER (ORDER BY '{_PART}' || p_partkey) - 1 AS rank FROM part WHERE p_size = 11),
-c1 AS (SELECT e.dst AS key, min((v0.rank, e.ord)) AS first FROM v0 JOIN e ON e.src = v0.key WHERE e.dst NOT IN (SELECT key FROM v0) GROUP BY 1),
-v1 AS (SELECT key, row_number() OVER (ORDER BY first, key) - 1 AS rank FROM c1),
-c2 AS (SELECT e.dst AS key, min((v1.rank, e.ord)) AS first FROM v1 JOIN e ON e.src = v1.key
-       WHERE e.dst NOT IN (SELECT key FROM v0) AND e.dst NOT IN (SELECT key FROM v1) GROUP BY 1),
-v2 AS (SELECT key, row_number() OVER (ORDER BY first, key) - 1 AS rank FROM c2),
-ranked AS (SELECT key, 0 AS depth, rank FROM v0 UNION ALL SELECT key, 1, rank FROM v1 UNION ALL SELECT key, 2, rank FROM v2)
+""" + "".join(
+    f"""c{n} AS (SELECT e.dst AS key, min((v{n - 1}.rank, e.ord)) AS first FROM v{n - 1} JOIN e ON e.src = v{n - 1}.key
+       WHERE {" AND ".join(f"e.dst NOT IN (SELECT key FROM v{m})" for m in range(n))} GROUP BY 1),
+v{n} AS MATERIALIZED (SELECT key, row_number() OVER (ORDER BY first, key) - 1 AS rank FROM c{n}),
 """
+    for n in range(1, _LEVELS)
+) + "ranked AS (" + " UNION ALL ".join(f"SELECT key, {n} AS depth, rank FROM v{n}" for n in range(_LEVELS)) + ")"
 _EDGES_SQL = _CRAWL_SQL.split("walk AS")[0].rstrip().rstrip(",")
 
 
@@ -194,7 +195,7 @@ _EDGES_SQL = _CRAWL_SQL.split("walk AS")[0].rstrip().rstrip(",")
     WHERE NOT regexp_matches(key, '3$') ORDER BY ranked.depth, rank LIMIT 40""",
 )
 def cap_pages(spark, sf):
-    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), max_depth=2, ranked=True)
+    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), ranked=True)
     return crawl.cap_pages(visited, 40, ok=~F.col("key").rlike("3$")).select("key", "depth")
 
 
@@ -208,7 +209,7 @@ def _manifest(spark, sf):
     SELECT key, (SELECT count(*) FROM done) + row_number() OVER (ORDER BY depth, rank) AS n FROM ranked WHERE key NOT IN (SELECT key FROM done)""",
 )
 def resume_crawl(spark, sf):
-    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), max_depth=2, ranked=True)
+    visited = crawl.crawl_frontier(_graph(spark, sf), _seeds(spark, sf), ranked=True)
     return crawl.resume_crawl(visited, _manifest(spark, sf)).select("key", "n")
 
 

@@ -113,13 +113,18 @@ _MD_BODY = """concat('preface ', doc_id, '\\n# Title ', doc_id, '\\nintro\\n\\n#
     replace(replace(replace(text, '#', ''), '|', ''), '\\n', ' '), '\\nSetext\\n======\\n| name | size |\\n|---|:-:|\\n| ', source, ' | ', n_chars, ' |\\n| short |\\nafter\\n') as body"""
 
 
+# the document's text stands in one line, without the signs of headings and tables
+_MD_DEEP_SQL = "trim(replace(replace(replace(text, '#', ''), '|', ''), chr(10), ' '), ' ' || chr(9) || chr(13) || chr(12) || chr(11))"
+
+
 @query(
     "shred_markdown",
-    """
+    f"""
     SELECT doc_id, 'text' AS path, 'preface ' || doc_id AS value FROM documents
     UNION ALL SELECT doc_id, 'Title ' || doc_id || '.text', 'intro' FROM documents
     UNION ALL SELECT doc_id, 'Title ' || doc_id || '.Same.text', 'first ' || lang FROM documents
     UNION ALL SELECT doc_id, 'Title ' || doc_id || '.Same (2).text', 'second' FROM documents
+    UNION ALL SELECT doc_id, 'Title ' || doc_id || '.Same (2).Deep.text', {_MD_DEEP_SQL} FROM documents WHERE {_MD_DEEP_SQL} <> ''
     UNION ALL SELECT doc_id, 'Setext.tables.0.name', source FROM documents
     UNION ALL SELECT doc_id, 'Setext.tables.0.size', CAST(n_chars AS VARCHAR) FROM documents
     UNION ALL SELECT doc_id, 'Setext.tables.1.name', 'short' FROM documents
@@ -130,24 +135,24 @@ _MD_BODY = """concat('preface ', doc_id, '\\n# Title ', doc_id, '\\nintro\\n\\n#
 def shred_markdown(spark, sf):
     docs = table(spark, sf, "documents").selectExpr("doc_id", _MD_BODY)
     nodes = explode_nodes(shred(docs, "body", "markdown", paths=True), "doc_id")
-    leaves = nodes.filter("kind = 'str' and not path like '%.Deep.%'")
+    leaves = nodes.filter("kind = 'str'")
     return leaves.select("doc_id", "path", F.col("sval").alias("value"))
 
 
 @query(
     "markdown_sections",
-    """
-    SELECT doc_id, CAST(0 AS INTEGER) AS section, CAST(0 AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS INTEGER) AS parent FROM documents
-    UNION ALL SELECT doc_id, 1, 1, 'Title ' || doc_id, 0 FROM documents
-    UNION ALL SELECT doc_id, 2, 2, 'Same', 1 FROM documents
-    UNION ALL SELECT doc_id, 3, 2, 'Same', 1 FROM documents
-    UNION ALL SELECT doc_id, 4, 3, 'Deep', 3 FROM documents
-    UNION ALL SELECT doc_id, 5, 1, 'Setext', 0 FROM documents
+    f"""
+    SELECT doc_id, CAST(0 AS INTEGER) AS section, CAST(0 AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS INTEGER) AS parent, md5('preface ' || doc_id) AS text_md5 FROM documents
+    UNION ALL SELECT doc_id, 1, 1, 'Title ' || doc_id, 0, md5('intro') FROM documents
+    UNION ALL SELECT doc_id, 2, 2, 'Same', 1, md5('first ' || lang) FROM documents
+    UNION ALL SELECT doc_id, 3, 2, 'Same', 1, md5('second') FROM documents
+    UNION ALL SELECT doc_id, 4, 3, 'Deep', 3, md5({_MD_DEEP_SQL}) FROM documents
+    UNION ALL SELECT doc_id, 5, 1, 'Setext', 0, md5('after') FROM documents
     """,
 )
 def markdown_sections(spark, sf):
     docs = table(spark, sf, "documents").selectExpr("doc_id", _MD_BODY)
-    return markdown.markdown_sections(docs, "body", "doc_id").drop("text")
+    return markdown.markdown_sections(docs, "body", "doc_id").withColumn("text_md5", F.md5("text")).drop("text")
 
 
 @query(
@@ -177,15 +182,15 @@ def shred_text(spark, sf):
 
 @query(
     "unwrap_json_envelope",
-    """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'body of ' || source WHEN 1 THEN 'content of ' || lang END AS inner_text FROM documents""",
+    """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN coalesce(nullif(text, ''), 'no') WHEN 1 THEN nullif(text, '') END AS inner_text FROM documents""",
 )
 def unwrap_json_envelope(spark, sf):
     wrapped = table(spark, sf, "documents").selectExpr(
         "doc_id",
-        """case doc_id % 5 when 0 then concat(' {"content": "no", "body": "body of ', source, '"}')
-             when 1 then concat('{"body": "", "content": "content of ', lang, '"}')
-             when 2 then '{"body": {"nested": 1}, "content": "x"}'
-             when 3 then concat('["', lang, '"]') else text end as body""",
+        """case doc_id % 5 when 0 then concat(' {"content": "no", "body": ', substring(to_json(array(text)), 2, length(to_json(array(text))) - 2), '}')
+             when 1 then to_json(named_struct('body', '', 'content', text))
+             when 2 then concat('{"body": {"nested": ', to_json(array(text)), '}, "content": 5}')
+             when 3 then to_json(array(text)) else text end as body""",
     )
     return wrapped.select("doc_id", unwrap_envelope(F.col("body")).alias("inner_text"))
 
