@@ -26,16 +26,14 @@ START, END = "^", "$"  # borders of a word; counted words hold letters only
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``lm_entries`` bounds the language model, ``features`` the classifier's words and ``sample`` the
-    labelled documents that words are chosen and weighted by (drawn by a hash of doc_id, not by place);
-    the character model counts all rows."""
+    """``sample`` bounds the labelled documents that words are chosen and weighted by (drawn by a hash of doc_id, not by place),
+    and with them the classifier's words. The character model counts all rows and keeps the grams that make up a share of
+    ``least_share`` of all or more: by that there are at most ``1 / least_share`` of each length, however large the corpus is."""
 
     order: int = 4
-    lm_entries: int = 200_000
-    features: int = 2048
+    least_share: float = 1e-7
     least_evidence: float = 8.0
     sample: int = 20_000
-    beam: int = 12
     held_entries: int = 400_000
     l2: float = 2e-5
     threshold: float = 0.7
@@ -43,7 +41,9 @@ class ToxicityParams:
 
 EDGE = re.compile(r"^[^\w@$!|+]+|[^\w]+$")
 RUN = re.compile(r"(.)\1\1")
-SPACED = re.compile(r"(?<!\S)(?:[^\s.,;:](?:[ \t]|[.\-_*]{1,2})){2,}[^\s.,;:](?!\w)")
+# single signs with one or two separators between them; no sign is a separator, so that there is one way only to read a run
+SPACED = re.compile(r"(?<!\S)(?:[^\s.,;:\-_*](?:[ \t]|[.\-_*]{1,2})){2,}[^\s.,;:\-_*](?!\w)")
+LOWEST = -14.0  # log-probability of what the model has never seen
 
 
 def plain(token: str) -> bool:
@@ -65,12 +65,12 @@ class CharModel:
         if key not in self.known:
             if len(self.known) > 500_000:
                 self.known.clear()
-            value, discount = -14.0, 0.0
+            value, discount = LOWEST, 0.0
             for at in range(len(before) + 1):
                 context = before[at:]
                 n = self.counts.get(context + after, 0)
                 if n:
-                    value = max(-14.0, math.log(n / max(self.context[context], 1)) + discount)
+                    value = max(LOWEST, math.log(n / max(self.context[context], 1)) + discount)
                     break
                 discount -= 0.9
             self.known[key] = value
@@ -84,52 +84,60 @@ def add_grams(held: Counter[str], word: str, n: int, order: int) -> None:
         held[padded[end - order : end]] += n
 
 
-def decode(noisy: str, model: CharModel, beam: int) -> str:
-    """The likeliest plain text behind ``noisy`` (Viterbi over its character lattice, ``beam`` states a step).
+def decode(noisy: str, model: CharModel) -> str:
+    """The likeliest plain text behind ``noisy`` (Viterbi over its character lattice).
 
     A letter stands for itself or repeats the one before; a digit or sign stands for the letters it
     resembles, for itself, or for nothing; a separator stands for nothing or for the end of a word.
+
+    A state is what the model still looks at. States so far behind the best that they cannot catch up go: two states that go on with the same
+    letters are one after as many letters as the model looks back, and until then, and at the end, differ by no more than the lowest
+    log-probability each time. A state points back to the ones before; texts are not carried along.
     """
     width = model.order - 1
-    states: dict[str, tuple[float, str]] = {START: (0.0, "")}
+    behind = (width + 1) * LOWEST
+    # a state's score and its last piece of text, linked to the pieces before
+    states: dict[str, tuple[float, tuple | None]] = {START: (0.0, None)}
     last = ""
     for c in noisy:
-        following: dict[str, tuple[float, str]] = {}
-
-        def offer(state: str, score: float, text: str, following=following) -> None:
-            if state not in following or following[state][0] < score:
-                following[state] = (score, text)
-
-        best = max(score for score, _ in states.values())
-        kept = sorted(states.items(), key=lambda s: (-s[1][0], s[0]))[:beam]
-        for state, (score, text) in kept:
-            if score < best - 25:
-                continue
-            if c.isalpha():
-                offer((state + c)[-width:], score + model.log_p(state, c), text + c)
-                if c == last:
-                    offer(state, score - 1.0, text)
+        following: dict[str, tuple[float, tuple | None]] = {}
+        least = max(score for score, _ in states.values()) + behind
+        letter = c.isalpha()
+        for state, (score, link) in states.items():
+            if score < least:
                 continue
-            for letter in LEET.get(c, ""):
-                offer((state + letter)[-width:], score - 0.7 + model.log_p(state, letter), text + letter)
-            if c.isdigit():
-                offer((state + c)[-width:], score - 6.0, text + c)
+            if letter:
+                moves = [((state + c)[-width:], score + model.log_p(state, c), c)]
                 if c == last:
-                    offer(state, score - 1.0, text)
+                    moves.append((state, score - 1.0, ""))
             else:
-                offer(state, score - (0.2 if c in " \t.-_*" else 2.5), text)
-                if state != START:
-                    offer(START, score - 1.5 + model.log_p(state, END), text + " ")
+                moves = [((state + x)[-width:], score - 0.7 + model.log_p(state, x), x) for x in LEET.get(c, "")]
+                if c.isdigit():
+                    moves.append(((state + c)[-width:], score - 6.0, c))
+                    if c == last:
+                        moves.append((state, score - 1.0, ""))
+                else:
+                    moves.append((state, score - (0.2 if c in " \t.-_*" else 2.5), ""))
+                    if state != START:
+                        moves.append((START, score - 1.5 + model.log_p(state, END), " "))
+            for target, total, piece in moves:
+                if target not in following or following[target][0] < total:
+                    following[target] = (total, (link, piece) if piece else link)
         states, last = following, c
-    ends = ((score + (model.log_p(state, END) if state != START else 0.0), text) for state, (score, text) in states.items())
-    return max(ends)[1].strip()
+    ends = {state: score + (model.log_p(state, END) if state != START else 0.0) for state, (score, _) in states.items()}
+    link = states[max(ends, key=lambda state: (ends[state], state))][1]
+    pieces = []
+    while link is not None:
+        link, piece = link
+        pieces.append(piece)
+    return "".join(reversed(pieces)).strip()
 
 
 class Restorer:
     """Restores the words of a text; equal disguises are decoded once."""
 
-    def __init__(self, model: CharModel, beam: int, known: Mapping[str, object] | None = None):
-        self.model, self.beam, self.known = model, beam, known
+    def __init__(self, model: CharModel, known: Mapping[str, object] | None = None):
+        self.model, self.known = model, known
         self.seen: dict[str, str] = {}
         self.made: dict[str, tuple[str, ...]] = {}
 
@@ -137,7 +145,7 @@ class Restorer:
         if noisy not in self.seen:
             if len(self.seen) > 100_000:
                 self.seen.clear()
-            self.seen[noisy] = decode(noisy, self.model, self.beam)
+            self.seen[noisy] = decode(noisy, self.model)
         return self.seen[noisy]
 
     def token(self, token: str) -> str:
@@ -191,7 +199,8 @@ def _counted(held: Mapping[str, int]) -> pa.RecordBatch:
 
 
 def char_model(docs: DataFrame, params: ToxicityParams) -> dict[str, int]:
-    """Counts of character n-grams in the plain words of all texts; at most ``lm_entries`` reach the driver."""
+    """Counts of character n-grams in the plain words of all texts. Only grams of a share of ``least_share`` reach the driver,
+    which bounds their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flushed(words: Counter[str]) -> pa.RecordBatch:
@@ -211,11 +220,12 @@ def char_model(docs: DataFrame, params: ToxicityParams) -> dict[str, int]:
                     words = Counter()
         yield flushed(words)
 
-    longest = docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    longest = cut_lineage(docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    total = longest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # the shorter grams end the longer ones
     ends = F.explode(F.transform(F.sequence(F.lit(1), F.lit(params.order)), lambda w: F.right("gram", w)))
     counts = longest.select(ends.alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "gram").limit(params.lm_entries).collect()
+    rows = counts.filter(F.col("n") >= total * params.least_share).collect()
     return {r["gram"]: r["n"] for r in rows}
 
 
@@ -250,11 +260,11 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     """Learn the character model from all texts and the classifier from the labelled ones."""
     context = docs.sparkSession.sparkContext
     counts = char_model(docs, params)
-    shared = context.broadcast(counts)  # at most lm_entries entries
+    shared = context.broadcast(counts)  # bounded by least_share
     labelled = cut_lineage(_labelled(docs, labels, params))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(CharModel(shared.value, params.order), params.beam)
+        restore = Restorer(CharModel(shared.value, params.order))
 
         def flushed(held: dict[str, list[int]]) -> pa.RecordBatch:
             columns = list(zip(*held.values(), strict=True)) if held else [(), ()]
@@ -293,12 +303,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     )
     chosen = (
         table.withColumn("gain", gain).filter((p > share) & (F.col("gain") >= params.least_evidence))
-        .orderBy(F.desc("gain"), "feature").limit(params.features).select("feature").collect()
+        .orderBy(F.desc("gain"), "feature").select("feature").collect()  # of the bounded sample
     )
     names = {r["feature"]: i for i, r in enumerate(chosen)}
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore = Restorer(CharModel(shared.value, params.order), params.beam, names)
+        restore = Restorer(CharModel(shared.value, params.order), names)
         for batch in batches:
             found = [sorted(names[f] for f in restore.all_features(t)) for t in _texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")], ["at", "toxic"])
@@ -327,12 +337,12 @@ def _logistic(at: list[list[int]], y: np.ndarray, width: int, prior: float, para
 
 def score(docs: DataFrame, model: ToxicityModel, out: str = "toxicity") -> DataFrame:
     """The rows of ``docs`` with the score of their whole text in column ``out`` (replaced if it exists)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by lm_entries and features
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by least_share and the sample
     rows = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        restore = Restorer(CharModel(model.counts, model.params.order), model.params.beam, model.weights)
+        restore = Restorer(CharModel(model.counts, model.params.order), model.weights)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -352,7 +362,7 @@ def restored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        restore = Restorer(CharModel(model.counts, model.params.order), model.params.beam)
+        restore = Restorer(CharModel(model.counts, model.params.order))
         for batch in batches:
             out = [None if t.as_py() is None else restore.text(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "restored"])
