@@ -32,6 +32,7 @@ class ContaminationParams:
 
 
 WORD_CHUNK = 1 << 15
+STRIPS = 1 << 12  # strips whose samples are held together
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -135,21 +136,24 @@ def candidates(hashes: list[np.ndarray], found: Signatures, params: Contaminatio
         strips = -(-lengths // stride)  # windows are two strips wide; a document's last strip may be short
         first = np.cumsum(strips) - strips
         total, width = int(strips.sum()), params.samples
-        least = np.full(total * width, np.iinfo(np.uint64).max, np.uint64)
-        # the smallest value of every bin in every strip
-        np.minimum.at(least, (first[doc] + place // stride) * width + bins, values)
-        least = least.reshape(total, width)
+        strip = first[doc] + place // stride  # ascending
         owner = np.repeat(np.arange(len(hashes)), strips)
-        if total > 1:
-            joined = least.copy()
-            same = owner[1:] == owner[:-1]
-            joined[:-1][same] = np.minimum(least[:-1][same], least[1:][same])
-            least = joined
-        keys = _keyed(least, np.broadcast_to(np.arange(width), least.shape))
-        window, _ = hits = np.nonzero(has[(keys & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
-        for w, key in zip(window.tolist(), keys[hits].tolist(), strict=True):
-            if key in lookup:
-                out[int(owner[w])].update(lookup[key])
+        for at in range(0, total, STRIPS):  # some strips at a time, and the one that the last window reaches into
+            to = min(at + STRIPS + 1, total)
+            here = slice(*np.searchsorted(strip, [at, to]))
+            least = np.full((to - at) * width, np.iinfo(np.uint64).max, np.uint64)
+            # the smallest value of every bin in every strip
+            np.minimum.at(least, (strip[here] - at) * width + bins[here], values[here])
+            least = least.reshape(to - at, width)
+            same = owner[at + 1 : to] == owner[at : to - 1]
+            joined = least[: min(STRIPS, to - at)].copy()
+            pairs = np.flatnonzero(same)
+            joined[pairs] = np.minimum(least[pairs], least[pairs + 1])
+            keys = _keyed(joined, np.broadcast_to(np.arange(width), joined.shape))
+            window, _ = hits = np.nonzero(has[(keys & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
+            for w, key in zip(window.tolist(), keys[hits].tolist(), strict=True):
+                if key in lookup:
+                    out[int(owner[at + w])].update(lookup[key])
     return out
 
 
@@ -161,7 +165,8 @@ def matches(texts: Iterator[str | None], found: Signatures, params: Contaminatio
         for i, words_of in enumerate(tokens):
             held = []
             if i in maybe:
-                runs = set(zip_runs(words_of, params.shingle))
+                asked = frozenset().union(*(found.shingles[item] for item in maybe[i]))
+                runs = asked.intersection(zip_runs(words_of, params.shingle))  # no more of a long text than the items hold
                 for item in sorted(maybe[i]):
                     wanted = found.shingles[item]
                     common = len(wanted & runs)

@@ -55,7 +55,8 @@ def _budget(tokens: Mapping[str, int], weights: Mapping[str, float], params: Mix
 def mixture(tokens: Mapping[str, int], params: MixingParams) -> tuple[float, dict[str, float], dict[str, float]]:
     """Exponent, weight of each source, and how often each is passed. ``tokens`` are positive counts.
 
-    Exponent 1 keeps the shares, 0 makes them equal. The smallest exponent within the repetition limit
+    Exponent 1 keeps the shares, 0 makes them equal; a target entropy that no exponent meets (above the logarithm of the number of
+    sources, or below that of equally large ones) gets the nearest there is. The smallest exponent within the repetition limit
     is taken, so that small sources gain as much as the limit allows.
     """
 
@@ -68,7 +69,10 @@ def mixture(tokens: Mapping[str, int], params: MixingParams) -> tuple[float, dic
         def entropy(exponent: float) -> float:
             return -math.fsum(w * math.log(w) for w in _weights(tokens, exponent).values() if w > 0)
 
-        exponent = bisect(entropy, params.entropy, 0.0, 1.0)
+        highest = 1.0  # beyond 1 large sources gain: entropies below the natural one
+        while entropy(highest) > params.entropy and highest < 1024:
+            highest *= 2
+        exponent = bisect(entropy, params.entropy, 0.0, highest)
     else:
         most = lambda exponent: max(passes(exponent).values())
         exponent = 0.0 if most(0.0) <= params.most_repeats else bisect(most, params.most_repeats, 0.0, 1.0)
@@ -121,7 +125,7 @@ def mix(docs: DataFrame, params: MixingParams = MixingParams()) -> DataFrame:
     dealt = (
         kept.withColumns({"__s": source, "mix_tokens": F.greatest(words, F.lit(1)).cast("long")})
         .join(F.broadcast(per_source), "__s")
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("__epochs") - 1)))
+        .withColumn("mix_epoch", F.explode(F.when(F.col("__epochs") > 0, F.sequence(F.lit(0), F.col("__epochs") - 1))))
         .withColumn("__h", F.md5(key))
         .withColumn("__at", F.conv(F.substring("__h", 1, 12), 16, 10).cast("long"))
         .withColumn("__bucket", F.floor(F.col("__at") * F.col("__buckets") / F.lit(float(1 << 48))))

@@ -124,7 +124,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.col("text").cast("binary")).cast("long").alias("text_crc32"),
     )
-    return shard(docs).select(
+    return shard(docs, ties=["text_crc32", "size"]).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

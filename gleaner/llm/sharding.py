@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -85,12 +86,13 @@ def walk(arcs: dict[int, int], nodes: list[tuple[int, int]], params: RingParams)
     return out
 
 
-def shard(docs: DataFrame, params: RingParams = RingParams()) -> DataFrame:
+def shard(docs: DataFrame, params: RingParams = RingParams(), ties: Sequence[str] = ("text",)) -> DataFrame:
     """The rows of ``docs`` with ``shard`` (from 0) and ``slot`` (gapless from 0 within the shard).
 
     A row's key is its doc_id; it lies on the ring at the md5 of seed and key and belongs to the next virtual node
     clockwise. Shards have a bounded load: keys that find theirs full continue clockwise. Which keys of an
-    arc stay is decided by the md5, ties by the text's md5; equal rows are interchangeable.
+    arc stay is decided by the md5, ties by the columns ``ties`` (those there are), so that a row gets the same place however the
+    table is partitioned; rows equal in all of these are interchangeable.
 
     Only counts leave the tasks: one per arc and bucket, ``shards * virtual_nodes * buckets`` at
     most, from which the walk around the ring decides ranges of ranks. Rows are ranked within their arc and
@@ -125,8 +127,8 @@ def shard(docs: DataFrame, params: RingParams = RingParams()) -> DataFrame:
             if low < high:  # ranks within the bucket, and the slot of rank 0
                 pieces.append((arc, bucket, low - begin, high - begin, to, slot + begin - first))
     table = spark.createDataFrame(pieces, "__arc int, __bucket int, __from long, __to long, shard int, __slot long")
-    text = F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")) if "text" in kept.columns else F.lit("")
-    rank = F.row_number().over(Window.partitionBy("__arc", "__bucket").orderBy("__h", text)).cast("long") - 1
+    further = [F.coalesce(F.md5(F.col(c).cast("string")), F.lit("")) for c in ties if c in kept.columns]
+    rank = F.row_number().over(Window.partitionBy("__arc", "__bucket").orderBy("__h", *further)).cast("long") - 1
     ranked = keyed.withColumn("__rank", rank)
     routes = F.broadcast(table.groupBy("__arc", "__bucket").agg(F.array_sort(F.collect_list(F.struct("__from", "__to", "shard", "__slot"))).alias("__routes")))
     found = F.filter("__routes", lambda r: (r["__from"] <= F.col("__rank")) & (F.col("__rank") < r["__to"]))[0]

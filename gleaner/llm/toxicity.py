@@ -63,7 +63,7 @@ class CharModel:
     def log_p(self, before: str, after: str) -> float:
         key = (before, after)
         if key not in self.known:
-            if len(self.known) > 500_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             value, discount = LOWEST, 0.0
             for at in range(len(before) + 1):
@@ -143,7 +143,7 @@ class Restorer:
 
     def __call__(self, noisy: str) -> str:
         if noisy not in self.seen:
-            if len(self.seen) > 100_000:
+            if len(self.seen) > 50_000:
                 self.seen.clear()
             self.seen[noisy] = decode(noisy, self.model)
         return self.seen[noisy]
@@ -164,7 +164,7 @@ class Restorer:
         """The features of a token as it stands: its words, and their first four and five letters (``lik*``),
         which inflected forms share; only those in ``known``, if it is given."""
         if token not in self.made:
-            if len(self.made) > 500_000:
+            if len(self.made) > 200_000:
                 self.made.clear()
             found: list[str] = []
             for w in self.token(token).split():
