@@ -200,48 +200,13 @@ def _promising(pairs: DataFrame, classes: DataFrame, params: NearDuplicateParams
     return sized.filter(_different_bits("odd_a", "odd_b", params) <= most_different_bits(params)).select("a", "b")
 
 
-def _cross_links(members: DataFrame, payload: DataFrame, params: NearDuplicateParams) -> DataFrame:
-    """The links ``a, b`` between members of a bucket that lie in different components.
+def _met(members: DataFrame, payload: DataFrame, fields: list[str], params: NearDuplicateParams) -> DataFrame:
+    """``band, key, left, right``: every block of a bucket's minor members with every block of all its members.
 
-    ``members`` (band, key, doc_id, component, major) holds the buckets that span several components, ``payload``
-    the sketches and sets by doc_id. Those outside a bucket's largest component meet all of its members. Both sides
-    travel in blocks of bounded count and size, and a task compares one pair of blocks: sketches first, then the
-    full sets of what is left, each pair in its first shared band only. A row leaves a task for every
-    document and component that link, so that the result grows with the links found, not with the pairs.
+    ``members`` (band, key, doc_id, component, major) holds buckets that span several components, ``payload`` the columns ``fields`` and
+    ``n_shingles`` by doc_id. Blocks are bounded in count and size.
     """
-    limit = most_different_bits(params)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                left, right = row["left"], row["right"]
-                odd = [np.frombuffer(b"".join(x["odd"] for x in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
-                bands = np.array([x["bands"] for x in right], np.int64)
-                parts = np.array([x["component"] for x in right], np.int64)
-                sets = [np.frombuffer(x["shingles"], np.uint64) for x in right]
-                sizes = np.array([len(s) for s in sets])
-                found: list[tuple[int, int]] = []
-                for i, x in enumerate(left):
-                    own = np.frombuffer(x["shingles"], np.uint64)
-                    near = (np.bitwise_count(odd[1] ^ odd[0][i]).sum(1) <= limit) & (parts != x["component"])
-                    near &= 100 * np.minimum(sizes, len(own)) >= params.similarity * np.maximum(sizes, len(own))
-                    at_right = np.flatnonzero(near)
-                    if len(at_right):
-                        at_right = at_right[(bands[at_right] == np.array(x["bands"])).argmax(1) == row["band"]]
-                    if not len(at_right):
-                        continue
-                    joined = np.concatenate([sets[j] for j in at_right])
-                    place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
-                    owner = np.repeat(np.arange(len(at_right)), sizes[at_right])
-                    common = np.bincount(owner, own[place] == joined, len(at_right))
-                    linked = at_right[100 * common >= params.similarity * (len(own) + sizes[at_right] - common)]
-                    _, one_each = np.unique(parts[linked], return_index=True)
-                    found += [(x["doc_id"], right[j]["doc_id"]) for j in linked[one_each]]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([min(f) for f in found]), pa.array([max(f) for f in found])], ["a", "b"])
-
-    # blocks are dealt on narrow rows; sketches and sets join them last and travel once
+    # blocks are dealt on narrow rows; the fields join them last and travel once
     narrow = members.select("band", "key", "doc_id", "component", "major").join(payload.select("doc_id", "n_shingles"), "doc_id")
 
     def blocks(n: Column, shingles: Column) -> Column:
@@ -262,11 +227,80 @@ def _cross_links(members: DataFrame, payload: DataFrame, params: NearDuplicatePa
     sides = dealt(sized.filter(~F.col("major")), "left_blocks", "i", "right_blocks", "j", True).unionByName(
         dealt(sized, "right_blocks", "j", "left_blocks", "i", False)
     )
-    row = F.struct("doc_id", "component", "odd", "bands", "shingles")
-    met = sides.join(payload, "doc_id").groupBy("band", "key", "i", "j").agg(
+    row = F.struct("doc_id", "component", *fields)
+    met = sides.join(payload.select("doc_id", *fields), "doc_id").groupBy("band", "key", "i", "j").agg(
         F.collect_list(F.when(F.col("is_left"), row)).alias("left"), F.collect_list(F.when(~F.col("is_left"), row)).alias("right")
     )
-    return met.select("band", "left", "right").mapInArrow(run, "a long, b long").distinct()
+    return met.select("band", "key", "left", "right")
+
+
+def _near_in_block(row: dict, sizes: np.ndarray, params: NearDuplicateParams) -> Iterator[tuple[int, np.ndarray]]:
+    """For every document on the left, its place and those of the documents on the right that lie in other components, look
+    similar enough by size and sketch, and share no earlier band."""
+    left, right = row["left"], row["right"]
+    limit = most_different_bits(params)
+    odd = [np.frombuffer(b"".join(x["odd"] for x in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
+    bands = np.array([x["bands"] for x in right], np.int64)
+    parts = np.array([x["component"] for x in right], np.int64)
+    for i, x in enumerate(left):
+        own = x["n_shingles"]
+        near = (np.bitwise_count(odd[1] ^ odd[0][i]).sum(1) <= limit) & (parts != x["component"])
+        near &= 100 * np.minimum(sizes, own) >= params.similarity * np.maximum(sizes, own)
+        at_right = np.flatnonzero(near)
+        if len(at_right):
+            at_right = at_right[(bands[at_right] == np.array(x["bands"])).argmax(1) == row["band"]]
+        if len(at_right):
+            yield i, at_right
+
+
+def _cross_links(members: DataFrame, payload: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """The links ``a, b`` between members of a bucket that lie in different components.
+
+    Those outside a bucket's largest component meet all of its members, block by block: first by their sketches, which tells the few
+    documents of a bucket that look similar at all; then these by their full sets, each pair in its first shared band only. A row leaves a
+    task for every document that looks similar, then for every document and component that link, so that
+    neither result grows with the pairs.
+    """
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                sizes = np.array([x["n_shingles"] for x in row["right"]])
+                found: set[int] = set()
+                for i, at_right in _near_in_block(row, sizes, params):
+                    found.add(row["left"][i]["doc_id"])
+                    found.update(row["right"][j]["doc_id"] for j in at_right)
+                if found:
+                    n = len(found)
+                    yield pa.RecordBatch.from_arrays([pa.array([row["band"]] * n, pa.int32()), pa.array([row["key"]] * n, pa.int64()), pa.array(sorted(found))], ["band", "key", "doc_id"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                left, right = row["left"], row["right"]
+                parts = np.array([x["component"] for x in right], np.int64)
+                sets = [np.frombuffer(x["shingles"], np.uint64) for x in right]
+                sizes = np.array([len(s) for s in sets])
+                found: list[tuple[int, int]] = []
+                for i, at_right in _near_in_block(row, sizes, params):
+                    own = np.frombuffer(left[i]["shingles"], np.uint64)
+                    joined = np.concatenate([sets[j] for j in at_right])
+                    place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+                    owner = np.repeat(np.arange(len(at_right)), sizes[at_right])
+                    common = np.bincount(owner, own[place] == joined, len(at_right))
+                    linked = at_right[100 * common >= params.similarity * (len(own) + sizes[at_right] - common)]
+                    _, one_each = np.unique(parts[linked], return_index=True)
+                    found += [(left[i]["doc_id"], right[j]["doc_id"]) for j in linked[one_each]]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(f) for f in found]), pa.array([max(f) for f in found])], ["a", "b"])
+
+    looks = _met(members, payload, ["n_shingles", "odd", "bands"], params).mapInArrow(promising, "band int, key long, doc_id long")
+    looks = cut_lineage(looks.distinct())
+    few = cut_lineage(members.join(looks, ["band", "key", "doc_id"], "left_semi"))
+    met = _met(few, payload, ["n_shingles", "odd", "bands", "shingles"], params)
+    return met.mapInArrow(linked, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
