@@ -33,7 +33,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 # Near duplicates share four fifths of their five-word shingles. A pair at that limit is missed with probability 3e-6.
-NEAR = NearDuplicateParams(shingle=5, similarity=80, bands=24, rows=4, slack=0.25)
+NEAR = NearDuplicateParams(shingle=5, similarity=80, bands=24, rows=4, slack=0.25, hub_rounds=0)
 
 
 def with_text_ids(docs: DataFrame) -> DataFrame:
