@@ -9,7 +9,9 @@ and nothing else; reading them back takes the last word per row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +21,7 @@ from ..operators.chunks import chunk_records
 from ..operators.ledger import refresh_table
 from ..operators.ordered import with_previous
 from ..operators.shape import result_envelope
+from ..session import cut_lineage
 
 
 def _run(stream: DataFrame, checkpoint: str, format: str, path: str) -> StreamingQuery:
@@ -84,21 +87,71 @@ def latest_progress(spark: SparkSession, path: str) -> DataFrame:
     return saved.groupBy("window_start").agg(F.max_by(row, "batch").alias("r")).select("window_start", "r.*")
 
 
-def stream_refresh(responses: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Land results for a refresh: appended only, one folder per micro-batch. Nothing is rewritten,
-    whatever the size of the table they refresh; see ``refreshed``."""
+BUCKETS = 16  # of a result table: more for a larger one, a bucket is rewritten whole
+
+
+def _heads(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """The newest version of every bucket (of the versions below ``before``): one row per bucket and batch is read."""
+    try:
+        heads = spark.read.parquet(f"{path}/heads")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}  # nothing has been landed
+    known = heads if before is None else heads.filter(F.col("version") < before)
+    return {r["bucket"]: r["version"] for r in known.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+
+
+def _versions(spark: SparkSession, path: str, heads: dict[int, int]) -> DataFrame | None:
+    """The results in the given versions: the filter is on folders, so that no others are read."""
+    if not heads:
+        return None
+    chosen = reduce(lambda a, b: a | b, [(F.col("version") == v) & (F.col("bucket") == b) for b, v in heads.items()])
+    return spark.read.parquet(f"{path}/data").filter(chosen).select("input", "index", "body")
+
+
+def _latest(results: DataFrame) -> DataFrame:
+    return results.groupBy("input").agg(F.max_by(F.struct("index", "body"), "index").alias("r")).select("input", "r.*")
+
+
+def stream_refresh(responses: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Land results for a refresh in a table of buckets by the hash of the input; see ``refreshed``.
+
+    A micro-batch keeps the last good result per input, merges it with the newest version of the buckets it touches (the largest ``index``
+    wins, in whatever order results arrive) and writes these as a version of its own, then lists them as heads. Other buckets are
+    neither read nor written. A replayed batch reads the same older versions and overwrites its own.
+    """
 
     def save(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(_version(path, batch))
+        spark = rows.sparkSession
+        good = rows.filter(~F.col("skipped") & F.col("error").isNull() & (F.octet_length(F.col("body").cast("binary")) > 0))
+        fresh = _latest(good.select("input", F.col("index").cast("long").alias("index"), F.col("body").cast("string").alias("body")))
+        dealt = cut_lineage(fresh.withColumn("bucket", F.pmod(F.xxhash64("input"), F.lit(buckets)).cast("int")))
+        touched = {r["bucket"] for r in dealt.select("bucket").distinct().collect()}
+        if not touched:
+            return
+        older = _versions(spark, path, {b: v for b, v in _heads(spark, path, batch).items() if b in touched})
+        merged = dealt.drop("bucket") if older is None else _latest(dealt.drop("bucket").unionByName(older))
+        placed = merged.withColumn("bucket", F.pmod(F.xxhash64("input"), F.lit(buckets)).cast("int"))
+        placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={batch}")
+        dealt.select("bucket").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/heads/version={batch}")
 
     writer = responses.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+def current_results(spark: SparkSession, path: str) -> DataFrame:
+    """The last good result of every input, as responses: one version of each bucket is read."""
+    found = _versions(spark, path, _heads(spark, path))
+    if found is None:
+        found = spark.createDataFrame([], "input string, index long, body string")
+    return found.withColumns({"skipped": F.lit(False), "error": F.lit(None).cast("string")})
+
+
 def refreshed(table: DataFrame, key: str, path: str, columns: Sequence[str]) -> DataFrame:
     """The table with the landed results merged in: per input the one with the largest ``index``, in
     whatever order and batch the results arrived. ``columns`` names the columns that results may add."""
-    landed = table.sparkSession.read.parquet(path).drop("batch")
+    landed = current_results(table.sparkSession, path)
     missing = [c for c in columns if c not in table.columns]
     widened = table.withColumns({c: F.lit("") for c in missing}) if missing else table
     return refresh_table(widened, key, landed, [], columns)
