@@ -178,14 +178,16 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(flat, np.float64).reshape(-1, dim)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
+def usable(vectors: DataFrame, dim: int | None = None) -> DataFrame:
     """``vec_id, embedding`` (doubles) of the rows that take part: id not null, vector neither null nor zero,
-    every component finite, of the most frequent length (ties: the longest)."""
+    every component finite, of length ``dim`` (by default the most frequent length, of equally frequent ones the longest)."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(
         F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & good & F.exists("embedding", lambda x: x != 0)
     )
+    if dim is not None:
+        return rows.filter(F.size("embedding") == dim)
     lengths = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
     dim = lengths[0]["dim"] if lengths else 0
     return rows.filter(F.size("embedding") == dim)
@@ -229,7 +231,7 @@ def search(vectors: DataFrame, queries: DataFrame, params: NeighbourParams = Nei
 
     routed_type = "vec_id long, embedding array<double>, parts array<int>"
     filed = points.mapInArrow(route, routed_type).select("vec_id", "embedding", F.col("parts")[0].alias("part"))
-    asking = usable(queries).filter(F.size("embedding") == dim).mapInArrow(route, routed_type).select(
+    asking = usable(queries, dim).mapInArrow(route, routed_type).select(
         F.col("vec_id").alias("query_id"), "embedding", F.explode("parts").alias("part")
     )
     # one row per partition

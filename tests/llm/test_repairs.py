@@ -47,3 +47,17 @@ def test_items_in_a_very_long_text():
     ((_, held),) = decontamination.matches(iter([" ".join(text)]), found, params)
     assert {found.ids[item] for item, _, _ in held} == {1, 2, 4}
     assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 500
+
+
+def test_neighbours_of_queries_of_many_lengths(spark):
+    """What most queries look like does not decide which of them are answered."""
+    from gleaner.llm.neighbours import search
+
+    rng = random.Random(1)
+    vectors = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(40)]
+    asked = [(100, [1.0] * 6), (101, [1.0, 2.0]), (102, [2.0, 1.0]), (103, [3.0, 1.0])]
+    kind = "vec_id long, embedding array<double>"
+    got = search(spark.createDataFrame(vectors, kind), spark.createDataFrame(asked, kind)).collect()
+    want = sorted(vectors, key=lambda r: (-sum(r[1]), r[0]))[:20]
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [i for i, _ in want]
+    assert {r["query_id"] for r in got} == {100}
