@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.jsontext import strict_json
 from ..functions.text import decode_lossy, split_lines
 from ..session import cut_lineage
-from .rows import explode_rows
+from .rows import explode_rows, spread_small
 from .shred import shred
 from .steps import Path, value_json, value_text
 from .variant_paths import parsed, resolve_json
@@ -370,7 +370,7 @@ def result_envelope(responses: DataFrame) -> DataFrame:
 
 
 def _resolved_fields(responses: DataFrame, fields: Mapping[str, Path]) -> tuple[DataFrame, list[str]]:
-    df, parts = parsed(responses.filter(~F.col("skipped")), "body"), []
+    df, parts = parsed(spread_small(responses).filter(~F.col("skipped")), "body"), []
     for i, expression in enumerate(fields.values()):
         df = resolve_json(df, expression, f"__f{i}")
         parts.append(f"__f{i}")
