@@ -27,10 +27,19 @@ def is_json(text: Column) -> Column:
     return strict_json(text).isNotNull()
 
 
+def _lines(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(BYTE_WHITESPACE))), lambda x: x != "")
+
+
 def is_ndjson(text: Column) -> Column:
     """Two or more lines that are not blank, each of them JSON."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(BYTE_WHITESPACE))), lambda x: x != "")
-    return (F.size(lines) >= 2) & F.forall(lines, lambda x: strict_json(x).isNotNull())
+    return (F.size(_lines(text)) >= 2) & F.forall(_lines(text), lambda x: strict_json(x).isNotNull())
+
+
+def ndjson_list(body: Column) -> Column:
+    """The lines of an NDJSON payload as one JSON list, which paths and records read like any other; null for other payloads."""
+    text = decode_lossy(body)
+    return F.when(is_ndjson(text), F.concat(F.lit("["), F.array_join(_lines(text), ","), F.lit("]")))
 
 
 def is_xml(text: Column) -> Column:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.formats import ndjson_list
 from ..functions.text import matches, split_lines
 from ..operators import markdown, steps, variant_paths
 from ..operators.catalog import corpus_schema, node_paths
 from ..operators.links import unwrap_envelope
+from ..operators.rows import spread_small
 from ..operators.shred import explode_nodes, shred
 from ..operators.steps import Path, path
 from .base import ORDER_DOCS_SQL, order_documents, query, table
@@ -57,10 +59,11 @@ def shred_ndjson(spark, sf):
         "event_id",
         """concat(props, '\\n\\n  {"kind": "', event_type, '"}\\n', if(event_id % 10 = 0, '{broken', '')) as body""",
     )
-    trees = shred(lines, "body", "ndjson")
-    df = steps.resolve(steps.resolve(trees, path("k"), "k"), path("kind"), "kind")
+    lists = variant_paths.parsed(spread_small(lines).withColumn("list", ndjson_list(F.col("body"))), "list")
+    df = variant_paths.resolve_json(variant_paths.resolve_json(lists, path("k"), "k"), path("kind"), "kind")
     value = lambda c: F.expr(f"get({c}.items, 0).text")
-    return df.select("event_id", "tree.format", value("k").cast("long").alias("k"), value("kind").alias("kind"))
+    format_ = F.when(F.col("list").isNotNull(), "ndjson").alias("format")
+    return df.select("event_id", format_, value("k").cast("long").alias("k"), value("kind").alias("kind"))
 
 
 @query(

@@ -28,3 +28,12 @@ def test_strict_json(spark):
     df = spark.createDataFrame([(t, ok) for t, ok in texts.items()], "t string, ok boolean")
     df = df.withColumns({"x": strict_json(F.col("t")).isNotNull(), "y": F.expr(f"{strict_json_sql('t')} is not null")})
     assert df.filter("x != ok or y != ok").collect() == []
+
+
+def test_ndjson_list(spark):
+    from gleaner.functions.formats import ndjson_list
+
+    texts = {'{"a": 1}\n\n  [2, 3]\r\n"x"\n': '[{"a": 1},[2, 3],"x"]', '{"a": 1}': None, '{"a": 1}\n{bad': None, "": None, '{"a": 1} 2\n3': None}
+    df = spark.createDataFrame([(t, w) for t, w in texts.items()], "t string, want string")
+    assert df.filter(~ndjson_list(F.col("t")).eqNullSafe(F.col("want"))).collect() == []
+    assert spark.createDataFrame([(None,)], "t string").select(ndjson_list(F.col("t")).alias("l")).first().l is None
