@@ -1,6 +1,6 @@
-"""Small payload parsers used by the shredding job: bytes in, one tree value out.
+"""Payload readers of the shredding job: bytes in, one tree value (dict, list or scalar) out.
 
-A tree value is a dict, a list or a scalar. Only standard-library parsers are used.
+A reader raises ``ValueError`` for a payload that is not of its format.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import io
 import re
 import xml.etree.ElementTree as ET
 from html.parser import HTMLParser
-from itertools import groupby
+from itertools import chain, count, repeat
 from typing import Any
 
 from . import deepjson
@@ -36,21 +36,99 @@ CLOSED_BY_START = {
 }
 SCOPE_TAGS = frozenset({"table", "ul", "ol", "dl", "select", "html", "body"})
 
-MAX_COLUMN_NAME = 60  # longer "column names" are prose
+# Fixed values of the detection: how an XML payload announces itself and how far that is looked for, how long a
+# column name may be, where a Markdown heading has to show up (bytes, and lines), and the names in records.
+XML_MARKS = (b"<?xml", b"<rss", b"<feed")
+XML_WINDOW = 200
+MAX_COLUMN_NAME = 60
+MARKDOWN_WINDOW = 1000
+HEADING_LINES = 100
+TEXT, LOOSE, TABLES = "text", "tail_text", "tables"
+
+
+class _Element:
+    """An element that is still open: its record so far, and where text that comes now belongs."""
+
+    __slots__ = ("tag", "record", "own", "takes")
+
+    def __init__(self, tag: str, attributes: dict[str, str]) -> None:
+        self.tag = tag
+        self.record: dict[str, Any] = dict(attributes)
+        self.own = ""
+        self.takes: str | None = TEXT
+
+    def put(self, name: str, value: Any, first: Any) -> None:
+        """Enter a value under a name; a name that comes again holds a list."""
+        if name not in self.record:
+            self.record[name] = first
+        elif isinstance(self.record[name], list):
+            self.record[name].append(value)
+        else:
+            self.record[name] = [self.record[name], value]
+
+
+class _Values:
+    """Makes values out of markup events as elements end, without a tree of elements and without recursion.
 
+    An element's value is its text if there is nothing else, ``""`` if it is empty, else a record: attributes, children by
+    tag (repeats as a list), text after children in ``tail_text`` and text before them in ``text``. Comments are left out together
+    with the text up to the next element.
+    """
 
-class _HtmlTree(HTMLParser):
-    """Builds an element tree; unclosed elements end where HTML implies it."""
+    def __init__(self) -> None:
+        self.open = [_Element("", {})]
+        self.words: list[str] = []
+        self.top: list[tuple[str, Any]] = []  # the outermost elements
+
+    def _settle(self) -> _Element:
+        """Give the text read since the last event to the innermost open element."""
+        element, words = self.open[-1], "".join(self.words).strip()
+        self.words.clear()
+        if words and element.takes == TEXT:
+            element.own = words
+        elif words and element.takes == LOOSE:
+            element.put(LOOSE, words, [words])
+        return element
+
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        self._settle()
+        self.open.append(_Element(tag, attributes))
+
+    def data(self, text: str) -> None:
+        self.words.append(text)
+
+    def comment(self, _text: str) -> None:
+        self._settle().takes = None
+
+    def pi(self, _target: str, _text: str | None = None) -> None:
+        self._settle().takes = None
+
+    def end(self, _tag: str) -> None:
+        value, tag, outer = self.close(), self.open.pop().tag, self.open[-1]
+        outer.put(tag, value, value)
+        outer.takes = LOOSE
+        if len(self.open) == 1:
+            self.top.append((tag, value))
+
+    def close(self) -> Any:
+        """The value of the innermost open element."""
+        element = self._settle()
+        if element.own:
+            element.record[TEXT] = element.own
+        return element.own if element.record.keys() <= {TEXT} else element.record
+
+
+class _HtmlEvents(HTMLParser):
+    """Passes on balanced events; unclosed elements end where HTML implies it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.builder = ET.TreeBuilder(insert_comments=True)
-        self.builder.start("#root", {})
+        self.values = _Values()
         self.open: list[str] = []
 
     def _close_down_to(self, index: int) -> None:
         while len(self.open) > index:
-            self.builder.end(self.open.pop())
+            self.values.end(self.open.pop())
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         ends = CLOSED_BY_START.get(tag, ())
@@ -63,9 +141,9 @@ class _HtmlTree(HTMLParser):
         named: dict[str, str] = {}
         for name, value in attrs:
             named.setdefault(name, value or "")
-        self.builder.start(tag, named)
+        self.values.start(tag, named)
         if tag in VOID_TAGS:
-            self.builder.end(tag)
+            self.values.end(tag)
         else:
             self.open.append(tag)
 
@@ -79,215 +157,150 @@ class _HtmlTree(HTMLParser):
             self._close_down_to(len(self.open) - 1 - self.open[::-1].index(tag))
 
     def handle_data(self, data: str) -> None:
-        self.builder.data(data)
+        self.values.data(data)
 
     def handle_comment(self, data: str) -> None:
-        self.builder.comment(data)
+        self.values.comment(data)
 
-    def tree(self) -> ET.Element | None:
+    def value(self) -> Any:
+        """The ``html`` element, else the only outermost one, else a record of all of these."""
         self.close()
         self._close_down_to(0)
-        self.builder.end("#root")
-        root = self.builder.close()
-        elements = [child for child in root if isinstance(child.tag, str)]
-        if not elements:
-            return None
-        for child in elements:
-            if child.tag == "html":
-                return child
-        return elements[0] if len(elements) == 1 else root
-
-
-def _element_value(element: ET.Element) -> Any:
-    """Attributes, then children by tag (repeats become lists), loose text, own text.
-
-    A text-only element is its text, an empty one is ``""``. Comments are left out
-    together with the text that follows them.
-    """
-    record: dict[str, Any] = dict(element.attrib)
-    for child in element:
-        if not isinstance(child.tag, str):
-            continue
-        value = _element_value(child)
-        earlier = record.get(child.tag)
-        if child.tag not in record:
-            record[child.tag] = value
-        elif isinstance(earlier, list):
-            earlier.append(value)
-        else:
-            record[child.tag] = [earlier, value]
-        loose = (child.tail or "").strip()
-        if loose:
-            record.setdefault("tail_text", []).append(loose)
-    own = (element.text or "").strip()
-    if own:
-        record["text"] = own
-    return own if not record or set(record) == {"text"} else record
-
-
-def parse_html(text: str) -> Any:
-    parser = _HtmlTree()
-    parser.feed(text)
-    root = parser.tree()
-    return None if root is None else _element_value(root)
-
-
-def parse_xml(body: bytes) -> Any:
-    """``None`` when the markup is malformed."""
-    builder = ET.TreeBuilder(insert_comments=True, insert_pis=True)
-    try:
-        return _element_value(ET.fromstring(body, parser=ET.XMLParser(target=builder)))
-    except (ET.ParseError, ValueError, LookupError):
-        return None
-
-
-def parse_csv(text: str) -> list[dict] | None:
-    """Rows by column name; ``None`` unless there are two short-named columns and a row."""
-    try:
-        rows = list(csv.DictReader(io.StringIO(text)))
-    except csv.Error:
-        return None
-    names = list(rows[0]) if rows else []
-    if len(names) < 2 or any(name is None or len(name) > MAX_COLUMN_NAME for name in names):
-        return None
-    return rows
-
-
-def parse_ndjson(text: str) -> list | None:
-    """All-or-nothing: two or more non-blank lines, each of them JSON."""
-    lines = [line for line in map(str.strip, text.strip().split("\n")) if line]
-    if len(lines) < 2:
-        return None
-    try:
-        return [deepjson.loads(line) for line in lines]
-    except ValueError:
-        return None
+        top = self.values.top
+        chosen = [value for tag, value in top if tag == "html"] or [value for _, value in top]
+        if not chosen:
+            raise ValueError("no element")
+        return chosen[0] if len(top) == 1 or "html" in dict(top) else self.values.close()
 
 
-_ATX = re.compile(r"(#{1,6})\s+(.*)")
-_ATX_START = re.compile(r"#{1,6}\s")
-_UNDERLINE = re.compile(r"([=-])\1{2,}\s*$")
-_ANY_UNDERLINE = re.compile(r"[=-]{3,}\s*$")
-_RULE_CELL = re.compile(r":?-+:?$")
-HEADING_WINDOW = 100  # a heading must show up in the first lines
+def read_html(text: str) -> Any:
+    events = _HtmlEvents()
+    events.feed(text)
+    return events.value()
 
 
-def _cells(line: str) -> list[str]:
-    return [cell.strip() for cell in line.strip("|").split("|")]
-
-
-def _table_rows(lines: list[str]) -> list[dict[str, str]]:
-    """Rows of a pipe table; none if the run of lines is not a table."""
-    if len(lines) < 3:
-        return []
-    names = [name for name in _cells(lines[0]) if name]
-    if not names or not all(_RULE_CELL.match(cell) for cell in _cells(lines[1]) if cell):
-        return []
-    return [dict(zip(names, _cells(line) + [""] * len(names))) for line in lines[2:]]
-
-
-def _markdown_blocks(lines: list[str]):
-    """(kind, level, text) per line; a heading underline is taken with its title."""
-    at = 0
-    while at < len(lines):
-        line, bare = lines[at], lines[at].strip()
-        rule = _UNDERLINE.match(lines[at + 1]) if bare and at + 1 < len(lines) else None
-        if rule and (rule[1] == "=" or not bare.startswith("|")):
-            yield "heading", 1 if rule[1] == "=" else 2, bare
-            at += 2
-            continue
-        atx = _ATX.match(line)
-        if atx:
-            yield "heading", len(atx[1]), atx[2].strip()
-        elif bare.startswith("|") and "|" in bare[1:]:
-            yield "table", 0, line
-        else:
-            yield "text", 0, line
-        at += 1
-
-
-def parse_markdown(text: str) -> dict | None:
-    """Sections nested by heading level, with ``text`` and ``tables`` inside."""
-    lines = text.split("\n")
-    if not any(_ATX_START.match(x) or _ANY_UNDERLINE.match(x) for x in lines[:HEADING_WINDOW]):
-        return None
-    root: dict[str, Any] = {}
-    path: list[tuple[int, dict[str, Any]]] = [(0, root)]
-    for kind, run in groupby(_markdown_blocks(lines), key=lambda block: block[0]):
-        if kind == "heading":
-            for _, level, title in run:
-                path = [path[0]] + [step for step in path[1:] if step[0] < level]
-                parent, name, copy = path[-1][1], title, 1
-                while name in parent:
-                    copy += 1
-                    name = f"{title} ({copy})"
-                parent[name] = {}
-                path.append((level, parent[name]))
-            continue
-        here, content = path[-1][1], [line for _, _, line in run]
-        if kind == "table":
-            rows = _table_rows(content)
-            if rows:
-                here["tables"] = here.get("tables", []) + rows
-        else:
-            words = "\n".join(content).strip()
-            if words:
-                here["text"] = f"{here['text']}\n{words}" if "text" in here else words
-    return root or None
-
+def read_xml(body: bytes) -> Any:
+    values = _Values()
+    reader = ET.XMLParser(target=values)
+    try:
+        reader.feed(body)
+        reader.close()
+    except (ET.ParseError, LookupError) as error:
+        raise ValueError("malformed markup") from error
+    return values.top[0][1]
 
-_MD_ATX_LINE = re.compile(r"^#{1,6}\s", re.MULTILINE)
-_MD_SETEXT_LINE = re.compile(r"^.+\n={3,}\s*$", re.MULTILINE)
-_XML_MARKS = (b"<?xml", b"<rss", b"<feed")
 
+def read_csv(text: str) -> list[dict]:
+    """Records by column name: two different short names or more, and a first record no longer than the header.
 
-def _json_or_none(text: str) -> tuple[bool, Any]:
+    What later records hold beyond the header stands under the name null; cells that a record lacks are null.
+    """
     try:
-        return True, deepjson.loads(text)
-    except ValueError:
-        return False, None
-
-
-def _attempts(body: bytes):
-    """(format, thunk) in the order in which auto-detection tries them."""
-    bare = body.lstrip()
-    text = body.decode("utf-8", "replace")
-    if bare[:1] in (b"{", b"["):
-        yield "json", lambda: _json_or_none(text)
-        yield "ndjson", lambda: ((rows := parse_ndjson(text)) is not None, rows)
-    if bare[:1] == b"<":
-        if any(mark in bare[:200].lower() for mark in _XML_MARKS):
-            yield "xml", lambda: ((tree := parse_xml(body)) is not None, tree)
-        yield "html", lambda: ((tree := parse_html(text)) is not None, tree)
-    if b"," in bare and b"\n" in bare:
-        yield "csv", lambda: ((rows := parse_csv(text)) is not None, rows)
-    opening = bare[:1000].decode("utf-8", "replace")
-    if _MD_ATX_LINE.search(opening) or _MD_SETEXT_LINE.search(opening):
-        yield "markdown", lambda: ((tree := parse_markdown(text)) is not None, tree)
-    yield "text", lambda: (True, text.splitlines())
-
-
-_FORCED = {
-    "json": lambda body, text: _json_or_none(text),
-    "ndjson": lambda body, text: ((v := parse_ndjson(text)) is not None, v),
-    "xml": lambda body, text: ((v := parse_xml(body)) is not None, v),
-    "html": lambda body, text: ((v := parse_html(text)) is not None, v),
-    "csv": lambda body, text: ((v := parse_csv(text)) is not None, v),
-    "markdown": lambda body, text: ((v := parse_markdown(text)) is not None, v),
-    "text": lambda body, text: (True, text.splitlines()),
+        header, *records = csv.reader(io.StringIO(text))
+    except csv.Error as error:
+        raise ValueError("broken quoting") from error
+    records = [record for record in records if record]
+    width, names = len(header), set(header)
+    if not records or len(records[0]) > width or len(names) < 2 or max(map(len, names)) > MAX_COLUMN_NAME:
+        raise ValueError("no table")
+    named = (dict(zip(header, chain(record, repeat(None)))) for record in records)
+    return [row | {None: record[width:]} if len(record) > width else row for row, record in zip(named, records)]
+
+
+def read_ndjson(text: str) -> list:
+    """JSON values on lines of their own, at least two."""
+    values = [deepjson.loads(bare) for bare in map(str.strip, text.split("\n")) if bare]
+    if len(values) < 2:
+        raise ValueError("a single line")
+    return values
+
+
+# Markdown is cut by patterns over the whole text, with a line end put before it. In these, [^\S\n] is a blank inside a line.
+_HEADING = re.compile(
+    r"""\n(?: [^\S\n]* (?P<first>\S.*)       \n ={3,} [^\S\n]* $
+            | [^\S\n]* (?P<second>[^\s|].*)  \n -{3,} [^\S\n]* $
+            | (?P<marks>[#]{1,6}) [^\S\n]+ (?P<title>.*) )""",
+    re.MULTILINE | re.VERBOSE,
+)
+_TABLE = re.compile(r"(\n[^\S\n]*\|[^|\n]*\|.*(?:\n[^\S\n]*\|[^|\n]*\|.*)*)")
+_BAR = re.compile(r"\s*\|\s*")
+_RULE_CELL = re.compile(r":?-+:?")
+_FIRST_LINES = re.compile(r"(?:.*\n){0,%d}.*" % (HEADING_LINES - 1))
+_HEADING_SIGN = re.compile(r"^(?:#{1,6}[^\S\n]|[=-]{3,}[^\S\n]*$)", re.MULTILINE)
+_OPENING_SIGN = re.compile(r"^#{1,6}\s|^.+\n={3,}\s*$", re.MULTILINE)
+
+
+def _table_records(table: str) -> list[dict[str, str]]:
+    """A header, a rule and records; anything else between bars holds none."""
+    rows = [_BAR.split(line.strip("|").strip()) for line in table.split("\n")[1:]]
+    if len(rows) < 3:
+        return []
+    names = list(filter(None, rows[0]))
+    ruled = all(map(_RULE_CELL.fullmatch, filter(None, rows[1])))
+    return [dict(zip(names, chain(row, repeat("")))) for row in rows[2:]] if names and ruled else []
+
+
+def _section(body: str) -> dict[str, Any]:
+    """What stands between two headings: words and records of tables, whichever comes first."""
+    section: dict[str, Any] = {}
+    for place, part in enumerate(_TABLE.split(body)):
+        name, found = (TABLES, _table_records(part)) if place % 2 else (TEXT, list(filter(None, [part.strip()])))
+        if found:
+            section.setdefault(name, []).extend(found)
+    if TEXT in section:
+        section[TEXT] = "\n".join(section[TEXT])
+    return section
+
+
+def read_markdown(text: str) -> dict:
+    """Sections by title, each inside the nearest one of a higher level; titles that repeat are numbered."""
+    if not _HEADING_SIGN.search(_FIRST_LINES.match(text)[0]):
+        raise ValueError("no heading near the top")
+    text = f"\n{text}"
+    headings = list(_HEADING.finditer(text))
+    ends = [heading.start() for heading in headings] + [len(text)]
+    root = _section(text[: ends[0]])
+    outline = {0: root}  # the open section of each level
+    numbers: dict[tuple[int, str], Any] = {}
+    for heading, end in zip(headings, ends[1:]):
+        level = len(heading["marks"] or "") or (1 if heading["first"] else 2)
+        title = (heading["first"] or heading["second"] or heading["title"]).strip()
+        outline = {upper: section for upper, section in outline.items() if upper < level}
+        parent = outline[max(outline)]
+        tried = numbers.setdefault((id(parent), title), chain([title], (f"{title} ({n})" for n in count(2))))
+        outline[level] = parent[next(name for name in tried if name not in parent)] = _section(text[heading.end() : end])
+    if not root:
+        raise ValueError("nothing in it")
+    return root
+
+
+def _lossy(body: bytes) -> str:
+    return body.decode("utf-8", "replace")
+
+
+# In the order in which they are tried: whether a payload, without blanks in front, looks like the format, and its reader.
+READERS = {
+    "json": (lambda bare: bare[:1] in b"{[", lambda body: deepjson.loads(_lossy(body))),
+    "ndjson": (lambda bare: bare[:1] in b"{[", lambda body: read_ndjson(_lossy(body))),
+    "xml": (lambda bare: bare[:1] == b"<" and any(mark in bare[:XML_WINDOW].lower() for mark in XML_MARKS), read_xml),
+    "html": (lambda bare: bare[:1] == b"<", lambda body: read_html(_lossy(body))),
+    "csv": (lambda bare: b"," in bare and b"\n" in bare, lambda body: read_csv(_lossy(body))),
+    "markdown": (lambda bare: _OPENING_SIGN.search(_lossy(bare[:MARKDOWN_WINDOW])), lambda body: read_markdown(_lossy(body))),
+    "text": (lambda bare: True, lambda body: _lossy(body).splitlines()),
 }
-FORMATS = tuple(_FORCED)
+FORMATS = tuple(READERS)
 
 
 def parse_payload(body: bytes | None, forced: str | None = None) -> tuple[str | None, Any]:
     """(format, tree); the format is ``None`` for a blank or, if forced, unparsable body."""
-    if body is None or not body.strip():
+    bare = body.lstrip() if body else b""
+    if not bare:
         return None, None
-    if forced is not None:
-        ok, tree = _FORCED[forced](body, body.decode("utf-8", "replace"))
-        return (forced, tree) if ok else (None, None)
-    for name, attempt in _attempts(body):
-        ok, tree = attempt()
-        if ok:
-            return name, tree
+    for name in FORMATS if forced is None else [forced]:
+        like, read = READERS[name]
+        if forced or like(bare):
+            try:
+                return name, read(body)
+            except ValueError:
+                continue
     return None, None
