@@ -20,6 +20,16 @@ def _side(urls: DataFrame, count: int) -> DataFrame:
     return F.broadcast(urls) if count <= BROADCAST_URLS else urls
 
 
+def _unseen(found: DataFrame, seen: DataFrame) -> DataFrame:
+    """The rows of ``found`` whose ``key`` is not in ``seen``, which stays in place if the rows found are few."""
+    count = found.count()
+    before = seen.select(F.col("key").alias("__key"))
+    same = F.col("key").eqNullSafe(F.col("__key"))
+    if count <= BROADCAST_URLS:
+        before = before.join(F.broadcast(found.select("key")), same, "left_semi")  # no more than were found
+    return found.join(_side(before, count), same, "left_anti")
+
+
 def crawl_frontier(
     links: DataFrame,
     seeds: DataFrame,
@@ -36,9 +46,9 @@ def crawl_frontier(
 
     The links are normalised and deduplicated once. Every round joins the new URLs only: while they
     are few (they are counted) they go to the links, which then stay in place; a larger frontier is
-    a shuffle join, where the adaptive planner splits hub pages. One row per target is kept
-    before the result meets the URLs seen so far, in one shuffle; a checkpoint cuts the lineage, so that neither plan nor
-    recovery grows with the depth.
+    a shuffle join, where the adaptive planner splits hub pages. One row per target is kept, and while the targets are
+    few, too, they go to the URLs seen so far: such a round shuffles the links of its frontier and nothing else.
+    A checkpoint cuts the lineage, so that neither plan nor recovery grows with the depth.
     """
     edges = cut_lineage(
         spread_small(links).select(
@@ -70,16 +80,9 @@ def crawl_frontier(
         depth += 1
         frontier = level.select(F.col("key").alias("src_key"), F.col("rank").alias("__parent"))
         first = F.struct("__parent", F.col("via.ord").cast("long").alias("__ord"), F.col("via.url").alias("url"))
-        found = edges.join(_side(frontier, size), "src_key").select("key", first.alias("first"), F.lit(False).alias("seen"))
-        # new and seen URLs meet in one shuffle: a URL that was seen before drops out of its group
-        before = seen.select("key", F.lit(None).cast(found.schema["first"].dataType).alias("first"), F.lit(True).alias("seen"))
-        reached = (
-            found.unionByName(before)
-            .groupBy("key")
-            .agg(F.min("first").alias("first"), F.max("seen").alias("seen"))
-            .filter("not seen")
-            .select("key", "first.*")
-        )
+        links_out = edges.join(_side(frontier, size), "src_key").select("key", first.alias("first"))
+        found = cut_lineage(links_out.groupBy("key").agg(F.min("first").alias("first")))
+        reached = _unseen(found, seen).select("key", "first.*")
         level = as_level(reached, depth)
         size = level.count()
         levels.append(level)

@@ -142,6 +142,21 @@ def test_crawl_against_brute_force(spark, monkeypatch):
         assert [r.key for r in crawl.cap_pages(walked, 5).orderBy("depth", "rank").collect()] == order[:5]
 
 
+def test_urls_seen_before_stay_in_place(spark, monkeypatch, capsys):
+    seen = spark.createDataFrame([(f"u{i}",) for i in range(50)] + [(None,)], "key string")
+    found = spark.createDataFrame([(f"u{i}", i) for i in range(40, 60)] + [(None, -1)], "key string, n long")
+    for small, shuffled in ((100, False), (0, True)):
+        monkeypatch.setattr(crawl, "BROADCAST_URLS", small)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            left = crawl._unseen(found, seen)
+            left.explain()
+            assert sorted(r.n for r in left.collect()) == list(range(50, 60))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("Exchange hashpartitioning" in capsys.readouterr().out) == shuffled
+
+
 def test_file_sources(spark, tmp_path):
     (tmp_path / "in.txt").write_text("  a \n\n\tb\n   \nc")
     assert [tuple(r) for r in files.read_input_lines(spark, str(tmp_path / "in.txt")).orderBy("index").collect()] == [(0, "a"), (1, "b"), (2, "c")]
