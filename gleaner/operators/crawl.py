@@ -20,13 +20,16 @@ def _side(urls: DataFrame, count: int) -> DataFrame:
     return F.broadcast(urls) if count <= BROADCAST_URLS else urls
 
 
-def _unseen(found: DataFrame, seen: DataFrame) -> DataFrame:
-    """The rows of ``found`` whose ``key`` is not in ``seen``, which stays in place if the rows found are few."""
-    count = found.count()
+def _unseen(found: DataFrame, seen: DataFrame, n_seen: int) -> DataFrame:
+    """The rows of ``found`` whose ``key`` is not in ``seen``, which stays in place if either side is small."""
     before = seen.select(F.col("key").alias("__key"))
     same = F.col("key").eqNullSafe(F.col("__key"))
-    if count <= BROADCAST_URLS:
-        before = before.join(F.broadcast(found.select("key")), same, "left_semi")  # no more than were found
+    count = n_seen
+    if n_seen > BROADCAST_URLS:
+        found = cut_lineage(found)
+        count = found.count()
+        if count <= BROADCAST_URLS:
+            before = before.join(F.broadcast(found.select("key")), same, "left_semi")  # no more than were found
     return found.join(_side(before, count), same, "left_anti")
 
 
@@ -46,8 +49,8 @@ def crawl_frontier(
 
     The links are normalised and deduplicated once. Every round joins the new URLs only: while they
     are few (they are counted) they go to the links, which then stay in place; a larger frontier is
-    a shuffle join, where the adaptive planner splits hub pages. One row per target is kept, and while the targets are
-    few, too, they go to the URLs seen so far: such a round shuffles the links of its frontier and nothing else.
+    a shuffle join, where the adaptive planner splits hub pages. One row per target is kept; while the URLs seen
+    so far or the targets are few, these go to the others: such a round shuffles the links of its frontier and nothing else.
     A checkpoint cuts the lineage, so that neither plan nor recovery grows with the depth.
     """
     edges = cut_lineage(
@@ -74,19 +77,22 @@ def crawl_frontier(
     level = as_level(start.withColumns({"__parent": F.lit(0).cast("long"), "__ord": F.lit(0).cast("long")}), 0)
     size = level.count()
     levels = [level]
-    seen = level.select("key") if known is None else level.select("key").unionByName(cut_lineage(known_keys))
+    seen, n_seen = level.select("key"), size
+    if known is not None:
+        known_keys = cut_lineage(known_keys)
+        seen, n_seen = seen.unionByName(known_keys), size + known_keys.count()
     depth = 0
     while (max_depth == 0 or depth < max_depth) and size:
         depth += 1
         frontier = level.select(F.col("key").alias("src_key"), F.col("rank").alias("__parent"))
         first = F.struct("__parent", F.col("via.ord").cast("long").alias("__ord"), F.col("via.url").alias("url"))
         links_out = edges.join(_side(frontier, size), "src_key").select("key", first.alias("first"))
-        found = cut_lineage(links_out.groupBy("key").agg(F.min("first").alias("first")))
-        reached = _unseen(found, seen).select("key", "first.*")
+        found = links_out.groupBy("key").agg(F.min("first").alias("first"))
+        reached = _unseen(found, seen, n_seen).select("key", "first.*")
         level = as_level(reached, depth)
         size = level.count()
         levels.append(level)
-        seen = seen.unionByName(level.select("key"))
+        seen, n_seen = seen.unionByName(level.select("key")), n_seen + size
     visited = reduce(DataFrame.unionByName, levels)
     return visited if ranked else visited.drop("rank")
 

@@ -145,11 +145,11 @@ def test_crawl_against_brute_force(spark, monkeypatch):
 def test_urls_seen_before_stay_in_place(spark, monkeypatch, capsys):
     seen = spark.createDataFrame([(f"u{i}",) for i in range(50)] + [(None,)], "key string")
     found = spark.createDataFrame([(f"u{i}", i) for i in range(40, 60)] + [(None, -1)], "key string, n long")
-    for small, shuffled in ((100, False), (0, True)):
+    for small, shuffled in ((100, False), (30, False), (0, True)):
         monkeypatch.setattr(crawl, "BROADCAST_URLS", small)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         try:
-            left = crawl._unseen(found, seen)
+            left = crawl._unseen(found, seen, 51)
             left.explain()
             assert sorted(r.n for r in left.collect()) == list(range(50, 60))
         finally:
