@@ -268,20 +268,24 @@ def _cell_columns(names: Sequence[str], cells: str) -> list[Column]:
     return [F.coalesce(F.try_element_at(cells, F.lit(n)), F.lit("")).alias(n) for n in names]
 
 
+def _first_seen(df: DataFrame, order: Sequence[str], cells: str) -> DataFrame:
+    """``__key, __first``: every cell name with the place it is first seen at."""
+    seen = explode_rows(df, order, F.map_keys(cells), "__key", "__at")
+    return seen.groupBy("__key").agg(F.min(F.struct(*order, "__at")).alias("__first"))
+
+
 def column_names(df: DataFrame, order: Sequence[str] = (), cells: str = "cells") -> list[str]:
     """Cell names in first-seen order. Names are schema, not data: more than ``MAX_COLUMNS``
     is an error, so what reaches the driver is bounded."""
-    seen = explode_rows(df, order, F.map_keys(cells), "__key", "__at")
     names = (
-        seen.groupBy("__key")
-        .agg(F.min(F.struct(*order, "__at")).alias("__first"))
+        _first_seen(df, order, cells)
         .orderBy("__first", "__key")
         .select("__key")
         .limit(MAX_COLUMNS + 1)
         .collect()
     )
     if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} distinct columns")
+        raise ValueError(f"more than {MAX_COLUMNS} distinct columns, see write_wide_csv")
     return [row[0] for row in names]
 
 
@@ -311,6 +315,33 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str] = (), mode: str = "
     )
 
 
+def _csv_cell(value: Column) -> Column:
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(value.rlike('[,"\\r\\n]'), quoted).otherwise(value)
+
+
+def wide_lines(df: DataFrame, order: Sequence[str], cells: str = "cells") -> DataFrame:
+    """``union_columns`` as CSV lines, for any number of names: ``part`` (0 for the header), the columns of ``order`` and ``line``.
+
+    The names are one value, read by the rows as a scalar: no name becomes a column and none reaches the driver. No row
+    gives no line, rows without cells give an empty header and empty lines.
+    """
+    df = cut_lineage(df)  # looked at twice, parsed once
+    named = F.struct(F.col("__first"), F.col("__key"))
+    names = _first_seen(df, order, cells).agg(F.transform(F.sort_array(F.collect_list(named)), lambda n: n["__key"]).alias("names"))
+    names = cut_lineage(names)
+    line = lambda values: F.array_join(F.transform(values, _csv_cell), ",")
+    row = F.transform("__names", lambda n: F.coalesce(F.try_element_at(F.col(cells), n), F.lit("")))
+    lines = df.withColumn("__names", names.scalar()).select(F.lit(1).alias("part"), *order, line(row).alias("line"))
+    head = names.select(F.lit(0).alias("part"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order], line(F.col("names")).alias("line"))
+    return lines if df.isEmpty() else head.unionByName(lines)
+
+
+def write_wide_csv(df: DataFrame, path: str, order: Sequence[str], cells: str = "cells", mode: str = "error") -> None:
+    """The table of all cells as CSV with one header line, however many names it has."""
+    write_lines(wide_lines(df, order, cells), "line", path, ["part", *order], mode)
+
+
 def write_lines(df: DataFrame, line: str, path: str, order: Sequence[str] = (), mode: str = "error") -> None:
     """One text column as lines (NDJSON or plain text)."""
     (df.orderBy(*order) if order else df).select(line).write.mode(mode).text(path)
