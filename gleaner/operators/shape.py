@@ -321,25 +321,30 @@ def _csv_cell(value: Column) -> Column:
 
 
 def wide_lines(df: DataFrame, order: Sequence[str], cells: str = "cells") -> DataFrame:
-    """``union_columns`` as CSV lines, for any number of names: ``part`` (0 for the header), the columns of ``order`` and ``line``.
+    """``union_columns`` as CSV lines, for any number of names: ``part`` (0 for the header), the columns of ``order`` and ``line``, sorted.
 
-    The names are one value, read by the rows as a scalar: no name becomes a column and none reaches the driver. No row
-    gives no line, rows without cells give an empty header and empty lines.
+    The names are one value, read by the rows as a scalar: no name becomes a column and none reaches the driver. Rows are
+    sorted before they are made wide. No row gives no line, rows without cells give an empty header and empty lines.
     """
-    df = cut_lineage(df)  # looked at twice, parsed once
+    quoted = F.transform_values(cells, lambda _, value: _csv_cell(value))
+    df = cut_lineage(df.select(F.lit(1).alias("part"), *order, quoted.alias("__cells")))  # looked at twice, parsed once
     named = F.struct(F.col("__first"), F.col("__key"))
-    names = _first_seen(df, order, cells).agg(F.transform(F.sort_array(F.collect_list(named)), lambda n: n["__key"]).alias("names"))
+    names = _first_seen(df, order, "__cells").agg(F.transform(F.sort_array(F.collect_list(named)), lambda n: n["__key"]).alias("names"))
     names = cut_lineage(names)
-    line = lambda values: F.array_join(F.transform(values, _csv_cell), ",")
-    row = F.transform("__names", lambda n: F.coalesce(F.try_element_at(F.col(cells), n), F.lit("")))
-    lines = df.withColumn("__names", names.scalar()).select(F.lit(1).alias("part"), *order, line(row).alias("line"))
-    head = names.select(F.lit(0).alias("part"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order], line(F.col("names")).alias("line"))
-    return lines if df.isEmpty() else head.unionByName(lines)
+    absent = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in [*order, "__cells"]]
+    rows = df if df.isEmpty() else df.unionByName(names.select(F.lit(0).alias("part"), *absent))
+    # a stated number of ranges: by the size of the cells alone, the adaptive planner would make all lines in a few tasks
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(ranges, "part", *order).sortWithinPartitions("part", *order)
+    wide = placed.withColumn("__names", names.scalar())
+    header = F.transform("__names", _csv_cell)
+    row = F.transform("__names", lambda n: F.coalesce(F.try_element_at(F.col("__cells"), n), F.lit("")))
+    return wide.select("part", *order, F.array_join(F.when(F.col("part") == 0, header).otherwise(row), ",").alias("line"))
 
 
 def write_wide_csv(df: DataFrame, path: str, order: Sequence[str], cells: str = "cells", mode: str = "error") -> None:
     """The table of all cells as CSV with one header line, however many names it has."""
-    write_lines(wide_lines(df, order, cells), "line", path, ["part", *order], mode)
+    write_lines(wide_lines(df, order, cells), "line", path, mode=mode)
 
 
 def write_lines(df: DataFrame, line: str, path: str, order: Sequence[str] = (), mode: str = "error") -> None:

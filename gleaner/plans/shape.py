@@ -215,6 +215,23 @@ def union_columns(spark, sf):
     return shape.union_columns(_sparse_rows(spark, sf), ["id", "rec"], "id")
 
 
+# the number of names grows with the table; each record holds two of them
+@query(
+    "write_wide_csv",
+    """WITH r AS (SELECT c_custkey, c_name, c_mktsegment, dense_rank() OVER (ORDER BY c_custkey // 10) AS place FROM customer),
+    n AS (SELECT max(place) AS n FROM r)
+    SELECT '"' || c_name || ', ' || c_custkey || '"' || repeat(',', CAST(place AS INTEGER)) || c_mktsegment || repeat(',', CAST(n - place AS INTEGER)) AS line FROM r, n
+    UNION ALL SELECT 'name,' || string_agg('k' || k, ',' ORDER BY k) FROM (SELECT DISTINCT c_custkey // 10 AS k FROM r)""",
+)
+def write_wide_csv(spark, sf):
+    path_ = scratch(spark, "wide-sink")
+    docs = table(spark, sf, "customer").selectExpr(
+        "c_custkey as id", """concat('{"name": "', c_name, ', ', c_custkey, '", "k', c_custkey div 10, '": "', c_mktsegment, '"}') as body"""
+    )
+    shape.write_wide_csv(records.flatten_json_records(docs, "body", "id"), path_, ["id", "rec"])
+    return spark.read.text(path_).withColumnRenamed("value", "line")
+
+
 @query(
     "write_csv",
     """SELECT CAST(c_custkey AS VARCHAR) AS code, c_name || ', "' || c_mktsegment || '"' AS name FROM customer""",
