@@ -45,3 +45,22 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert jobs._heads(spark, path) == {1: 5, 2: 3}
     assert jobs._heads(spark, path, 3) == {1: 0, 2: 0}
     assert jobs._heads(spark, path, 0) == {}
+
+
+def test_tables_that_are_folders_or_files(spark, tmp_path):
+    """A large table is a folder of files; its stream reads them all, and chunks of it are the chunks of its rows."""
+    from gleaner.plans.base import stream
+    from gleaner.plans.streams import stream_chunks
+
+    rows = spark.createDataFrame([(i, f"text {i} ") for i in range(30)], "doc_id long, text string")
+    rows.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    assert stream_chunks(spark, str(tmp_path / "folder")).count() == 30
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (part,) = (tmp_path / "one").glob("*.parquet")
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "documents.parquet").write_bytes(part.read_bytes())
+    (tmp_path / "file" / "other.parquet").write_bytes(part.read_bytes())
+    for folder, name in (("folder", "folder-sink"), ("file", "file-sink")):
+        out, cp = str(tmp_path / name), str(tmp_path / f"{name}-cp")
+        jobs._run(stream(spark, str(tmp_path / folder), "documents"), cp, "parquet", out).awaitTermination()
+        assert sorted(r.doc_id for r in spark.read.parquet(out).collect()) == list(range(30))
