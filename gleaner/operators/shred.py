@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from . import deepjson
 from .parsers import FORMATS, parse_payload
 from .reach import Reach, prune
-from .rows import spread_small
+from .rows import spread_costly
 
 NODES_PER_BATCH = 100_000
 
@@ -308,7 +308,7 @@ def shred(
     if format is not None and format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {', '.join(FORMATS)}")
     carried = [c for c in df.columns if c != body] if keep is None else list(keep)
-    source = spread_small(df).select(*carried, F.col(body).cast("binary").alias("__body"))
+    source = spread_costly(df).select(*carried, F.col(body).cast("binary").alias("__body"))
     added = [T.StructField("item", T.IntegerType())] if split_lists else []
     schema = T.StructType([source.schema[c] for c in carried] + added + [T.StructField("tree", TREE_TYPE)])
 
@@ -355,7 +355,7 @@ def shred(
 def detect_format(df: DataFrame, body: str, keep: Iterable[str] | None = None) -> DataFrame:
     """Add the detected format as column ``format``, without building any nodes."""
     carried = [c for c in df.columns if c != body] if keep is None else list(keep)
-    source = spread_small(df).select(*carried, F.col(body).cast("binary").alias("__body"))
+    source = spread_costly(df).select(*carried, F.col(body).cast("binary").alias("__body"))
     schema = T.StructType([source.schema[c] for c in carried] + [T.StructField("format", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
