@@ -295,3 +295,22 @@ def test_video_results_leave_others_alone(spark):
 def test_dedupe_report(spark):
     df = spark.createDataFrame([("https://A.com/",), ("https://a.com",), ("x",)], "u string")
     assert tuple(inputs.dedupe_report(df, "u").first()) == (3, 2, 1)
+
+
+def test_crawl_edges_are_read_from_columns(spark):
+    """Links that occur twice, in other spellings and with null places: the smallest place and its URL as first found."""
+    from gleaner.operators import crawl
+
+    edges = [("https://h.com/a/", 3, "https://h.com/b#x"), ("https://h.com/a", None, "https://h.com/b/"), ("https://h.com/a", 1, "https://h.com/b"), ("https://h.com/a", 2, "https://h.com/c/index.html")] * 2
+    links_df = spark.createDataFrame(edges, "src_url string, ord long, dst_url string")
+    seeds = spark.createDataFrame([("https://h.com/a",)], "url string")
+    plans, write = [], crawl.cut_to_files
+    crawl.cut_to_files = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)
+    try:
+        walked = crawl.crawl_frontier(links_df, seeds, ranked=True)
+    finally:
+        crawl.cut_to_files = write
+    assert sorted(tuple(r) for r in walked.collect()) == [
+        ("https://h.com/a", "https://h.com/a", 0, 0), ("https://h.com/b", "https://h.com/b/", 1, 0), ("https://h.com/c", "https://h.com/c/index.html", 1, 1)
+    ]
+    assert len(plans) == 1 and "Aggregate" not in plans[0]  # no pass that sorts all links twice
