@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import records, shape
 from ..operators.links import count_links, html_links
+from ..operators.rows import spread_in_order
 from ..operators.shred import shred
 from ..operators.steps import path
 from .base import ORDER_DOCS_SQL, RESPONSES_SQL, event_responses, order_documents, query, scratch, table
@@ -249,9 +250,9 @@ def write_csv(spark, sf):
 )
 def write_ndjson(spark, sf):
     path_ = scratch(spark, "ndjson-sink")
-    rows = records.explode_json_records(order_documents(spark, sf), "body", "id")
+    rows = records.explode_json_records(spread_in_order(order_documents(spark, sf), "id"), "body", "id").sortWithinPartitions("id", "rec")
     merged = rows.withColumn("line", F.concat(F.lit('{"_id": '), F.col("id").cast("string"), F.lit(", "), F.expr("substring(record, 2)")))
-    shape.write_lines(merged, "line", path_, order=["id", "rec"])
+    shape.write_lines(merged, "line", path_)
     return spark.read.schema("_id bigint, cents bigint").json(path_).withColumnRenamed("_id", "id")
 
 

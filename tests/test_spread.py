@@ -17,3 +17,18 @@ def test_tasks_grow_with_the_input_and_rows_travel_once(spark, tmp_path, monkeyp
     assert again.agg(F.sum("id")).first()[0] == sum(range(0, 200_000, 2))
     small = rows.spread_costly(spark.read.parquet(path).limit(5))
     assert small.count() == 5
+
+
+def test_rows_in_order_are_worked_on_once(spark):
+    """A sort after the work samples its rows first, which does the work twice."""
+    done = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for batch in batches:
+            done.add(batch.num_rows)
+            yield batch
+
+    docs = spark.range(1000).selectExpr("(id * 7) % 1000 as id", "'x' as body").repartition(3)
+    worked = rows.spread_costly(rows.spread_in_order(docs, "id")).mapInArrow(work, "id long, body string").sortWithinPartitions("id")
+    assert [r.id for r in worked.collect()] == list(range(1000))
+    assert done.value == 1000
