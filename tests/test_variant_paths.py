@@ -107,3 +107,16 @@ def test_keys_with_signs_and_bytes(spark):
     for expression, want in ((path("it's"), 1), (path("a?b", "c\\d"), 2), (path('say "x"', "e.f"), 3), (path(""), 4), (path("$"), 5), (path("[0]"), 6)):
         assert answer(resolve_json(df, expression, "r")) == want
     assert answer(resolve_json(df, Path().values().index(-1), "r")) == 6
+
+
+def test_last_key_of_a_list(spark):
+    """A list's dicts are looked up at once; anything else in the list, and null or missing values, as over trees."""
+    lists = ['[]', '[{"b": 1}, {"c": 2}, {"b": null}, {"b": "x"}]', '[{"b": {"z": 1, "a": [1, "t"]}}, {"b": [1, 2]}, {"b": []}]',
+             '[{"b": 1}, 5, null]', '[[{"b": 1}], {"b": 2}]', '["{\\"b\\": 7}", {"b": "{\\"q\\": 1}"}]', '{"b": [1]}', 'null', '[null, {"b": 3}]', '[{"B": 1}]']
+    df = spark.createDataFrame([(i, f'{{"a": {x}, "p": {{"a": {x}}}}}') for i, x in enumerate(lists)], "id long, body string")
+    trees = shred(df, "body", "json")
+    for expression in (path("a", "b"), path("p", "a", "b"), path("a").key("b").index(0)):
+        found = {r.id: r.r for r in resolve_json(parsed(df, "body"), expression, "r").collect()}
+        assert found == {r.id: r.r for r in resolve(trees, expression, "r").collect()}
+    plan = resolve_json(parsed(df, "body"), path("a", "b"), "r")._jdf.queryExecution().analyzed().toString()
+    assert "array<struct<b:variant>>" in plan.lower() or "struct<b:variant>" in plan.lower() or "StructField(b,VariantType" in plan
