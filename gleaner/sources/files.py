@@ -123,9 +123,19 @@ def write_payload_files(payloads: DataFrame, file: str, body: str, folder: str)
     payloads.select(file, F.col(body).cast("binary")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
+SPLITS_PER_TASK = 16  # a split is a few dozen small files, soon read
+
+
+def _fewer_tasks(files: DataFrame) -> DataFrame:
+    """Small files in fewer tasks, whose number still grows with the folder: a file counts as 4 MB when Spark makes splits."""
+    splits = files.rdd.getNumPartitions()
+    wanted = max(4 * files.sparkSession.sparkContext.defaultParallelism, splits // SPLITS_PER_TASK)
+    return files.coalesce(wanted) if splits > wanted else files
+
+
 def read_payload_dir(spark: SparkSession, path: str) -> DataFrame:
     """Numbered payload files below a folder: ``n, file, ext, body``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = _fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
     return number_payloads(files, "path", path).select("n", "file", "ext", F.col("content").alias("body"))
 
 

@@ -32,3 +32,21 @@ def test_rows_in_order_are_worked_on_once(spark):
     worked = rows.spread_costly(rows.spread_in_order(docs, "id")).mapInArrow(work, "id long, body string").sortWithinPartitions("id")
     assert [r.id for r in worked.collect()] == list(range(1000))
     assert done.value == 1000
+
+
+def test_payload_files_share_tasks(spark, tmp_path):
+    """Many small files are read by few tasks, and all of them are read."""
+    from gleaner.sources.files import read_payload_dir
+
+    (tmp_path / "more").mkdir()
+    for n in range(120):
+        (tmp_path / ("more" if n % 2 else "") / f"{n}.txt").write_text(f"text {n}")
+    (tmp_path / "7.err").write_text("error")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a split per file
+    try:
+        found = read_payload_dir(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= max(4 * spark.sparkContext.defaultParallelism, 8)
+        assert sorted((r.n, bytes(r.body)) for r in found.collect()) == [(n, b"text %d" % n) for n in range(120)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
