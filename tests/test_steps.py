@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.operators.reach import prune, reach_of
 from gleaner.operators.shred import shred
 from gleaner.operators.steps import (
     Path, all_of, any_of, extract_schema, fast_values, filter_fields, path, resolve, shred_for, value_json,
@@ -190,3 +191,37 @@ def test_pruned_documents_give_the_same_values(spark):
     for expression in paths:
         read = lambda trees: dict(resolve(trees, expression, "r").select("id", value_json("r")).collect())
         assert read(whole) == read(shred_for(df, "body", expression, format="json"))
+
+
+def test_search_for_containers_keeps_only_what_it_asks_of_them():
+    reach = reach_of([Path().recurse_up("cents", 3).key("id").ops])
+    doc = {"id": 1, "x": {"id": 2}, "amounts": [{"cents": 5, "name": "n", "id": 3}, {"name": "m"}], "raw": '{"code": 1}', "held": '{"\\u0063ents": 1}'}
+    assert prune(doc, reach) == {"id": 1, "amounts": [{"cents": 5, "id": 3}, {}], "held": '{"\\u0063ents": 1}'}
+    for expression in (Path().recurse_up("cents", 3), Path().recurse_up("cents", 3).values(), path("a").recurse_up("cents", 1).key("id")):
+        assert reach_of([expression.ops]) is None
+
+
+def test_documents_pruned_for_a_search_upwards_give_the_same_values(spark):
+    rng = random.Random(11)
+
+    def value(depth):
+        kind = rng.random()
+        if depth < 5 and kind < 0.45:
+            return {k: value(depth + 1) for k in rng.sample("abcd", rng.randint(0, 4))}
+        if depth < 5 and kind < 0.75:
+            return [value(depth + 1) for _ in range(rng.randint(0, 3))]
+        if kind < 0.83:
+            return json.dumps(value(depth + 1) if depth < 5 else {"a": {"b": 1}})
+        return rng.choice([1, "a", "{b", None, True, 2.5])
+
+    df = spark.createDataFrame([(i, json.dumps(value(0))) for i in range(600)], "id long, body string").repartition(2).cache()
+    paths = [
+        Path().recurse_up("a", 1).key("b"), Path().recurse_up("b", 2).key("a"), Path().recurse_up("c", 3).key("d").key("a"),
+        Path().recurse_up("*[ab]*", 2).key("c"), Path().recurse_up("d", 1).key("d"), Path().recurse_up("a", 4).key("b").key("c").key("d"),
+        Path().recurse_up("a", 1), Path().recurse_up("d", 1).index(0).key("a"),
+    ]
+    whole = shred(df, "body", "json").cache()
+    for expression in paths:
+        read = lambda trees: dict(resolve(trees, expression, "r").select("id", value_json("r")).collect())
+        found = read(whole)
+        assert sum(v is not None for v in found.values()) > 10 and found == read(shred_for(df, "body", expression, format="json"))
