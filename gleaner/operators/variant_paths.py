@@ -173,7 +173,7 @@ def spaced(text: Sql) -> Sql:
     aside = f"replace(replace({text}, '\\\\\\\\', '\\u0001'), '\\\\\"', '\\u0002')"
     number = lambda x: f"if(rlike({x}, '^-?[0-9.]+E'), {float_text(x)}, {x})"
     exact = lambda p: f"array_join({_map(f'regexp_extract_all({p}, "[^,:\\\\[\\\\]{{}}]+|[,:\\\\[\\\\]{{}}]", 0)', number)}, '')"
-    outside = lambda p: f"regexp_replace(if(contains({p}, 'E'), {exact(p)}, {p}), '([,:])', '$1 ')"
+    outside = lambda p: f"replace(replace(if(contains({p}, 'E'), {exact(p)}, {p}), ',', ', '), ':', ': ')"
     parts = f"transform(split({aside}, '\"', -1), (p, n) -> if(n % 2 = 0, {outside('p')}, p))"
     return f"replace(replace(array_join({parts}, '\"'), '\\u0002', '\\\\\"'), '\\u0001', '\\\\\\\\')"
 

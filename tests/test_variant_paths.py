@@ -120,3 +120,10 @@ def test_last_key_of_a_list(spark):
         assert found == {r.id: r.r for r in resolve(trees, expression, "r").collect()}
     plan = resolve_json(parsed(df, "body"), path("a", "b"), "r")._jdf.queryExecution().analyzed().toString()
     assert "array<struct<b:variant>>" in plan.lower() or "struct<b:variant>" in plan.lower() or "StructField(b,VariantType" in plan
+
+
+def test_spaced_texts_without_a_pattern(spark):
+    docs = [{"a": [1, 2.5, -3], "b:c,d": {"e": "x:y, z\\\"q", "f": []}, "g": None}, {"E": 1}, [[], {}, "E,E:"]]
+    df = spark.createDataFrame([(json.dumps(d, separators=(",", ":")), json.dumps(d)) for d in docs], "t string, want string")
+    assert df.filter(F.expr(spaced("t")) != F.col("want")).collect() == []
+    assert "'([,:])'" not in spaced("t")
