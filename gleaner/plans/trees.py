@@ -42,8 +42,8 @@ j AS (SELECT id, json_object('id', id, 'customer', json_object('key', ck, 'full.
 )
 def shred_json(spark, sf):
     # counted inside the row: a document's nodes never have to meet again
-    count = lambda kind: F.expr(f"cast(size(filter(own, n -> n.kind = '{kind}')) as bigint)")
-    own = order_trees(spark, sf).select("id", F.expr("filter(tree.nodes, n -> not n.embedded)").alias("own"))
+    count = lambda kind: F.expr(f"cast(size(own) - size(array_remove(own, '{kind}')) as bigint)")
+    own = order_trees(spark, sf).select("id", F.expr("filter(tree.nodes, n -> not n.embedded).kind").alias("own"))
     names = {"dicts": "dict", "lists": "list", "strings": "str", "ints": "int", "nulls": "null", "bools": "bool"}
     return own.select("id", F.size("own").cast("long").alias("nodes"), *[count(k).alias(n) for n, k in names.items()])
 
