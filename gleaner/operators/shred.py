@@ -91,8 +91,9 @@ class _Nodes:
     whole batch at once, in numpy.
     """
 
-    def __init__(self, paths: bool) -> None:
+    def __init__(self, paths: bool, embedded: bool = True) -> None:
         self.paths = paths
+        self.embedded = embedded  # whether JSON inside strings gets nodes
         self.parents: list[int] = []  # position in the batch, -1 at a document's root
         self.depths: list[int] = []
         self.keys: list[str | None] = []
@@ -108,7 +109,7 @@ class _Nodes:
         """Append one document's nodes; returns its JSON text, to which ``at`` points: the
         document's own text, then those of the JSON that its strings hold."""
         parents, depths, keys, texts, codes = self.parents, self.depths, self.keys, self.texts, self.codes
-        base = len(parents)
+        base, embedded = len(parents), self.embedded
         documents: list[str] = [deepjson.dumps(tree)]
         # containers being walked: what is left of them, their position and their children's depth
         open_: list[tuple[Iterator, int, int]] = [(iter(((None, tree),)), -1, 0)]
@@ -123,7 +124,7 @@ class _Nodes:
                 codes.append(_CODES[kind])
                 if kind is str:
                     texts.append(value)
-                    if value.startswith(("{", "[")):
+                    if embedded and value.startswith(("{", "[")):
                         try:
                             inner = deepjson.loads(value)
                         except ValueError:
@@ -161,7 +162,8 @@ class _Nodes:
         code = np.asarray(self.codes, dtype=np.int8)
         is_root = parent < 0
         above = np.where(is_root, here, parent)
-        by_depth = np.argsort(depth, kind="stable")
+        # short numbers are sorted faster
+        by_depth = np.argsort(depth.astype(np.int16) if depth.max(initial=0) < 2**15 else depth, kind="stable")
         cuts = np.searchsorted(depth[by_depth], np.arange(depth.max(initial=0) + 2))
         levels = [by_depth[cuts[d] : cuts[d + 1]] for d in range(1, len(cuts) - 1)]  # without the roots
 
@@ -293,6 +295,7 @@ def shred(
     split_lists: bool = False,
     paths: bool = False,
     reach: Reach | None = None,
+    embedded: bool = True,
 ) -> DataFrame:
     """Parse the payload column and add its tree as column ``tree``.
 
@@ -303,7 +306,8 @@ def shred(
     ``split_lists`` turns a payload that is a list (JSON array, NDJSON, CSV) into one row per
     item, numbered in column ``item`` (null otherwise), so that a payload with very many items
     never has to fit into one row. ``paths`` fills the nodes' dotted paths, which only
-    flattening needs. ``reach`` limits the tree to what some paths need, see ``shred_for``.
+    flattening needs. ``reach`` limits the tree to what some paths need, see ``shred_for``. Without
+    ``embedded`` a string that holds JSON is a string only, which is all that flattening looks at.
     """
     if format is not None and format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {', '.join(FORMATS)}")
@@ -324,7 +328,7 @@ def shred(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000_000))  # pruning follows a document to its depth
         for batch in batches:
-            sources, items, formats, texts, nodes = [], [], [], [], _Nodes(paths)
+            sources, items, formats, texts, nodes = [], [], [], [], _Nodes(paths, embedded)
 
             def flush() -> pa.RecordBatch:
                 chosen = pa.array(sources, pa.int64())
@@ -345,7 +349,7 @@ def shred(
                     texts.append(nodes.add(tree))
                 if len(nodes) >= NODES_PER_BATCH:
                     yield flush()
-                    sources, items, formats, texts, nodes = [], [], [], [], _Nodes(paths)
+                    sources, items, formats, texts, nodes = [], [], [], [], _Nodes(paths, embedded)
             if sources:
                 yield flush()
 

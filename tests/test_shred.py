@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators.parsers import parse_payload
+from gleaner.operators.shape import flatten_records
 from gleaner.operators.shred import _Nodes, _tree_array, detect_format, shred
+from gleaner.plans import QUERIES
 
 
 def random_tree(rng, depth=0):
@@ -109,3 +111,19 @@ def test_spark_job(spark):
     assert {r.id: r.format for r in trees.select("id", "tree.format").collect()} == want
     split = shred(df, "body", split_lists=True).filter(F.col("item").isNotNull())
     assert split.count() == 3 + 2 + 2 + 2 + 2 + 2  # items of the six list documents
+
+
+def test_flattening_needs_no_nodes_of_json_inside_strings(spark):
+    bodies = ['{"a": {"b": "{\\"c\\": [1, {\\"d\\": 2}]}", "e": ["[1]", 2]}, "f": [{"g": "[3]"}, 4]}', '[{"x": "{\\"y\\": 1}"}, {"x": "{bad"}]', '"{\\"z\\": 1}"', "no json"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id long, body string")
+    whole = shred(df, "body", "json", paths=True)
+    plain = shred(df, "body", "json", paths=True, embedded=False)
+    assert plain.filter("exists(tree.nodes, n -> n.embedded)").count() == 0 < whole.filter("exists(tree.nodes, n -> n.embedded)").count()
+    for depth in (None, 1):
+        cells = lambda trees: sorted((r.id, r.rec, list(r.cells.items())) for r in flatten_records(trees, "id", max_depth=depth).collect())
+        assert len(cells(whole)) == 3 and cells(plain) == cells(whole)
+
+
+def test_the_counts_of_shred_json_look_at_the_nodes_once(spark):
+    plan = QUERIES["shred_json"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(") == 1
