@@ -5,6 +5,7 @@ Each reader is a Spark scan plus an operator on its rows; the operators also tak
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.text import decode_lossy, strip
 from ..operators.inputs import clean_lines
 from ..operators.ordered import first_n, numbered
-from ..operators.rows import explode_rows
+from ..operators.rows import FILE_SPLIT, explode_rows
+from ..session import cut_to_files
 
 
 def _require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -124,6 +126,9 @@ def write_payload_files(payloads: DataFrame, file: str, body: str, folder: str)
 
 
 SPLITS_PER_TASK = 16  # a split is a few dozen small files, soon read
+OPEN_COST = 4 * 1024 * 1024  # what a file counts besides its bytes, as when Spark makes splits
+READ_BATCH = 8 * 1024 * 1024  # bytes of files that a task hands on at once
+LISTED = "file string, size long, folder boolean"
 
 
 def _fewer_tasks(files: DataFrame) -> DataFrame:
@@ -133,10 +138,117 @@ def _fewer_tasks(files: DataFrame) -> DataFrame:
     return files.coalesce(wanted) if splits > wanted else files
 
 
+def _open_store(folder: str):
+    """The file system that holds a qualified folder, and the folder's path there."""
+    from pyarrow import fs
+
+    local = re.match(r"file:/+", folder)
+    return (fs.LocalFileSystem(), f"/{folder[local.end():]}") if local else fs.FileSystem.from_uri(folder)
+
+
+def _folder(spark: SparkSession, path: str) -> str | None:
+    """The qualified name of a folder that tasks can list; None for patterns, files and stores that only Spark reads."""
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if not store.getFileStatus(at).isDirectory():
+            return None
+        folder = store.makeQualified(at).toString()
+        _open_store(folder)
+    except Exception:  # Spark's own reader says what is wrong, or reads it
+        return None
+    return folder
+
+
+def _passed_over(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    hidden = name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+    return hidden and not name.startswith(("_metadata", "_common_metadata"))
+
+
+def _listing(folders: DataFrame, folder: str, deep: bool) -> DataFrame:
+    """``file, size, folder``: what stands in each of the folders named ``file`` below ``folder``, or else the files at any depth."""
+
+    def entries(store, place: str) -> Iterator[tuple[str, int, bool]]:
+        if store.type_name == "local":
+            with os.scandir(place) as found:  # one after the other: a folder can hold millions
+                for entry in found:
+                    try:
+                        is_folder = entry.is_dir()
+                        yield entry.name, 0 if is_folder else entry.stat().st_size, is_folder
+                    except FileNotFoundError:  # a link to nowhere
+                        continue
+        else:
+            from pyarrow import fs
+
+            for info in store.get_file_info(fs.FileSelector(place)):
+                yield info.base_name, info.size or 0, info.type == fs.FileType.Directory
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _open_store(folder)
+        rows: list[tuple[str, int, bool]] = []
+        taken = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], [], []), (pa.string(), pa.int64(), pa.bool_()))], ["file", "size", "folder"])
+        for batch in batches:
+            waiting = batch.column(0).to_pylist()
+            while waiting:
+                below = waiting.pop()
+                for name, size, is_folder in entries(store, f"{root}/{below}" if below else root):
+                    if _passed_over(name):
+                        continue
+                    name = f"{below}/{name}" if below else name
+                    if deep and is_folder:
+                        waiting.append(name)
+                        continue
+                    rows.append((name, size, is_folder))
+                    if len(rows) >= 10_000:
+                        yield taken()
+                        rows.clear()
+        yield taken()
+
+    return folders.select("file").mapInArrow(run, LISTED)
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, size`` of the files below a folder, found in tasks: the folder's own, then those of each folder in it."""
+    top = cut_to_files(_listing(spark.range(0, 1, 1, 1).select(F.lit("").alias("file")), folder, deep=False))
+    inner = top.filter("folder").repartition(4 * spark.sparkContext.defaultParallelism)
+    return cut_to_files(top.filter("not folder").unionByName(_listing(inner, folder, deep=True)).select("file", "size"))
+
+
+def _with_bodies(files: DataFrame, folder: str) -> DataFrame:
+    """``n, file, ext`` and the bytes of each file as ``body``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _open_store(folder)
+        for batch in batches:
+            begin, bodies, held = 0, [], 0
+            for i, name in enumerate(batch.column("file").to_pylist()):
+                with store.open_input_stream(f"{root}/{name}", compression=None) as source:
+                    bodies.append(source.read())
+                held += len(bodies[-1])
+                if held >= READ_BATCH or i == batch.num_rows - 1:
+                    part = batch.slice(begin, len(bodies))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bodies, pa.binary())], ["n", "file", "ext", "body"])
+                    begin, bodies, held = i + 1, [], 0
+
+    return files.select("n", "file", "ext").mapInArrow(run, "n long, file string, ext string, body binary")
+
+
 def read_payload_dir(spark: SparkSession, path: str) -> DataFrame:
-    """Numbered payload files below a folder: ``n, file, ext, body``."""
-    files = _fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
-    return number_payloads(files, "path", path).select("n", "file", "ext", F.col("content").alias("body"))
+    """Numbered payload files below a folder: ``n, file, ext, body``.
+
+    Spark's own source lists all files on the driver, which takes memory for each. Here tasks list them, and only their names are
+    kept, in the shared checkpoint folder; a task reads its files one after the other. Patterns, single files and stores that only Spark
+    reads are left to that source.
+    """
+    folder = _folder(spark, path)
+    if folder is None:
+        files = _fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
+        return number_payloads(files, "path", path).select("n", "file", "ext", F.col("content").alias("body"))
+    files = number_payloads(_listed(spark, folder).withColumn("path", F.concat(F.lit("/"), "file")), "path").withColumn("file", F.expr("substring(path, 2)"))
+    splits, found = files.agg(F.sum(F.col("size") + OPEN_COST), F.count("*")).first()
+    wanted = max(4 * spark.sparkContext.defaultParallelism, (splits or 0) // (SPLITS_PER_TASK * FILE_SPLIT))
+    return _with_bodies(files.repartition(max(1, min(wanted, found))), folder)
 
 
 MANIFEST_FIELDS = {
