@@ -400,6 +400,32 @@ def test_fuzzy_lines_of_every_length(spark):
     assert len(true) == len(bands) and all(found[low] >= 0.9 * true[low] for low in true), (true, found)
 
 
+def test_fuzzy_lines_in_blocks(spark, monkeypatch):
+    """The keys of many lines are worked on in blocks, which changes nothing; shuffle files go with their step."""
+    rng = random.Random(5)
+    lines = [prose(rng, rng.randint(4, 40)) for _ in range(150)]
+    lines += [f"{line} and" for line in lines[::3]] + [f"an {line}" for line in lines[::5]] + [line.replace("e", "o", 1) for line in lines]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    rows = fuzzy_lines.lines_of(docs)
+
+    def groups(limit):
+        monkeypatch.setattr(fuzzy_lines, "BLOCK_ROWS", limit)
+        return fuzzy_lines.line_groups(rows)
+
+    def shuffled():
+        held = files.getAllFiles().mkString("\n").split("\n")
+        return {f for f in held if f.endswith(".data") and "/shuffle_" in f}
+
+    before = shuffled()
+    whole, blocks = groups(10**9), groups(1)
+    assert len(shuffled() - before) <= 4
+    assert len(fuzzy_lines._blocks(10)) == 16 and [t for block in fuzzy_lines._blocks(10) for t in block] == list(range(32))
+    whole = {r["id"]: (r["keep_doc"], r["keep_line"]) for r in whole.collect()}
+    assert whole == {r["id"]: (r["keep_doc"], r["keep_line"]) for r in blocks.collect()}
+    assert len(set(whole.values())) < len(whole)
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "user", "First question.\nSecond line."),
