@@ -209,10 +209,12 @@ def _listing(folders: DataFrame, folder: str, deep: bool) -> DataFrame:
 
 
 def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    """``file, size`` of the files below a folder, found in tasks: the folder's own, then those of each folder in it."""
+    """``file, size`` of the files below a folder, found in tasks: the folder's own, then those of each folder in it. Files without
+    a byte are passed over, as by Spark's source."""
     top = cut_to_files(_listing(spark.range(0, 1, 1, 1).select(F.lit("").alias("file")), folder, deep=False))
     inner = top.filter("folder").repartition(4 * spark.sparkContext.defaultParallelism)
-    return cut_to_files(top.filter("not folder").unionByName(_listing(inner, folder, deep=True)).select("file", "size"))
+    files = top.filter("not folder").unionByName(_listing(inner, folder, deep=True))
+    return cut_to_files(files.filter("size > 0").select("file", "size"))
 
 
 def _with_bodies(files: DataFrame, folder: str) -> DataFrame:

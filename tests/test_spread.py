@@ -54,12 +54,12 @@ def test_payload_files_share_tasks(spark, tmp_path):
 
 def test_payload_files_are_listed_in_tasks(spark, tmp_path):
     """The plan on the driver names none of the files; what is found is what Spark's own source finds."""
-    from gleaner.sources.files import read_payload_dir
+    from gleaner.sources.files import number_payloads, read_payload_dir
 
     want = {}
-    for n, name in enumerate(["1.txt", "a/2.html", "a/b/3", "a/b c/4.json", "a/[5]/5.md", "6.é.txt", "_left/7.txt", ".left/8.txt", "_k=1/9.txt", "10.err", "note.txt", "11.", " 12 .txt"]):
+    for n, name in enumerate(["1.txt", "a/2.html", "a/b/3", "a/b/13", "a/b c/4.json", "a/[5]/5.md", "6.é.txt", "_left/7.txt", ".left/8.txt", "_k=1/9.txt", "10.err", "note.txt", "11.", " 12 .txt"], 1):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
-        (tmp_path / name).write_bytes(b"" if n == 3 else bytes([n]) * n)
+        (tmp_path / name).write_bytes(bytes([n]) * n if name != "a/b/13" else b"")
         want[name] = (tmp_path / name).read_bytes()
     (tmp_path / "gone.txt").symlink_to(tmp_path / "nowhere")
     found = read_payload_dir(spark, str(tmp_path))
@@ -67,6 +67,8 @@ def test_payload_files_are_listed_in_tasks(spark, tmp_path):
     got = {r.file: (r.n, r.ext, bytes(r.body)) for r in found.collect()}
     named = {"1.txt": 1, "a/2.html": 2, "a/b/3": 3, "a/b c/4.json": 4, "a/[5]/5.md": 5, "_k=1/9.txt": 9, "11.": 11, " 12 .txt": 12}
     assert got == {name: (n, "" if n == 3 else name.rpartition(".")[2], want[name]) for name, n in named.items()}
+    source = number_payloads(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)), "path", str(tmp_path))
+    assert got == {r.file: (r.n, r.ext, bytes(r.content)) for r in source.collect()}
     assert sorted(r.n for r in read_payload_dir(spark, f"{tmp_path}/a/2*").collect()) == [2]  # a pattern
     (tmp_path / "empty").mkdir()
     assert read_payload_dir(spark, str(tmp_path / "empty")).collect() == []
